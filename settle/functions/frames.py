@@ -46,47 +46,40 @@ def _type(value: Column) -> Column:
     return F.coalesce(F.schema_of_variant(value), F.lit(""))
 
 
-def _shown(value: Column, name: str) -> Column:
-    return F.concat(F.lit(f"{name} is "), F.coalesce(F.to_json(value), F.lit("missing")))
-
-
-def kind_of(body: Column) -> Column:
-    kind = _member(body, "$.kind")
-    return F.when(_type(kind) == "STRING", F.try_variant_get(body, "$.kind", "string"))
-
-
-def time_us_of(body: Column) -> Column:
-    time_us = _member(body, "$.time_us")
-    return F.when(_type(time_us) == "BIGINT", F.try_variant_get(body, "$.time_us", "bigint"))
+def _typed(body: Column, path: str, variant_type: str, spark_type: str) -> Column:
+    is_type = _type(_member(body, path)) == variant_type
+    return F.when(is_type, F.try_variant_get(body, path, spark_type))
+
+
+def envelope_of(body: Column) -> Column:
+    """The members routing needs, each NULL unless present with the right JSON type."""
+    return F.struct(
+        _typed(body, "$.kind", "STRING", "string").alias("kind"),
+        _typed(body, "$.time_us", "BIGINT", "bigint").alias("time_us"),
+        _typed(body, "$.did", "STRING", "string").alias("did"),
+        _typed(body, "$.commit.collection", "STRING", "string").alias("collection"),
+    )
 
 
-def did_of(body: Column) -> Column:
-    did = _member(body, "$.did")
-    return F.when(_type(did) == "STRING", F.try_variant_get(body, "$.did", "string"))
+def _shown(body: Column, name: str) -> Column:
+    value = F.coalesce(F.to_json(_member(body, f"$.{name}")), F.lit("missing"))
+    return F.concat(F.lit(f"{name} is "), value)
 
 
-def fault_of(body: Column) -> Column:
-    """The first fault of a parsed frame, NULL for a usable or a skipped one."""
-    kind, did = kind_of(body), did_of(body)
-    collection = _member(body, "$.commit.collection")
-    usable_fields = (
-        (kind == COMMIT_KIND)
-        & (time_us_of(body) > 0)
-        & (did != "")
-        & (_type(collection) == "STRING")
+def fault_of(envelope: str, body: Column) -> Column:
+    """The first fault of a frame, NULL for a usable or a skipped one."""
+    kind, time_us, did, collection = (
+        F.col(f"{envelope}.{name}") for name in ("kind", "time_us", "did", "collection")
     )
-    is_object = _type(body).startswith("OBJECT")
+    usable = (kind == COMMIT_KIND) & (time_us > 0) & (did != "") & collection.isNotNull()
     return (
-        # the usual case first, so that a good frame costs no diagnosis
-        F.when(usable_fields | kind.isin(*IGNORED_KINDS), F.lit(None).cast("string"))
+        # the usual cases first, so that a good frame costs no diagnosis
+        F.when(usable | kind.isin(*IGNORED_KINDS), F.lit(None).cast("string"))
         .when(body.isNull(), "not JSON")
-        .when(~is_object, "envelope is not an object")
-        .when(kind.isNull() | (kind != COMMIT_KIND), _shown(_member(body, "$.kind"), "kind"))
-        .when(
-            F.coalesce(time_us_of(body) <= 0, F.lit(True)),
-            _shown(_member(body, "$.time_us"), "time_us"),
-        )
-        .when(F.coalesce(did == "", F.lit(True)), _shown(_member(body, "$.did"), "did"))
+        .when(~_type(body).startswith("OBJECT"), "envelope is not an object")
+        .when(kind.isNull() | (kind != COMMIT_KIND), _shown(body, "kind"))
+        .when(time_us.isNull() | (time_us <= 0), _shown(body, "time_us"))
+        .when(did.isNull() | (did == ""), _shown(body, "did"))
         .when(
             ~_type(_member(body, "$.commit")).startswith("OBJECT"),
             "commit is missing or not an object",

@@ -28,11 +28,11 @@ def only_collections(
     return posts.filter(in_collections(collections))
 
 
-def enrich(posts: DataFrame) -> DataFrame:
+def enrich(posts: DataFrame, keep: Iterable[str] = ()) -> DataFrame:
     """Commits with uri, both clocks, lag, suspicion, language, text length and reply columns.
 
     Expects ``time_us, did, kind, commit, kafka_partition, kafka_offset`` and, when streaming, the
-    watermarked ``observed_time`` added by the source.
+    watermarked ``observed_time`` added by the source. ``keep`` names further columns to carry.
     """
     if "observed_time" not in posts.columns:
         posts = posts.withColumn("observed_time", clocks.observed_time(F.col("time_us")))
@@ -69,6 +69,7 @@ def enrich(posts: DataFrame) -> DataFrame:
         F.col(f"{record}.reply.root.uri").alias("reply_root_uri"),
         "kafka_partition",
         "kafka_offset",
+        *keep,
     )
 
 

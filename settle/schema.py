@@ -102,6 +102,8 @@ class OutputSpec:
     date_from: str
     cluster_by: tuple[str, ...] = ()
     retention_days: int | None = None
+    # One row a minute: written as one file per day instead of one per shuffle partition.
+    one_row_a_minute: bool = False
 
     @property
     def fields(self) -> list[tuple[str, str]]:
@@ -135,12 +137,29 @@ RAW = OutputSpec(
     RAW_RETENTION_DAYS,
 )
 COUNTS_FAST = OutputSpec(
-    "window_counts_fast", FAST_TOPIC, _COUNTS, ("window_start", "window_end"), "window_start"
+    "window_counts_fast",
+    FAST_TOPIC,
+    _COUNTS,
+    ("window_start", "window_end"),
+    "window_start",
+    one_row_a_minute=True,
 )
 COUNTS_SETTLED = OutputSpec(
-    "window_counts_settled", SETTLED_TOPIC, _COUNTS, ("window_start", "window_end"), "window_start"
+    "window_counts_settled",
+    SETTLED_TOPIC,
+    _COUNTS,
+    ("window_start", "window_end"),
+    "window_start",
+    one_row_a_minute=True,
+)
+HEALTH = OutputSpec(
+    "pipeline_health",
+    HEALTH_TOPIC,
+    _HEALTH,
+    ("window_end",),
+    "window_end",
+    one_row_a_minute=True,
 )
-HEALTH = OutputSpec("pipeline_health", HEALTH_TOPIC, _HEALTH, ("window_end",), "window_end")
 PARSE_ERRORS = OutputSpec(
     "parse_errors",
     None,

@@ -41,6 +41,7 @@ def local_session(name: str = "settle", cpus: int | str = 8, **conf: str) -> Spa
         SparkSession.builder.master(f"local[{cpus}]")
         .appName(name)
         .config("spark.ui.enabled", "false")
+        .config("spark.ui.showConsoleProgress", "false")
         .config("spark.sql.shuffle.partitions", str(cpus) if str(cpus).isdigit() else "8")
         .config("spark.driver.memory", os.environ.get("SETTLE_DRIVER_MEMORY", "8g"))
         .config("spark.sql.adaptive.enabled", "true")

@@ -1,0 +1,187 @@
+"""Further inputs derived from the ``events`` table: raw frames, sessions, topic messages and
+re-emitted window rows. Every event takes part; faults are placed by fixed rules on ``event_id``.
+"""
+
+from __future__ import annotations
+
+from collections.abc import Sequence
+
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from settle.functions.clocks import minute_index
+from settle.operators.enrich import creates
+from settle.operators.windows import MEASURES, WINDOW, per_author, per_minute
+from settle.schema import FAST_TOPIC, HEALTH_TOPIC, MICROS, RAW_TOPIC, SETTLED_TOPIC, WINDOW_S
+from settle.sources.events import mapped_events, with_fields
+
+# --- fixed values -----------------------------------------------------------------------------
+# Which fault a frame carries: event_id % FAULT_CYCLE, plain frames for the numbers not named.
+FAULT_CYCLE = 97
+BAD_BYTES = bytes.fromhex("7bfffe7d")
+SESSION_EVENTS = 50
+UNKNOWN_TOPIC = "bsky.unknown.v1"
+
+# Plain SQL, so that another engine can build the same bytes.
+FRAME_TEXT = """
+    CASE fault
+    WHEN 0 THEN '{not json'
+    WHEN 2 THEN '[1,2,3]'
+    WHEN 3 THEN '"a string"'
+    WHEN 4 THEN '42'
+    WHEN 5 THEN 'null'
+    ELSE '{' ||
+        CASE fault WHEN 20 THEN '' WHEN 21 THEN '"did":"",' WHEN 22 THEN '"did":123,'
+            WHEN 23 THEN '"did":null,' WHEN 29 THEN '' ELSE '"did":"' || did || '",' END ||
+        CASE fault WHEN 13 THEN '' WHEN 14 THEN '"time_us":"' || time_us || '",'
+            WHEN 15 THEN '"time_us":1.5,' WHEN 16 THEN '"time_us":true,'
+            WHEN 17 THEN '"time_us":0,' WHEN 18 THEN '"time_us":-1,'
+            WHEN 19 THEN '"time_us":18446744073709551616,' WHEN 29 THEN '"time_us":0,'
+            ELSE '"time_us":' || time_us || ',' END ||
+        CASE fault WHEN 8 THEN '' WHEN 7 THEN '"kind":"something_new",'
+            WHEN 9 THEN '"kind":["commit"],' WHEN 10 THEN '"kind":{"a":1},'
+            WHEN 11 THEN '"kind":"identity",' WHEN 12 THEN '"kind":"account",'
+            ELSE '"kind":"' || kind || '",' END ||
+        CASE fault WHEN 24 THEN '"seq":1' WHEN 25 THEN '"commit":"a string"'
+            WHEN 26 THEN '"commit":[]' ELSE '"commit":{' ||
+            CASE fault WHEN 27 THEN '' WHEN 28 THEN '"collection":42,'
+                ELSE '"collection":"' || collection || '",' END ||
+            CASE fault WHEN 30 THEN '' ELSE '"rkey":"r' || event_id || '",' END ||
+            '"rev":"v' || event_id || '","operation":"' || operation || '","cid":"c' ||
+            event_id || '"' ||
+            CASE WHEN operation = 'delete' THEN '' WHEN fault = 33 THEN ',"record":"x"'
+                ELSE ',"record":{' ||
+                CASE fault WHEN 31 THEN '"langs":"en",' ELSE
+                    CASE k % 5 WHEN 0 THEN '' WHEN 1 THEN '"langs":[],'
+                        WHEN 2 THEN '"langs":["en"],' WHEN 3 THEN '"langs":["pt","en"],'
+                        ELSE '"langs":["ja"],' END END ||
+                CASE WHEN k % 7 = 0 THEN '' ELSE '"text":"' || event_type || ' ' || k || '",' END ||
+                CASE WHEN k % 3 <> 0 THEN '' WHEN k % 9 = 0 THEN '"reply":{},'
+                    ELSE '"reply":{"root":{"uri":"at://r' || event_id || '"}},' END ||
+                CASE fault WHEN 32 THEN '"createdAt":5' ELSE '"createdAt":"' || created_at || '"'
+                    END || '}' END ||
+            '}' END ||
+        '}' ||
+        CASE fault WHEN 6 THEN ' trailing' WHEN 35 THEN '}' WHEN 36 THEN '] junk'
+            WHEN 37 THEN ',{}' WHEN 38 THEN ' ' ELSE '' END
+    END
+"""
+
+
+def frames_from_events(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Raw frames as received: ``event_id, value, partition, offset, received_us`` and the
+    ingest session they came in on."""
+    rows = with_fields(mapped_events(spark, sf_dir)).withColumn(
+        "fault", F.expr(f"event_id % {FAULT_CYCLE}")
+    )
+    value = F.when(F.col("fault") == 1, F.lit(BAD_BYTES)).otherwise(
+        F.encode(F.expr(FRAME_TEXT), "UTF-8")
+    )
+    return rows.select(
+        "event_id",
+        value.alias("value"),
+        F.col("kafka_partition").alias("partition"),
+        F.col("event_id").alias("offset"),
+        F.col("arrival_us").alias("received_us"),
+        F.expr(f"event_id div {SESSION_EVENTS}").alias("session_id"),
+        F.expr(f"arrival_us * {SESSION_EVENTS} + event_id % {SESSION_EVENTS}").alias(
+            "arrival_order"
+        ),
+    )
+
+
+def sessions_from_frames(classified: DataFrame) -> DataFrame:
+    """``session_id, cursor_us, now_us``: each session starts where the one before it stopped.
+
+    Some sessions lost their position, some come back after the replay cap, exactly at it, or
+    with a clock behind the position.
+    """
+    usable_time = F.when(F.col("status") == "usable", F.col("time_us"))
+    per_session = classified.groupBy("session_id").agg(
+        F.max_by(usable_time, F.when(usable_time.isNotNull(), F.col("arrival_order"))).alias(
+            "last_us"
+        ),
+        F.min("received_us").alias("started_us"),
+    )
+    before = per_session.select((F.col("session_id") + 1).alias("session_id"), "last_us")
+    cursor = F.expr("CASE WHEN session_id % 11 = 10 THEN NULL ELSE last_us END")
+    now = F.expr(
+        """CASE session_id % 7
+            WHEN 1 THEN cursor_us + 3601000000
+            WHEN 2 THEN cursor_us + 3600000000
+            WHEN 3 THEN cursor_us - 30000000
+            ELSE started_us END"""
+    )
+    return (
+        per_session.drop("last_us")
+        .join(before, "session_id", "left")
+        .withColumn("cursor_us", cursor)
+        .select("session_id", "cursor_us", F.coalesce(now, "started_us").alias("now_us"))
+    )
+
+
+def shifted_first_seen(sessions: DataFrame) -> DataFrame:
+    """Let upstream jump ahead in some sessions, as it does when it no longer holds a position."""
+    jump = F.expr(
+        """CASE WHEN session_id % 13 = 5 THEN 200000000000
+            WHEN session_id % 17 = 3 THEN 600000000
+            WHEN session_id % 5 = 2 THEN 12000000 ELSE 0 END"""
+    )
+    return sessions.withColumn("first_seen_us", F.col("first_seen_us") + jump)
+
+
+def topic_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``event_id, topic, value``: one output row per event, some unrouted, some unreadable."""
+    topics = [RAW_TOPIC, FAST_TOPIC, SETTLED_TOPIC, HEALTH_TOPIC, UNKNOWN_TOPIC]
+    topic = F.element_at(F.array(*map(F.lit, topics)), F.expr("cast(event_id % 5 + 1 AS int)"))
+    start = F.timestamp_micros(minute_index(F.col("time_us")) * WINDOW_S * MICROS)
+    body = F.format_string(
+        '{"window_start":"%s","events":%d}',
+        F.date_format(start, "yyyy-MM-dd HH:mm:ss.SSS"),
+        F.col("k"),
+    )
+    value = F.when(F.expr("event_id % 23 = 5"), "{not json").otherwise(body)
+    return mapped_events(spark, sf_dir).select(
+        "event_id", topic.alias("topic"), F.encode(value, "UTF-8").alias("value")
+    )
+
+
+def emissions(enriched: DataFrame, cuts: Sequence[int], delay_s: int) -> DataFrame:
+    """Window rows as an at-least-once writer leaves them: one per window and cut.
+
+    The emission ``cut`` seconds after a window's end counts what had arrived by then. Windows of
+    every third minute are written twice, as a retried write would leave them.
+    """
+    window = F.window("observed_time", WINDOW)
+    rows = creates(enriched).withColumn("window", window)
+    end_us = F.unix_micros("window.end")
+
+    def arrived(cut: int) -> Column:
+        return F.col("arrival_us") <= end_us + cut * MICROS
+
+    partials, totals = [], []
+    for i, cut in enumerate(cuts):
+        partials += per_author(arrived(cut), f"_{i}")
+        totals += per_minute(f"_{i}")
+    minutes = rows.groupBy("window", "did").agg(*partials).groupBy("window").agg(*totals)
+    lines = [
+        F.struct(
+            *[F.col(f"{name}_{i}").alias(name) for name in MEASURES],
+            F.timestamp_micros(end_us + cut * MICROS).alias("emitted_at"),
+        )
+        for i, cut in enumerate(cuts)
+    ]
+    minute = minute_index(F.unix_micros("window_start"))
+    copies = F.when(minute % 3 == 0, F.array(F.lit(0), F.lit(1))).otherwise(F.array(F.lit(0)))
+    return (
+        minutes.select(
+            F.col("window.start").alias("window_start"),
+            F.col("window.end").alias("window_end"),
+            F.inline(F.array(*lines)),
+        )
+        .filter(F.col("events") > 0)
+        .withColumn("watermark_delay_s", F.lit(delay_s))
+        .withColumn("copy", F.explode(copies))
+        .drop("copy")
+    )
+

@@ -11,6 +11,10 @@ from pyspark.sql import functions as F
 
 from settle.session import prepare
 
+EVENTS_SCHEMA = """
+    event_id BIGINT, ts TIMESTAMP_NTZ, user_id BIGINT, event_type STRING, value DOUBLE, props STRING
+"""
+
 # --- fixed values -----------------------------------------------------------------------------
 BASE_US = 1_704_067_200_000_000
 SPEEDUP = 720  # 30 days of events become one hour of posts
@@ -57,9 +61,8 @@ _LANGS = """
 """
 
 
-def mapped_events(spark: SparkSession, sf_dir: str, speedup: int = SPEEDUP) -> DataFrame:
+def mapped(events: DataFrame, speedup: int = SPEEDUP) -> DataFrame:
     """The narrow part of each post: identity, both clocks' inputs and where it is logged."""
-    events = prepare(spark).read.parquet(f"{sf_dir}/events.parquet")
     return (
         events.select(
             "event_id",
@@ -75,6 +78,10 @@ def mapped_events(spark: SparkSession, sf_dir: str, speedup: int = SPEEDUP) -> D
     )
 
 
+def mapped_events(spark: SparkSession, sf_dir: str, speedup: int = SPEEDUP) -> DataFrame:
+    return mapped(prepare(spark).read.parquet(f"{sf_dir}/events.parquet"), speedup)
+
+
 def with_fields(rows: DataFrame) -> DataFrame:
     """The post's own fields; derived after numbering, so that they are never shuffled."""
     return (
@@ -158,12 +165,23 @@ def posts_from_events(spark: SparkSession, sf_dir: str, speedup: int = SPEEDUP)
     return as_posts(with_offsets(with_replays(mapped_events(spark, sf_dir, speedup))))
 
 
+def unnumbered_posts(events: DataFrame, speedup: int = SPEEDUP) -> DataFrame:
+    """Posts for uses that never look at offsets, streams included; nothing is shuffled."""
+    rows = with_replays(mapped(events, speedup))
+    return as_posts(rows.withColumn("kafka_offset", F.lit(None).cast("bigint")))
+
+
+def stream_events(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The events table as a stream. The path is a pattern because a streaming file source takes
+    a pattern or a folder, and the table may be one file."""
+    reader = prepare(spark).readStream.schema(EVENTS_SCHEMA)
+    return reader.parquet(f"{sf_dir}/event[s].parquet")
+
+
 def posts_without_positions(
     spark: SparkSession, sf_dir: str, speedup: int = SPEEDUP
 ) -> DataFrame:
-    """The same posts for queries that never look at offsets; saves the numbering shuffle."""
-    rows = with_replays(mapped_events(spark, sf_dir, speedup))
-    return as_posts(rows.withColumn("kafka_offset", F.lit(None).cast("bigint")))
+    return unnumbered_posts(prepare(spark).read.parquet(f"{sf_dir}/events.parquet"), speedup)
 
 
 def as_log(posts: DataFrame) -> DataFrame:
