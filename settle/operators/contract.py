@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from settle.functions.frames import is_json, text_of
+from settle.operators.parse import parse_once
 from settle.schema import ROUTES, OutputSpec
 
 
@@ -79,15 +80,12 @@ def route(messages: DataFrame, routes: dict[str, OutputSpec] = ROUTES) -> DataFr
 def rows_for(routed: DataFrame, spec: OutputSpec) -> DataFrame:
     """One table's rows from routed messages, timestamps read back from their wire text."""
     row = F.from_json(F.col("value").cast("string"), spec.wire_schema)
-    return (
-        routed.filter((F.col("status") == "routed") & (F.col("table_name") == spec.name))
-        .select(row.alias("row"))
-        .select(
-            *[
-                F.col(f"row.{name}").try_cast("timestamp").alias(name)
-                if name in spec.times
-                else F.col(f"row.{name}").alias(name)
-                for name in spec.table_schema.names
-            ]
-        )
+    mine = routed.filter((F.col("status") == "routed") & (F.col("table_name") == spec.name))
+    return parse_once(mine, row, "row").select(
+        *[
+            F.col(f"row.{name}").try_cast("timestamp").alias(name)
+            if name in spec.times
+            else F.col(f"row.{name}").alias(name)
+            for name in spec.table_schema.names
+        ]
     )

@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from settle.functions import clocks, frames
+from settle.operators.parse import parse_once
 from settle.schema import IGNORED_KINDS, PARSE_ERRORS, POST_SCHEMA
 
 
@@ -17,12 +18,9 @@ def classify(raw: DataFrame) -> DataFrame:
     """
     columns = raw.columns
     body = F.col("frame_body")
-    # The generator keeps later filters on status above the parse. Without it they are pushed
-    # below and repeat the parse once for every member they look at.
-    opened = (
-        raw.withColumn("frame_body", frames.body_of(frames.text_of(F.col("value"))))
-        .select(*columns, body, F.explode(F.array(frames.envelope_of(body))).alias("envelope"))
-        .withColumn("reason", frames.fault_of("envelope", body))
+    bodies = raw.withColumn("frame_body", frames.body_of(frames.text_of(F.col("value"))))
+    opened = parse_once(bodies, frames.envelope_of(body), "envelope").withColumn(
+        "reason", frames.fault_of("envelope", body)
     )
     status = (
         F.when(F.col("reason").isNotNull(), frames.UNDELIVERABLE)
@@ -64,7 +62,7 @@ def decode(log: DataFrame) -> DataFrame:
     post = F.from_json(F.col("value").cast("string"), POST_SCHEMA)
     rest = [c for c in log.columns if c not in ("value", "partition", "offset")]
     return (
-        log.withColumn("post", post)
+        parse_once(log, post, "post")
         .filter(F.col("post.time_us").isNotNull())
         .select(
             "post.*",
