@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from settle.functions.clocks import wire_time
 from settle.functions.frames import is_json, text_of
 from settle.operators.parse import parse_once
 from settle.schema import ROUTES, OutputSpec
@@ -61,6 +62,18 @@ def or_fail(rows: DataFrame, spec: OutputSpec) -> DataFrame:
     return rows.withColumn(first, checked)
 
 
+def to_messages(rows: DataFrame, spec: OutputSpec) -> DataFrame:
+    """Rows as ``topic, value``: one JSON object each, timestamps as UTC text, NULLs spelt out."""
+    wire = [
+        wire_time(F.col(name)).alias(name) if name in spec.times else F.col(name)
+        for name in spec.wire_schema.names
+    ]
+    body = F.to_json(F.struct(*wire), {"ignoreNullFields": "false"})
+    return conform(rows, spec).select(
+        F.lit(spec.topic).alias("topic"), F.encode(body, "UTF-8").alias("value")
+    )
+
+
 def route(messages: DataFrame, routes: dict[str, OutputSpec] = ROUTES) -> DataFrame:
     """Add ``table_name`` and ``status`` (routed, unrouted, unparseable) to ``topic, value``.
 
@@ -77,6 +90,16 @@ def route(messages: DataFrame, routes: dict[str, OutputSpec] = ROUTES) -> DataFr
     )
 
 
+def observed_routing(routed: DataFrame, name: str = "sink") -> DataFrame:
+    """Rows written and skipped, as metrics of the query the messages pass through."""
+    is_routed = F.col("status") == "routed"
+    return routed.observe(
+        name,
+        F.count_if(is_routed).alias("written"),
+        F.count_if(~is_routed).alias("skipped"),
+    )
+
+
 def rows_for(routed: DataFrame, spec: OutputSpec) -> DataFrame:
     """One table's rows from routed messages, timestamps read back from their wire text."""
     row = F.from_json(F.col("value").cast("string"), spec.wire_schema)

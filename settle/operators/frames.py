@@ -7,7 +7,13 @@ from pyspark.sql import functions as F
 
 from settle.functions import clocks, frames
 from settle.operators.parse import parse_once
-from settle.schema import IGNORED_KINDS, PARSE_ERRORS, POST_SCHEMA
+from settle.schema import (
+    DEAD_LETTER_TOPIC,
+    IGNORED_KINDS,
+    PARSE_ERRORS,
+    POST_SCHEMA,
+    POSTS_TOPIC,
+)
 
 
 def classify(raw: DataFrame) -> DataFrame:
@@ -89,6 +95,13 @@ def observed_counters(classified: DataFrame, name: str = "ingest") -> DataFrame:
     )
 
 
-def by_author(classified: DataFrame) -> DataFrame:
-    """Usable frames in the form a keyed log sink takes: one author, one partition, in order."""
-    return usable(classified).select("key", "value")
+def log_messages(classified: DataFrame) -> DataFrame:
+    """What ingest sends on: ``topic, key, value`` with the received bytes untouched.
+
+    Usable frames are keyed by author, so that one author's posts stay in one partition and in
+    order; undeliverable ones go to the dead-letter topic; skipped ones nowhere.
+    """
+    topic = F.when(F.col("status") == frames.USABLE, POSTS_TOPIC).otherwise(DEAD_LETTER_TOPIC)
+    return classified.filter(F.col("status") != frames.SKIPPED).select(
+        topic.alias("topic"), F.col("key"), F.col("value")
+    )

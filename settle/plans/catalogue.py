@@ -309,7 +309,7 @@ def _emitted(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
 
     Every thirteenth minute never settled, as if the settled query had been down.
     """
-    posts = enrich(events.posts_from_events(spark, sf_dir), keep=["arrival_us"])
+    posts = enrich(events.posts_without_positions(spark, sf_dir), keep=["arrival_us"])
     fast = derived.emissions(posts, (FAST_DELAY_S, 20), FAST_DELAY_S)
     settled = derived.emissions(posts, (SETTLED_DELAY_S,), SETTLED_DELAY_S)
     minute = clocks.minute_index(F.unix_micros("window_start"))

@@ -13,6 +13,15 @@ REQUIRED = {
     "spark.sql.variant.allowDuplicateKeys": "true",
 }
 
+# For the streaming cluster: state on local disk with incremental checkpoints, so that ten open
+# minutes of authors need not fit on the heap.
+STREAMING = {
+    "spark.sql.streaming.stateStore.providerClass": (
+        "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+    ),
+    "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled": "true",
+}
+
 
 def prepare(spark: SparkSession) -> SparkSession:
     """Apply the settings results depend on. Sizing is left to the cluster's own configuration."""

@@ -28,10 +28,10 @@ def kafka_source_options(
     }
 
 
-def kafka_sink_options(servers: str, topic: str) -> dict[str, str]:
+def kafka_sink_options(servers: str) -> dict[str, str]:
+    """The topic comes with each message, so one writer serves posts and dead letters."""
     return {
         "kafka.bootstrap.servers": servers,
-        "topic": topic,
         "kafka.acks": "all",
         "kafka.compression.type": "zstd",
         "kafka.linger.ms": "50",
@@ -41,7 +41,7 @@ def kafka_sink_options(servers: str, topic: str) -> dict[str, str]:
 def kafka_log(spark: SparkSession, options: dict[str, str]) -> DataFrame:
     """Needs the Kafka connector on the class path of the cluster."""
     stream = prepare(spark).readStream.format("kafka").options(**options).load()
-    return stream.select("value", "partition", "offset")
+    return stream.select("topic", "value", "partition", "offset")
 
 
 def file_log(

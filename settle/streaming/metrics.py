@@ -8,19 +8,20 @@ from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.streaming.listener import StreamingQueryListener
 
 
-class IngestListener(StreamingQueryListener):
-    """Adds up the ``ingest`` metrics of every micro-batch."""
+class CountListener(StreamingQueryListener):
+    """Adds up the ``ingest`` and ``sink`` metrics of every micro-batch."""
 
-    def __init__(self) -> None:
-        self.totals: Counter[str] = Counter()
+    def __init__(self, names: tuple[str, ...] = ("ingest", "sink")) -> None:
+        self.totals: dict[str, Counter[str]] = {name: Counter() for name in names}
 
     def onQueryStarted(self, event) -> None:
         pass
 
     def onQueryProgress(self, event) -> None:
-        metrics = event.progress.observedMetrics.get("ingest")
-        if metrics is not None:
-            self.totals.update(metrics.asDict())
+        for name, total in self.totals.items():
+            metrics = event.progress.observedMetrics.get(name)
+            if metrics is not None:
+                total.update(metrics.asDict())
 
     def onQueryIdle(self, event) -> None:
         pass

@@ -1,8 +1,10 @@
-"""Three streaming queries over one log.
+"""The streaming queries: three over one log, and one on either side of it.
 
 * raw       every commit, and the frames nobody could read
 * fast      counts five seconds after a minute closes, and the liveness row
 * settled   the same counts ten minutes after
+* ingest    received frames to the keyed log, and to the dead-letter topic
+* sink      output topics to their tables, for producers other than the queries above
 
 Spark applies one watermark policy per query, so each patience level is a query with its own
 checkpoint. An idle partition does not hold the watermark back: it follows the newest event time
@@ -19,7 +21,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
 
-from settle.operators import frames
+from settle.operators import contract, frames
 from settle.operators.dedup import dedup_stream
 from settle.operators.enrich import enrich, only_collections
 from settle.operators.windows import counts_of, health_of, minute_totals
@@ -31,6 +33,7 @@ from settle.schema import (
     HEALTH,
     PARSE_ERRORS,
     RAW,
+    ROUTES,
     SETTLED_DELAY_S,
     OutputSpec,
 )
@@ -106,6 +109,20 @@ def publish_raw(tables: str, on_reject: str = "quarantine", collections=None) ->
     return write
 
 
+def publish_routed(tables: str, on_reject: str = "fail") -> Callable:
+    """Batch writer: every table's rows of the batch; only then does the batch count as done."""
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        run = run_id(batch)
+        routed = batch.persist()
+        for spec in ROUTES.values():
+            rows = contract.rows_for(routed, spec)
+            write_batch(rows, spec, tables, run, batch_id, on_reject)
+        routed.unpersist()
+
+    return write
+
+
 def _start(writer: DataStreamWriter, name: str, checkpoints: str, trigger: dict) -> StreamingQuery:
     return (
         writer.queryName(name)
@@ -150,6 +167,34 @@ def start_raw(
     return _start(writer, "raw", checkpoints, trigger or {"processingTime": TRIGGER})
 
 
+def start_ingest(
+    received: DataFrame,
+    sink: dict[str, str],
+    checkpoints: str,
+    trigger: dict | None = None,
+    fmt: str = "kafka",
+) -> StreamingQuery:
+    """Classify received frames (a ``value`` column) and pass them on under their topic and key."""
+    classified = frames.observed_counters(frames.classify(received))
+    writer = frames.log_messages(classified).writeStream.format(fmt).options(**sink)
+    return _start(writer, "ingest", checkpoints, trigger or {"processingTime": FAST_TRIGGER})
+
+
+def start_sink(
+    messages: DataFrame,
+    tables: str,
+    checkpoints: str,
+    trigger: dict | None = None,
+    on_reject: str = "fail",
+) -> StreamingQuery:
+    """Write ``topic, value`` messages to the tables their topics are routed to."""
+    routed = contract.observed_routing(contract.route(messages))
+    writer = routed.writeStream.outputMode("append").foreachBatch(
+        publish_routed(tables, on_reject)
+    )
+    return _start(writer, "sink", checkpoints, trigger or {"processingTime": TRIGGER})
+
+
 def start_all(
     log: Callable[[], DataFrame], tables: str, checkpoints: str, collections=None
 ) -> list[StreamingQuery]:
