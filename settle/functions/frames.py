@@ -14,31 +14,36 @@ from settle.schema import COMMIT_KIND, IGNORED_KINDS
 USABLE, SKIPPED, UNDELIVERABLE = "usable", "skipped", "undeliverable"
 
 
-def is_json(text: Column) -> Column:
-    """Exactly one JSON value and nothing after it.
-
-    The parser stops at the end of the first value. Wrapped in an array, a value with anything
-    behind it either fails to parse or gives another length; text that closes the array itself
-    gives the same length for both wraps, so it cannot pass both.
-    """
-    alone = F.json_array_length(F.concat(F.lit("["), text, F.lit("]")))
-    with_extra = F.json_array_length(F.concat(F.lit("["), text, F.lit(",0]")))
-    return F.coalesce((alone == 1) & (with_extra == 2), F.lit(False))
-
-
 def text_of(value: Column) -> Column:
     """The frame as text, NULL if its bytes are not UTF-8."""
     text = value.cast("string")
     return F.when(F.is_valid_utf8(text), text)
 
 
+def _fits_array(text: Column) -> Column:
+    """Whether the text reads as one array element, or closes the array itself."""
+    length = F.json_array_length(F.concat(F.lit("["), text, F.lit(",0]")))
+    return F.coalesce(length == 2, F.lit(False))
+
+
 def body_of(text: Column) -> Column:
-    """The parsed frame, NULL if it is not JSON."""
-    return F.when(is_json(text), F.try_parse_json(text))
+    """A variant holding the parsed frame as its one member ``frame``; NULL if it is not JSON.
+
+    The parser would ignore text after the frame. Read as a member of an object, such text has to
+    close the object or bring a further member; read as an element of an array, close the array or
+    bring a further element. Nothing is both, so a text that passes both is exactly one value.
+    """
+    wrapped = F.concat(F.lit('{"frame":'), text, F.lit("}"))
+    return F.when(_fits_array(text), F.try_parse_json(wrapped))
+
+
+def is_json(text: Column) -> Column:
+    """Exactly one JSON value and nothing after it."""
+    return body_of(text).isNotNull()
 
 
 def _member(body: Column, path: str) -> Column:
-    return F.try_variant_get(body, path, "variant")
+    return F.try_variant_get(body, f"$.frame{path}", "variant")
 
 
 def _type(value: Column) -> Column:
@@ -47,41 +52,56 @@ def _type(value: Column) -> Column:
 
 
 def _typed(body: Column, path: str, variant_type: str, spark_type: str) -> Column:
-    is_type = _type(_member(body, path)) == variant_type
-    return F.when(is_type, F.try_variant_get(body, path, spark_type))
+    typed = F.try_variant_get(body, f"$.frame{path}", spark_type)
+    return F.when(_type(_member(body, path)) == variant_type, typed)
 
 
 def envelope_of(body: Column) -> Column:
-    """The members routing needs, each NULL unless present with the right JSON type."""
+    """What routing needs of a frame, each NULL unless present with the right JSON type.
+
+    ``kind`` is compared as text only, and no value but the string itself reads as its text.
+    """
     return F.struct(
-        _typed(body, "$.kind", "STRING", "string").alias("kind"),
-        _typed(body, "$.time_us", "BIGINT", "bigint").alias("time_us"),
-        _typed(body, "$.did", "STRING", "string").alias("did"),
-        _typed(body, "$.commit.collection", "STRING", "string").alias("collection"),
+        F.try_variant_get(body, "$.frame.kind", "string").alias("kind"),
+        _typed(body, ".time_us", "BIGINT", "bigint").alias("time_us"),
+        _typed(body, ".did", "STRING", "string").alias("did"),
+        (_type(_member(body, ".commit.collection")) == "STRING").alias("has_collection"),
+    )
+
+
+def status_of(envelope: Column) -> Column:
+    usable = (
+        (envelope["kind"] == COMMIT_KIND)
+        & (envelope["time_us"] > 0)
+        & (envelope["did"] != "")
+        & envelope["has_collection"]
+    )
+    return (
+        F.when(usable, USABLE)
+        .when(envelope["kind"].isin(*IGNORED_KINDS), SKIPPED)
+        .otherwise(UNDELIVERABLE)
     )
 
 
 def _shown(body: Column, name: str) -> Column:
-    value = F.coalesce(F.to_json(_member(body, f"$.{name}")), F.lit("missing"))
+    value = F.coalesce(F.to_json(_member(body, f".{name}")), F.lit("missing"))
     return F.concat(F.lit(f"{name} is "), value)
 
 
-def fault_of(envelope: str, body: Column) -> Column:
-    """The first fault of a frame, NULL for a usable or a skipped one."""
-    kind, time_us, did, collection = (
-        F.col(f"{envelope}.{name}") for name in ("kind", "time_us", "did", "collection")
-    )
-    usable = (kind == COMMIT_KIND) & (time_us > 0) & (did != "") & collection.isNotNull()
+def fault_of(envelope: Column, body: Column) -> Column:
+    """The first fault of an undeliverable frame."""
+
+    def unless(good: Column) -> Column:
+        return ~F.coalesce(good, F.lit(False))
+
     return (
-        # the usual cases first, so that a good frame costs no diagnosis
-        F.when(usable | kind.isin(*IGNORED_KINDS), F.lit(None).cast("string"))
-        .when(body.isNull(), "not JSON")
-        .when(~_type(body).startswith("OBJECT"), "envelope is not an object")
-        .when(kind.isNull() | (kind != COMMIT_KIND), _shown(body, "kind"))
-        .when(time_us.isNull() | (time_us <= 0), _shown(body, "time_us"))
-        .when(did.isNull() | (did == ""), _shown(body, "did"))
+        F.when(body.isNull(), "not JSON")
+        .when(~_type(_member(body, "")).startswith("OBJECT"), "envelope is not an object")
+        .when(unless(envelope["kind"] == COMMIT_KIND), _shown(body, "kind"))
+        .when(unless(envelope["time_us"] > 0), _shown(body, "time_us"))
+        .when(unless(envelope["did"] != ""), _shown(body, "did"))
         .when(
-            ~_type(_member(body, "$.commit")).startswith("OBJECT"),
+            ~_type(_member(body, ".commit")).startswith("OBJECT"),
             "commit is missing or not an object",
         )
         .otherwise("commit.collection is missing or not a string")

@@ -23,23 +23,16 @@ def classify(raw: DataFrame) -> DataFrame:
     goes and how far the stream has got.
     """
     columns = raw.columns
-    body = F.col("frame_body")
+    body, envelope = F.col("frame_body"), F.col("envelope")
     bodies = raw.withColumn("frame_body", frames.body_of(frames.text_of(F.col("value"))))
-    opened = parse_once(bodies, frames.envelope_of(body), "envelope").withColumn(
-        "reason", frames.fault_of("envelope", body)
-    )
-    status = (
-        F.when(F.col("reason").isNotNull(), frames.UNDELIVERABLE)
-        .when(F.col("envelope.kind").isin(*IGNORED_KINDS), frames.SKIPPED)
-        .otherwise(frames.USABLE)
-    )
-    usable = F.col("status") == frames.USABLE
-    return opened.withColumn("status", status).select(
+    opened = parse_once(bodies, frames.envelope_of(body), "envelope")
+    status = F.col("status")
+    return opened.withColumn("status", frames.status_of(envelope)).select(
         *columns,
         "status",
-        "reason",
-        F.when(usable, F.col("envelope.did")).alias("key"),
-        F.when(usable, F.col("envelope.time_us")).alias("time_us"),
+        F.when(status == frames.UNDELIVERABLE, frames.fault_of(envelope, body)).alias("reason"),
+        F.when(status == frames.USABLE, F.col("envelope.did")).alias("key"),
+        F.when(status == frames.USABLE, F.col("envelope.time_us")).alias("time_us"),
     )
 
 

@@ -54,6 +54,8 @@ def local_session(name: str = "settle", cpus: int | str = 8, **conf: str) -> Spa
         .config("spark.sql.shuffle.partitions", str(cpus) if str(cpus).isdigit() else "8")
         .config("spark.driver.memory", os.environ.get("SETTLE_DRIVER_MEMORY", "8g"))
         .config("spark.sql.adaptive.enabled", "true")
+        # no stack trace per column: it costs more than building the plan
+        .config("spark.python.sql.dataFrameDebugging.enabled", "false")
     )
     for key, value in {**REQUIRED, **conf}.items():
         builder = builder.config(key, value)

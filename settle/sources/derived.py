@@ -13,7 +13,7 @@ from settle.functions.clocks import minute_index
 from settle.operators.enrich import creates
 from settle.operators.windows import MEASURES, WINDOW, per_author, per_minute
 from settle.schema import FAST_TOPIC, HEALTH_TOPIC, MICROS, RAW_TOPIC, SETTLED_TOPIC, WINDOW_S
-from settle.sources.events import mapped_events, with_fields
+from settle.sources.events import mapped, mapped_events, read_events, spread, with_fields
 
 # --- fixed values -----------------------------------------------------------------------------
 # Which fault a frame carries: event_id % FAULT_CYCLE, plain frames for the numbers not named.
@@ -71,7 +71,7 @@ FRAME_TEXT = """
 def frames_from_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Raw frames as received: ``event_id, value, partition, offset, received_us`` and the
     ingest session they came in on."""
-    rows = with_fields(mapped_events(spark, sf_dir)).withColumn(
+    rows = with_fields(mapped(spread(read_events(spark, sf_dir)))).withColumn(
         "fault", F.expr(f"event_id % {FAULT_CYCLE}")
     )
     value = F.when(F.col("fault") == 1, F.lit(BAD_BYTES)).otherwise(
