@@ -10,6 +10,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from settle.operators.enrich import creates
+
 POST_KEY = ["uri", "operation", "rev"]
 
 
@@ -44,25 +46,31 @@ def dedup_stream(enriched: DataFrame) -> DataFrame:
 
 
 def duplicate_inflation(enriched: DataFrame) -> DataFrame:
-    """Per minute, how many counted creates were copies of a create already counted."""
-    minute = F.date_trunc("MINUTE", F.col("observed_time"))
-    copies = (
-        enriched.filter(F.col("operation") == "create")
-        .groupBy(*POST_KEY, minute.alias("window_start"))
-        .agg(
-            F.count("*").alias("copies"),
-            F.min("kafka_offset").alias("kafka_offset"),
-        )
+    """Per minute, how many counted creates were copies of a create already counted.
+
+    A write counts once, in the minute of its first copy in the log. Copies are collapsed before
+    the one shuffle by write; the plain count per minute needs no more than a few rows per task.
+    """
+    minute = F.unix_micros(F.date_trunc("MINUTE", F.col("observed_time")))
+    rows = creates(enriched).withColumn("minute", minute)
+    counted = rows.groupBy("minute").agg(F.count("*").alias("raw"))
+    once = (
+        rows.groupBy(*POST_KEY)
+        .agg(F.min_by("minute", "kafka_offset").alias("minute"))
+        .groupBy("minute")
+        .agg(F.count("*").alias("deduped"))
     )
-    # Copies are collapsed before this window, so a group has at most one row per minute.
-    order = Window.partitionBy(*POST_KEY).orderBy("kafka_offset", "window_start")
     return (
-        copies.withColumn("first", F.row_number().over(order) == 1)
-        .groupBy("window_start")
+        counted.unionByName(once, allowMissingColumns=True)
+        .groupBy("minute")
         .agg(
-            F.sum("copies").alias("raw_events"),
-            F.count_if("first").alias("deduped_events"),
+            F.sum("raw").alias("raw_events"),
+            F.coalesce(F.sum("deduped"), F.lit(0)).alias("deduped_events"),
+        )
+        .select(
+            F.timestamp_micros("minute").alias("window_start"),
+            "raw_events",
+            "deduped_events",
+            (F.col("raw_events") - F.col("deduped_events")).alias("inflation"),
         )
-        .withColumn("inflation", F.col("raw_events") - F.col("deduped_events"))
     )
-

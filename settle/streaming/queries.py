@@ -82,9 +82,12 @@ def publish(spec: OutputSpec, delay_s: int, tables: str, with_health: bool) -> C
         run = run_id(batch)
         totals = batch.withColumn("emitted_at", F.current_timestamp()).persist()
         emitted_at = F.col("emitted_at")
-        write_batch(counts_of(totals, delay_s, emitted_at), spec, tables, run, batch_id)
-        if with_health:
-            write_batch(health_of(totals, emitted_at), HEALTH, tables, run, batch_id)
+        # Most batches of a short trigger close no minute; they leave no folder behind. A repeated
+        # batch closes the same minutes, so it is empty exactly if it was empty before.
+        if not totals.isEmpty():
+            write_batch(counts_of(totals, delay_s, emitted_at), spec, tables, run, batch_id)
+            if with_health:
+                write_batch(health_of(totals, emitted_at), HEALTH, tables, run, batch_id)
         totals.unpersist()
 
     return write
