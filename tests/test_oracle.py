@@ -18,7 +18,7 @@ def duck():
 
 
 def test_every_query_has_sql():
-    assert set(SQL) == set(driver.queries())
+    assert set(CATALOGUE) <= set(SQL) <= set(driver.queries())
 
 
 @pytest.mark.parametrize("name", sorted(CATALOGUE))
