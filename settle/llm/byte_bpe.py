@@ -44,10 +44,11 @@ class Vocabulary:
         self.automaton.make_automaton()
 
     @staticmethod
-    def load(path: str) -> Vocabulary:
+    def read(path: str) -> dict[bytes, int]:
+        """The ranks in a file of base64 tokens and their ranks."""
         with open(path, "rb") as lines:
             pairs = (line.split() for line in lines if line.strip())
-            return Vocabulary({base64.b64decode(token): int(rank) for token, rank in pairs})
+            return {base64.b64decode(token): int(rank) for token, rank in pairs}
 
     def split(self, token: int) -> tuple[int, int]:
         """The two tokens whose merge made ``token``; of a single byte, the token itself twice."""
@@ -174,7 +175,7 @@ class Codec:
 @lru_cache(maxsize=4)
 def codec(path: str, pattern: str) -> Codec:
     """One per worker process."""
-    return Codec(Vocabulary.load(path), pattern)
+    return Codec(Vocabulary(Vocabulary.read(path)), pattern)
 
 
 def ship(rows: DataFrame, path: str) -> str:

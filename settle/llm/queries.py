@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from settle.llm import byte_bpe
+from settle.llm import byte_bpe, secret_scan
 from settle.llm.common import table
 
 BYTE_BPE = "byte_bpe_50k.tiktoken"
@@ -20,6 +20,15 @@ def query(build: Callable[[SparkSession, str], DataFrame]):
     return build
 
 
+@query
+def op8_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return secret_scan.find_secrets(
+        table(spark, sf_dir, "documents"),
+        public_tokenizers.path(BYTE_BPE),
+        public_tokenizers.PATTERN,
+    )
+
+
 @query
 def op9_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return byte_bpe.round_trip(
