@@ -7,8 +7,8 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from settle.llm import byte_bpe, secret_scan
-from settle.llm.common import table
+from settle.llm import byte_bpe, quality, secret_scan
+from settle.llm.common import Scratch, table
 
 BYTE_BPE = "byte_bpe_50k.tiktoken"
 
@@ -20,6 +20,11 @@ def query(build: Callable[[SparkSession, str], DataFrame]):
     return build
 
 
+@query
+def op6_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.quality(table(spark, sf_dir, "documents"), Scratch(spark))
+
+
 @query
 def op8_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secret_scan.find_secrets(
