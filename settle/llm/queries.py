@@ -7,11 +7,20 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from settle.llm import byte_bpe, quality, secret_scan
+from settle.llm import byte_bpe, language_id, quality, secret_scan, url_cascade
 from settle.llm.common import Scratch, table
 
 BYTE_BPE = "byte_bpe_50k.tiktoken"
 
+#: Verdict, host and path of the rules.
+URL_RULES = (
+    ("allow", "org", "/"),
+    ("block", "example.org", "/es/"),
+    ("block", "example.org", "/en/1"),
+    ("allow", "com", "/fr/"),
+    ("block", "com", "/de/"),
+)
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 
 
@@ -20,6 +29,17 @@ def query(build: Callable[[SparkSession, str], DataFrame]):
     return build
 
 
+@query
+def op3_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return language_id.identify(table(spark, sf_dir, "documents"))
+
+
+@query
+def op4_url_cascade(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rules = url_cascade.rule_table(spark, URL_RULES)
+    return url_cascade.judge(table(spark, sf_dir, "pages"), rules, Scratch(spark))
+
+
 @query
 def op6_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.quality(table(spark, sf_dir, "documents"), Scratch(spark))

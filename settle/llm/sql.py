@@ -3,3 +3,23 @@
 from __future__ import annotations
 
 SQL: dict[str, str] = {}
+
+SQL["op4_url_cascade"] = r"""
+WITH parts AS (
+  SELECT page_id,
+    translate(regexp_extract(coalesce(url, ''), '^.*?://([^/?#]*)([^?#]*)', 1, 's'),
+      'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS host,
+    regexp_extract(coalesce(url, ''), '^.*?://([^/?#]*)([^?#]*)', 2, 's') AS path
+  FROM pages),
+rules(verdict, rule_host, rule_path) AS (VALUES
+  ('allow', 'org', '/'), ('block', 'example.org', '/es/'), ('block', 'example.org', '/en/1'),
+  ('allow', 'com', '/fr/'), ('block', 'com', '/de/')),
+fits AS (
+  SELECT page_id, max_by(rule_host || rule_path, length(rule_host || rule_path)) AS rule,
+    max_by(verdict, length(rule_host || rule_path)) AS verdict
+  FROM parts JOIN rules
+    ON (host = rule_host OR ends_with(host, '.' || rule_host)) AND starts_with(path, rule_path)
+  GROUP BY page_id)
+SELECT page_id, host, path, rule, coalesce(verdict, 'allow') AS verdict
+FROM parts LEFT JOIN fits USING (page_id)
+"""
