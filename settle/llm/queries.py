@@ -7,10 +7,11 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from settle.llm import byte_bpe, language_id, quality, secret_scan, url_cascade
+from settle.llm import byte_bpe, language_id, quality, secret_scan, token_files, url_cascade
 from settle.llm.common import Scratch, table
 
 BYTE_BPE = "byte_bpe_50k.tiktoken"
+WORD_BPE, END_ID = "word_bpe_49k.json", 1
 
 #: Verdict, host and path of the rules.
 URL_RULES = (
@@ -29,6 +30,19 @@ def query(build: Callable[[SparkSession, str], DataFrame]):
     return build
 
 
+@query
+def op2_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    scratch = Scratch(spark)
+    manifest = token_files.write(
+        table(spark, sf_dir, "documents"),
+        scratch,
+        f"{scratch.path}/tokens",
+        public_tokenizers.path(WORD_BPE),
+        END_ID,
+    )
+    return token_files.counted(token_files.read(token_files.placed(manifest)))
+
+
 @query
 def op3_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language_id.identify(table(spark, sf_dir, "documents"))
