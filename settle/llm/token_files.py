@@ -145,7 +145,7 @@ class Words(dict):
 
     def __missing__(self, word: str) -> bytes:
         body = word.rstrip(TRAILING)
-        if body and len(body) < len(word) and body[-1].isalpha():
+        if body and len(body) < len(word) and body[-1].lower().isalpha():
             packed = self[body] + self[word[len(body) :]]
         else:
             packed = array("I", self.ids(word)).tobytes()
@@ -210,7 +210,7 @@ def write(
         pair = next(documents, None)
         while pair is not None:
             path = f"{partition:06d}-{number:04d}-{uuid.uuid4().hex}.zst"
-            with system.open_output_stream(f"{base}/{path}") as out:
+            with system.open_output_stream(f"{base}/{path}", compression=None) as out:
                 own = TokenFile(out)
                 while pair is not None and own.bytes < file_bytes:
                     own.add(pair[0], encode(pair[1]) + end)
