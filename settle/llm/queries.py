@@ -7,7 +7,15 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from settle.llm import byte_bpe, language_id, quality, secret_scan, token_files, url_cascade
+from settle.llm import (
+    byte_bpe,
+    exact_dedup,
+    language_id,
+    quality,
+    secret_scan,
+    token_files,
+    url_cascade,
+)
 from settle.llm.common import Scratch, table
 
 BYTE_BPE = "byte_bpe_50k.tiktoken"
@@ -30,6 +38,11 @@ def query(build: Callable[[SparkSession, str], DataFrame]):
     return build
 
 
+@query
+def op1_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return exact_dedup.deduplicate(table(spark, sf_dir, "documents"), Scratch(spark))
+
+
 @query
 def op2_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     scratch = Scratch(spark)

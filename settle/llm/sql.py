@@ -23,3 +23,12 @@ fits AS (
 SELECT page_id, host, path, rule, coalesce(verdict, 'allow') AS verdict
 FROM parts LEFT JOIN fits USING (page_id)
 """
+
+SQL["op1_exact_dedup"] = r"""
+WITH plain AS (
+  SELECT doc_id, regexp_replace(coalesce(text, ''), '[\x20\x09-\x0D]+', ' ', 'g') AS text
+  FROM documents)
+SELECT doc_id, min(doc_id) OVER same AS keep_id, count(*) OVER same AS group_size,
+  doc_id = min(doc_id) OVER same AS kept, sha256(text) AS text_sha256
+FROM plain WINDOW same AS (PARTITION BY text)
+"""
