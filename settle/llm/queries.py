@@ -6,6 +6,7 @@ from collections.abc import Callable
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from settle.llm import (
     byte_bpe,
@@ -13,6 +14,7 @@ from settle.llm import (
     language_id,
     quality,
     secret_scan,
+    substring_dedup,
     token_files,
     url_cascade,
 )
@@ -88,3 +90,11 @@ def op9_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
         public_tokenizers.path(BYTE_BPE),
         public_tokenizers.PATTERN,
     )
+
+
+@query
+def op10_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    kept = substring_dedup.remove_repeats(table(spark, sf_dir, "documents"), Scratch(spark))
+    return kept.select(
+        "doc_id", "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256")
+    )

@@ -32,3 +32,22 @@ SELECT doc_id, min(doc_id) OVER same AS keep_id, count(*) OVER same AS group_siz
   doc_id = min(doc_id) OVER same AS kept, sha256(text) AS text_sha256
 FROM plain WINDOW same AS (PARTITION BY text)
 """
+
+SQL["op10_substring_dedup"] = r"""
+WITH listed AS (
+  SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS words
+  FROM documents),
+windows AS (
+  SELECT doc_id, at, words[at : at + 12] AS seq
+  FROM (SELECT doc_id, words, unnest(range(1, len(words) - 11)) AS at FROM listed)),
+repeated AS (
+  SELECT doc_id, at FROM (
+    SELECT doc_id, at, min(doc_id) OVER (PARTITION BY seq) AS first_id FROM windows)
+  WHERE first_id < doc_id),
+gone AS (SELECT DISTINCT doc_id, at + k AS at FROM repeated, range(13) AS r(k)),
+lost AS (SELECT doc_id, count(*) AS n, list(at) AS places FROM gone GROUP BY doc_id)
+SELECT l.doc_id, len(l.words) AS n_words, coalesce(g.n, 0) AS n_removed,
+  sha256(coalesce(array_to_string(list_filter(l.words, (w, i) ->
+    NOT list_contains(coalesce(g.places, []), i)), ' '), '')) AS kept_sha256
+FROM listed l LEFT JOIN lost g USING (doc_id)
+"""
