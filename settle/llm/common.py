@@ -68,6 +68,21 @@ def map_batches(
     return rows.mapInArrow(run, schema)
 
 
+def columns_of(columns: list, schema: str) -> pa.RecordBatch:
+    """A batch of lists or arrays in the order of a schema like ``a long, b string``."""
+    kinds = {
+        "long": pa.int64(),
+        "int": pa.int32(),
+        "double": pa.float64(),
+        "boolean": pa.bool_(),
+        "string": pa.string(),
+        "binary": pa.binary(),
+    }
+    names, types = zip(*(field.split() for field in schema.split(", ")), strict=True)
+    arrays = [pa.array(c, kinds[kind]) for c, kind in zip(columns, types, strict=True)]
+    return pa.RecordBatch.from_arrays(arrays, list(names))
+
+
 def utf8(column: pa.Array) -> list[bytes]:
     """The texts as UTF-8, null as empty."""
     return column.fill_null("").cast(pa.binary()).to_pylist()

@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from settle.llm import (
     byte_bpe,
     exact_dedup,
+    jaccard_join,
     language_id,
     quality,
     secret_scan,
@@ -74,6 +75,11 @@ def op6_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.quality(table(spark, sf_dir, "documents"), Scratch(spark))
 
 
+@query
+def op7_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard_join.near_duplicates(table(spark, sf_dir, "documents"), Scratch(spark))
+
+
 @query
 def op8_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secret_scan.find_secrets(

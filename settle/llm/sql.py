@@ -38,16 +38,48 @@ WITH listed AS (
   SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS words
   FROM documents),
 windows AS (
-  SELECT doc_id, at, words[at : at + 12] AS seq
-  FROM (SELECT doc_id, words, unnest(range(1, len(words) - 11)) AS at FROM listed)),
+  SELECT doc_id, pos, array_to_string(words[pos:pos + 12], ' ') AS seq
+  FROM (SELECT doc_id, words, unnest(range(1, len(words) - 11)) AS pos FROM listed) AS placed),
 repeated AS (
-  SELECT doc_id, at FROM (
-    SELECT doc_id, at, min(doc_id) OVER (PARTITION BY seq) AS first_id FROM windows)
+  SELECT doc_id, pos FROM (
+    SELECT doc_id, pos, min(doc_id) OVER (PARTITION BY seq) AS first_id FROM windows) AS firsts
   WHERE first_id < doc_id),
-gone AS (SELECT DISTINCT doc_id, at + k AS at FROM repeated, range(13) AS r(k)),
-lost AS (SELECT doc_id, count(*) AS n, list(at) AS places FROM gone GROUP BY doc_id)
-SELECT l.doc_id, len(l.words) AS n_words, coalesce(g.n, 0) AS n_removed,
-  sha256(coalesce(array_to_string(list_filter(l.words, (w, i) ->
-    NOT list_contains(coalesce(g.places, []), i)), ' '), '')) AS kept_sha256
-FROM listed l LEFT JOIN lost g USING (doc_id)
+gone AS (
+  SELECT DISTINCT doc_id, pos + k AS pos FROM repeated, (SELECT unnest(range(13)) AS k) AS shifts),
+flat AS (
+  SELECT doc_id, unnest(words) AS word, unnest(range(1, len(words) + 1)) AS pos FROM listed),
+left_over AS (
+  SELECT f.doc_id, count(*) FILTER (g.pos IS NOT NULL) AS n_removed,
+    string_agg(f.word, ' ' ORDER BY f.pos) FILTER (g.pos IS NULL) AS kept
+  FROM flat AS f LEFT JOIN gone AS g ON f.doc_id = g.doc_id AND f.pos = g.pos
+  GROUP BY f.doc_id)
+SELECT l.doc_id, len(l.words) AS n_words, coalesce(o.n_removed, 0) AS n_removed,
+  sha256(coalesce(o.kept, '')) AS kept_sha256
+FROM listed AS l LEFT JOIN left_over AS o USING (doc_id)
+"""
+
+SQL["op7_jaccard_join"] = r"""
+WITH RECURSIVE listed AS (
+  SELECT doc_id, regexp_extract_all(
+    translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[^\x20\x09-\x0D]+') AS words
+  FROM documents),
+shingles AS (
+  SELECT DISTINCT doc_id, array_to_string(words[pos:pos + 4], ' ') AS s
+  FROM (SELECT doc_id, words, unnest(range(1, greatest(len(words) - 3, 2))) AS pos
+    FROM listed WHERE len(words) > 0) AS placed),
+sizes AS (SELECT doc_id, count(*) AS n FROM shingles GROUP BY doc_id),
+pairs AS (
+  SELECT x.doc_id AS a, y.doc_id AS b, count(*) AS both
+  FROM shingles AS x JOIN shingles AS y ON x.s = y.s AND x.doc_id <> y.doc_id GROUP BY ALL),
+links AS (
+  SELECT a, b FROM pairs JOIN sizes AS x ON x.doc_id = a JOIN sizes AS y ON y.doc_id = b
+  WHERE 100 * both >= 80 * (x.n + y.n - both)),
+reach(doc_id, seen) AS (
+  SELECT doc_id, doc_id FROM sizes
+  UNION SELECT reach.doc_id, links.b FROM reach JOIN links ON links.a = reach.seen)
+SELECT l.doc_id, coalesce(any_value(z.n), 0) AS n_shingles,
+  coalesce(min(r.seen), l.doc_id) AS component_id
+FROM listed AS l LEFT JOIN sizes AS z USING (doc_id) LEFT JOIN reach AS r USING (doc_id)
+GROUP BY l.doc_id
 """

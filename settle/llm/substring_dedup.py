@@ -23,7 +23,8 @@ from pyspark.broadcast import Broadcast
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from settle.llm.common import Scratch, map_batches, utf8
+from settle.llm.bit_fields import field_of, in_field
+from settle.llm.common import Scratch, columns_of, map_batches, utf8
 
 #: Words of a window, and of the runs whose hashes are compared for its minimiser.
 WINDOW = 13
@@ -68,11 +69,6 @@ def super_kmers(values: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return edges[:-1], edges[1:]
 
 
-def in_field(field: np.ndarray, values: np.ndarray, bits: int) -> np.ndarray:
-    at = values >> np.uint64(64 - bits)
-    return (field[at >> np.uint64(6)] >> (at & np.uint64(63)) & np.uint64(1)).astype(bool)
-
-
 def covered(starts: Iterable[tuple[int, int]], n_words: int, window: int = WINDOW) -> np.ndarray:
     """Whether each word is in a window that starts within one of the stretches (end exclusive)."""
     edges = np.zeros(n_words + 1, np.int64)
@@ -97,19 +93,6 @@ def shared_minimisers(rows: DataFrame, window: int) -> DataFrame:
     return values.groupBy("value").agg(F.count("*").alias("n")).filter(F.col("n") > 1)
 
 
-def field_of(values: DataFrame, bits: int) -> np.ndarray:
-    """A bit for the first ``bits`` bits of each value; equal words of the field merge in the tasks."""
-    places = values.select(F.shiftrightunsigned("value", 64 - bits).alias("place"))
-    words = places.select(
-        F.shiftright("place", 6).alias("word"),
-        F.expr("shiftleft(1L, cast(place & 63 AS int))").alias("bit"),
-    )
-    found = words.groupBy("word").agg(F.bit_or("bit").alias("bit")).toArrow()
-    field = np.zeros(1 << (bits - 6), np.uint64)
-    field[found.column("word").to_numpy()] = found.column("bit").to_numpy().view(np.uint64)
-    return field
-
-
 # --- buckets ----------------------------------------------------------------------------------
 
 #: ``key`` tells apart rows that repeat an id with another text.
@@ -117,13 +100,6 @@ PACKED = "value long, part int, doc_id long, key long, first int, packed binary"
 STRETCHES = "doc_id long, key long, first int, end int, value long, packed binary"
 
 
-def columns_of(rows: list[list], schema: str) -> pa.RecordBatch:
-    kinds = {"long": pa.int64(), "int": pa.int32(), "binary": pa.binary()}
-    names, types = zip(*(field.split() for field in schema.split(", ")), strict=True)
-    arrays = [pa.array(c, kinds[kind]) for c, kind in zip(rows, types, strict=True)]
-    return pa.RecordBatch.from_arrays(arrays, list(names))
-
-
 def pack(rows: DataFrame, shared: Broadcast, hot: Broadcast, window: int) -> DataFrame:
     """The super-k-mers whose minimiser more than one row has."""
 
@@ -137,11 +113,11 @@ def pack(rows: DataFrame, shared: Broadcast, hot: Broadcast, window: int) -> Dat
                 continue
             first, end = super_kmers(values)
             own = values[first]
-            wanted = in_field(shared.value, own, SHARED_BITS)
+            wanted = in_field(shared.value, own)
             if not wanted.any():
                 continue
             first, end, own = first[wanted], end[wanted], own[wanted]
-            parts = np.where(in_field(hot.value, own, HOT_BITS), 1 + doc_id % HOT_PARTS, 0)
+            parts = np.where(in_field(hot.value, own), 1 + doc_id % HOT_PARTS, 0)
             lengths = np.fromiter(map(len, words), np.int64, len(words)) + 1
             at = np.concatenate([[0], np.cumsum(lengths)])
             joined = b" ".join(words)
