@@ -70,11 +70,11 @@ shingles AS (
     FROM listed WHERE len(words) > 0) AS placed),
 sizes AS (SELECT doc_id, count(*) AS n FROM shingles GROUP BY doc_id),
 pairs AS (
-  SELECT x.doc_id AS a, y.doc_id AS b, count(*) AS both
+  SELECT x.doc_id AS a, y.doc_id AS b, count(*) AS common
   FROM shingles AS x JOIN shingles AS y ON x.s = y.s AND x.doc_id <> y.doc_id GROUP BY ALL),
 links AS (
   SELECT a, b FROM pairs JOIN sizes AS x ON x.doc_id = a JOIN sizes AS y ON y.doc_id = b
-  WHERE 100 * both >= 80 * (x.n + y.n - both)),
+  WHERE 100 * common >= 80 * (x.n + y.n - common)),
 reach(doc_id, seen) AS (
   SELECT doc_id, doc_id FROM sizes
   UNION SELECT reach.doc_id, links.b FROM reach JOIN links ON links.a = reach.seen)
