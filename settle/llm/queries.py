@@ -15,6 +15,7 @@ from settle.llm import (
     language_id,
     quality,
     secret_scan,
+    source_mix,
     substring_dedup,
     token_files,
     url_cascade,
@@ -70,6 +71,15 @@ def op4_url_cascade(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_cascade.judge(table(spark, sf_dir, "pages"), rules, Scratch(spark))
 
 
+@query
+def op5_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document once and small sources up to twice; see ``source_mix.mix``."""
+    scratch = Scratch(spark)
+    rows = source_mix.prepared(table(spark, sf_dir, "documents"), ["doc_id"])
+    mixed = source_mix.mix(scratch.save(rows, "counted"), scratch, repetition=2.0)
+    return mixed.select("row.doc_id", "source", "n_tokens", "pass", "block", "block_key")
+
+
 @query
 def op6_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.quality(table(spark, sf_dir, "documents"), Scratch(spark))

@@ -83,3 +83,58 @@ SELECT l.doc_id, coalesce(any_value(z.n), 0) AS n_shingles,
 FROM listed AS l LEFT JOIN sizes AS z USING (doc_id) LEFT JOIN reach AS r USING (doc_id)
 GROUP BY l.doc_id
 """
+
+SQL["op5_source_mix"] = r"""
+WITH RECURSIVE docs AS (
+  SELECT doc_id, coalesce(CAST(doc_id AS VARCHAR), 'null') AS id,
+    coalesce('s' || source, 'n') AS source,
+    len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')) AS n_tokens
+  FROM documents),
+totals AS (SELECT source, CAST(sum(n_tokens) AS BIGINT) AS tokens FROM docs GROUP BY source),
+shares AS (SELECT min(tokens)::DOUBLE / max(tokens) AS least, max(tokens) AS largest
+  FROM totals WHERE tokens > 0),
+halving(low, high) AS (
+  SELECT -1, 1048576
+  UNION ALL
+  SELECT
+    CASE WHEN pow(least, ((low + high) // 2) / 1048576.0) / least <= 2 THEN low
+      ELSE (low + high) // 2 END,
+    CASE WHEN pow(least, ((low + high) // 2) / 1048576.0) / least <= 2 THEN (low + high) // 2
+      ELSE high END
+  FROM halving, shares WHERE high - low > 1),
+exponent AS (SELECT min(high) / 1048576.0 AS x FROM halving),
+wanted AS (
+  SELECT source, tokens, CASE WHEN tokens > 0 THEN CAST(round(
+    pow(tokens::DOUBLE / largest, CAST(x AS DOUBLE)) * largest) AS BIGINT) ELSE 0 END AS quota
+  FROM totals, shares, exponent),
+quotas AS (
+  SELECT source, CASE WHEN tokens > 0 THEN quota // tokens ELSE 1 END AS passes,
+    CASE WHEN tokens > 0 THEN quota % tokens ELSE 0 END AS rest,
+    greatest(1, (tokens + 16383) // 16384) AS blocks
+  FROM wanted),
+placed AS (
+  SELECT d.*, passes, rest,
+    CAST('0x' || substr(md5('17:' || id), 1, 15) AS BIGINT) % blocks AS block
+  FROM docs AS d JOIN quotas USING (source)),
+blocks AS (
+  SELECT source, block, any_value(rest) AS rest, sum(n_tokens) AS tokens,
+    md5('17:' || any_value(passes) || ':' || source || ':' || block) AS block_key
+  FROM placed WHERE rest > 0 GROUP BY source, block),
+paid AS (
+  SELECT source, block, tokens, rest - coalesce(sum(tokens) OVER (PARTITION BY source
+    ORDER BY block_key, block ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS paid
+  FROM blocks),
+chosen AS (
+  SELECT p.*, paid, tokens, coalesce(sum(n_tokens) OVER (PARTITION BY p.source, p.block
+    ORDER BY md5('17:' || passes || ':' || id), id, n_tokens
+    ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS earlier
+  FROM placed AS p JOIN paid USING (source, block) WHERE rest > 0 AND paid > 0),
+passed AS (
+  SELECT doc_id, source, n_tokens, block, unnest(range(passes)) AS pass FROM placed
+  UNION ALL
+  SELECT doc_id, source, n_tokens, block, passes FROM chosen
+  WHERE tokens <= paid OR 2 * earlier + n_tokens <= 2 * paid)
+SELECT doc_id, CASE WHEN source <> 'n' THEN substr(source, 2) END AS source, n_tokens, pass, block,
+  md5('17:' || pass || ':' || source || ':' || block) AS block_key
+FROM passed
+"""
