@@ -1,17 +1,76 @@
-"""A corpus from raw documents to token ids, in five stages."""
+"""A corpus from raw documents to token ids, in five stages.
+
+Each stage reads what the one before has written. The first four return documents with the columns they
+came with; the last returns a row per document with its ids.
+"""
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from settle.llm import byte_bpe, exact_dedup, jaccard_join, quality, source_mix
+from settle.llm.common import Scratch, table
+from settle.llm.queries import BYTE_BPE
+
+Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
+
+
+def only(docs: DataFrame, kept: DataFrame) -> DataFrame:
+    """The documents whose id is in ``kept``, a table of distinct ids."""
+    return docs.join(kept, docs["doc_id"].eqNullSafe(kept["kept_id"]), "left_semi")
+
+
+def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that the base rules and the perplexity band of their language accept."""
+    judged = quality.quality(docs, Scratch(spark)).filter("kept")
+    return only(docs, judged.select(F.col("doc_id").alias("kept_id")))
+
+
+def exact_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Of equal texts the document with the smallest id."""
+    judged = exact_dedup.deduplicate(docs, Scratch(spark)).filter("kept")
+    return only(docs, judged.select(F.col("doc_id").alias("kept_id")))
+
+
+def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Of each component of near duplicates the document with the smallest id."""
+    found = jaccard_join.near_duplicates(docs, Scratch(spark))
+    first = F.col("doc_id").eqNullSafe(F.col("component_id"))
+    return only(docs, found.filter(first).select(F.col("doc_id").alias("kept_id")))
+
+
+def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Every document once, those of small sources up to twice, so that sources weigh more alike."""
+    return source_mix.mixed_documents(docs, Scratch(spark), repetition=2.0)
+
+
+def token_ids(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Ids of each document, with counts and digests of the ids and of what they decode to."""
+    return byte_bpe.round_trip(
+        docs, public_tokenizers.path(BYTE_BPE), public_tokenizers.PATTERN
+    )
+
 
-from settle.llm.queries import QUERIES
+STAGES: list[tuple[str, Stage]] = [
+    ("quality_rules", quality_rules),
+    ("exact_dedup", exact_duplicates),
+    ("jaccard_join", near_duplicates),
+    ("source_mix", mix_sources),
+    ("byte_bpe", token_ids),
+]
 
-STAGES = [("byte_bpe", lambda spark, docs, sf_dir: QUERIES["op9_byte_bpe"](spark, sf_dir))]
+#: The perplexity band and the merges of the vocabulary are beyond SQL.
 ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
-    for _, stage in STAGES:
-        docs = stage(spark, docs, sf_dir)
-    return docs
+    """Apply the stages to ``documents``, each to what the one before has written."""
+    scratch = Scratch(spark)
+    docs = table(spark, sf_dir, "documents")
+    for name, stage in STAGES[:-1]:
+        docs = scratch.save(stage(spark, docs, sf_dir), name)
+    return STAGES[-1][1](spark, docs, sf_dir)
