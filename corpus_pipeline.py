@@ -20,24 +20,50 @@ Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
 
 def only(docs: DataFrame, kept: DataFrame) -> DataFrame:
-    """The documents whose id is in ``kept``, a table of distinct ids."""
+    """The documents whose id is in ``kept_id``; no id is an id like any other."""
     return docs.join(kept, docs["doc_id"].eqNullSafe(kept["kept_id"]), "left_semi")
 
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that the base rules and the perplexity band of their language accept."""
-    judged = quality.quality(docs, Scratch(spark)).filter("kept")
-    return only(docs, judged.select(F.col("doc_id").alias("kept_id")))
+    """Documents that the base rules and the perplexity band of their language accept.
+
+    Rows are judged by a hash of id, language and text, so rows without an id and rows that repeat one
+    get the verdict of their own text.
+    """
+    row = F.xxhash64("doc_id", "lang", "text")
+    judged = quality.quality(docs.select(row.alias("doc_id"), "lang", "text"), Scratch(spark))
+    kept = judged.filter("kept").select(F.col("doc_id").alias("kept_row"))
+    return docs.join(kept, row == F.col("kept_row"), "left_semi")
 
 
 def exact_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of equal texts the document with the smallest id."""
-    judged = exact_dedup.deduplicate(docs, Scratch(spark)).filter("kept")
-    return only(docs, judged.select(F.col("doc_id").alias("kept_id")))
+    """Of equal texts the document with the smallest id; of rows that repeat both, one."""
+    judged = Scratch(spark).save(exact_dedup.deduplicate(docs, Scratch(spark)), "judged")
+    digest = F.sha2(exact_dedup.normalised(F.col("text")), 256)
+
+    def among(rows: DataFrame) -> DataFrame:
+        keys = rows.select(F.col("doc_id").alias("kept_id"), "text_sha256")
+        same = docs["doc_id"].eqNullSafe(keys["kept_id"]) & (digest == keys["text_sha256"])
+        return docs.join(keys, same, "left_semi")
+
+    kept = among(judged.filter("kept"))
+    again = judged.filter(~F.col("kept") & F.col("doc_id").eqNullSafe(F.col("keep_id")))
+    if again.isEmpty():  # as a rule: ids do not repeat
+        return kept
+    once = among(again).withColumn(_DIGEST, digest).dropDuplicates(["doc_id", _DIGEST])
+    keys = again.select(F.col("doc_id").alias("kept_id"), "text_sha256")
+    same = kept["doc_id"].eqNullSafe(keys["kept_id"]) & (digest == keys["text_sha256"])
+    return kept.join(keys, same, "left_anti").unionByName(once.drop(_DIGEST))
+
+
+_DIGEST = "__text_digest"
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of each component of near duplicates the document with the smallest id."""
+    """Of each component of near duplicates the document with the smallest id.
+
+    Documents without an id stay. Rows that repeat an id are one document.
+    """
     found = jaccard_join.near_duplicates(docs, Scratch(spark))
     first = F.col("doc_id").eqNullSafe(F.col("component_id"))
     return only(docs, found.filter(first).select(F.col("doc_id").alias("kept_id")))
