@@ -38,7 +38,7 @@ def _mark(edges: DataFrame) -> tuple[int, int | None]:
     return row.n, row.mark
 
 
-def components(edges: DataFrame, scratch: Scratch) -> DataFrame:
+def components(edges: DataFrame, scratch: Scratch, name: str) -> DataFrame:
     """(node, label): the least node of its component, for every node that has an edge.
 
     ``edges`` has long columns ``a`` and ``b``; direction, loops and repeats do not matter. Each turn is
@@ -46,12 +46,14 @@ def components(edges: DataFrame, scratch: Scratch) -> DataFrame:
     """
     a, b = F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")
     edges = edges.select(a, b).filter(F.col("a") != F.col("b")).distinct()
-    edges = scratch.save(edges, "edges-0")
+    edges = scratch.save(edges, f"{name}-edges-0")
     before, turn = _mark(edges), 0
     while before[0]:
         turn += 1
-        large = scratch.save(_large_star(edges, scratch, f"large-least-{turn}"), f"large-{turn}")
-        edges = scratch.save(_small_star(large, scratch, f"small-least-{turn}"), f"edges-{turn}")
+        large = _large_star(edges, scratch, f"{name}-large-least-{turn}")
+        large = scratch.save(large, f"{name}-large-{turn}")
+        small = _small_star(large, scratch, f"{name}-small-least-{turn}")
+        edges = scratch.save(small, f"{name}-edges-{turn}")
         now = _mark(edges)
         if now == before:
             break

@@ -5,8 +5,9 @@ Two documents link when their sets of five-word shingles have a Jaccard similari
 
 * Documents with equal sets are one point.
 * Every point lists its signature: so many of its shingles, in one order for all, that two linked points
-  must share one. Frequent shingles come last in that order, so passages that many documents quote
-  decide nothing. Points that share a shingle and are of like size (windows of the logarithm of the
+  must share one, and a few more. Frequent shingles come last in that order, so passages that many
+  documents quote decide nothing. A point whose signature shares less with all others together than it
+  would with a single linked one is done. Points that share a shingle and are of like size (windows of the logarithm of the
   size, a point also standing in the next one) have the least of them as a pivot. A pivot and its points
   are a Voronoi region; a point that may have neighbours with other pivots is replicated to each.
 * Within a region each point's distance to the pivot is computed. Points within 0.2 link to it. Of two
@@ -52,6 +53,8 @@ ORDERS = 3
 #: Shingles a task sorts together when it looks for frequent ones, and how many times one must occur.
 COUNTED = 1 << 22
 LOCALLY_FREQUENT = 3
+#: One in so many shingles of a set is listed beyond the base of its signature.
+EXTRA = 20
 #: Points of a chunk.
 CHUNK = 64
 
@@ -92,11 +95,26 @@ def least_overlap(n: int) -> int:
     return -(-PERCENT * n // 100)
 
 
+def base_length(n: int) -> int:
+    """So many first shingles in a common order that linked sets have one of them in common."""
+    return n - least_overlap(n) + 1
+
+
+def least_shared(n: int) -> int:
+    """Signature shingles that a set of ``n`` has in common with that of any it links to, at least.
+
+    Each signature is longer than the base by a share of its set. Whatever extra shingles the shorter
+    of two signatures has, linked sets have in common beyond the first one.
+    """
+    return 1 + least_overlap(n) // EXTRA
+
+
 def signature(values: np.ndarray, frequent: np.ndarray) -> np.ndarray:
-    """The first shingles in the order of the join; linked sets have one of them in common."""
+    """The first shingles in the order of the join."""
+    n = len(values)
     often = in_field(frequent, values)
     ordered = np.concatenate([values[~often], values[often]])
-    return ordered[: len(values) - least_overlap(len(values)) + 1]
+    return ordered[: base_length(n) + n // EXTRA]
 
 
 def size_window(n: int) -> int:
@@ -210,60 +228,102 @@ def points_of(signatures: DataFrame, scratch: Scratch) -> DataFrame:
 
 
 
-def regions(
+def listed_shingles(
     signatures: DataFrame, shared: DataFrame, points: DataFrame, scratch: Scratch
 ) -> DataFrame:
-    """(pivot, window, node, n): the points of each region, its pivot among them."""
+    """(value, window, home, base, need, node): the shared signature shingles of each point.
+
+    Each is listed in the point's own window of sizes and, as a guest, in the next. Points that share
+    too few shingles to link with anything are left out.
+    """
     sent = signatures.sparkSession.sparkContext.broadcast(field_of(shared, SHARED_BITS))
 
     def run(batch: pa.RecordBatch) -> pa.RecordBatch:
-        out: list[list] = [[], [], [], []]
+        out: list[list] = [[] for _ in range(5)]
         for point, doc_id, n, packed in zip(*(c.to_pylist() for c in batch.columns), strict=True):
             values = np.frombuffer(packed, np.uint64)
-            values = values[in_field(sent.value, values)]
-            if len(values):
-                for column, cell in zip(out, (point, doc_id, n, values.tobytes()), strict=True):
+            hit = in_field(sent.value, values)
+            if np.count_nonzero(hit) >= least_shared(n):
+                in_base = np.count_nonzero(hit[: base_length(n)])
+                cells = (point, doc_id, n, in_base, values[hit].tobytes())
+                for column, cell in zip(out, cells, strict=True):
                     column.append(cell)
         return columns_of(out, SHORT)
 
-    short = map_batches(
-        signatures.filter("n > 0 AND doc_id IS NOT NULL").select(
-            "point", "doc_id", "n", "signature"
-        ),
-        run,
-        SHORT,
-    )
+    known = signatures.filter("n > 0 AND doc_id IS NOT NULL")
+    short = map_batches(known.select("point", "doc_id", "n", "signature"), run, SHORT)
     # one document of each set
-    mine = short.join(points, ["point", "doc_id"]).select("node", "n", "values")
+    mine = short.join(points, ["point", "doc_id"]).select("node", "n", "in_base", "values")
 
     def spread(batch: pa.RecordBatch) -> pa.RecordBatch:
-        out: list[list] = [[], [], [], []]
-        for node, n, packed in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+        out: list[list] = [[] for _ in range(6)]
+        for node, n, in_base, packed in zip(*(c.to_pylist() for c in batch.columns), strict=True):
             values = np.frombuffer(packed, np.int64)
-            for window in (size_window(n), size_window(n) + 1):
-                for column, cells in zip(
-                    out, (values, *([x] * len(values) for x in (window, node, n))), strict=True
-                ):
-                    column.extend(cells)
+            base = np.arange(len(values)) < in_base
+            for guest in (0, 1):
+                constant = (size_window(n) + guest, not guest, least_shared(n), node)
+                window, home, need, who = ([x] * len(values) for x in constant)
+                cells = (values, window, home, base, need, who)
+                for column, more in zip(out, cells, strict=True):
+                    column.extend(more)
         return columns_of(out, LISTED)
 
-    listed = scratch.save(map_batches(mine, spread, LISTED), "listed")
+    return scratch.save(map_batches(mine, spread, LISTED), "listed")
+
+
+SHORT = "point binary, doc_id long, n long, in_base long, values binary"
+LISTED = "value long, window int, home boolean, base boolean, need long, node long"
+
+
+def pivoted(listed: DataFrame, scratch: Scratch, name: str) -> DataFrame:
+    """``listed`` with the least point of each shingle and window as ``pivot``.
+
+    Lists of one point, and lists whose points are all guests, say nothing new and are dropped.
+    """
     heads = listed.groupBy("value", "window").agg(
-        F.min("node").alias("pivot"), F.max("node").alias("last")
+        F.min("node").alias("pivot"), F.max("node").alias("last"), F.max("home").alias("homes")
+    )
+    heads = heads.filter("pivot < last AND homes").select("value", "window", "pivot")
+    return listed.join(scratch.save(heads, f"{name}-heads"), ["value", "window"])
+
+
+def listed_points(listed: DataFrame, scratch: Scratch) -> DataFrame:
+    """(value, window, node, pivot): the lists of points that share enough within windows of sizes."""
+    whole = pivoted(listed, scratch, "whole")
+    enough = whole.groupBy("node").agg(
+        F.countDistinct("value").alias("found"), F.first("need").alias("need")
     )
-    heads = scratch.save(heads.filter("pivot < last").drop("last"), "heads")
-    members = listed.join(heads, ["value", "window"]).select("pivot", "window", "node", "n")
-    return scratch.save(members.distinct(), "members")
+    enough = scratch.save(enough.filter("found >= need").select("node"), "enough")
+    base = listed.filter("base").join(enough, "node", "left_semi")
+    lists = pivoted(scratch.save(base, "base"), scratch, "base")
+    return scratch.save(lists.select("value", "window", "node", "pivot"), "lists")
 
 
-SHORT = "point binary, doc_id long, n long, values binary"
-LISTED = "value long, window int, node long, n long"
+def first_regions(lists: DataFrame) -> DataFrame:
+    """(pivot, window, node): one region for each point, that of the least of its pivots."""
+    least = lists.groupBy("node").agg(F.min("pivot").alias("pivot")).filter("pivot < node")
+    heads = least.select("pivot", F.col("pivot").alias("node")).distinct()
+    return least.select("pivot", "node").unionByName(heads).withColumn("window", F.lit(0))
 
 
-def wanted_sets(rows: DataFrame, points: DataFrame, members: DataFrame) -> DataFrame:
-    """(node, shingles) of the points that are in some region, from their texts."""
+def open_regions(lists: DataFrame, labels: DataFrame, scratch: Scratch) -> DataFrame:
+    """(pivot, window, node): regions by the lists whose points are not all in one component yet."""
+    known = lists.join(labels, "node", "left").withColumn(
+        "label", F.coalesce("label", "node")
+    )
+    known = scratch.save(known, "known")
+    undecided = known.groupBy("value", "window").agg(
+        F.min("label").alias("low"), F.max("label").alias("high")
+    )
+    undecided = undecided.filter("low < high").select("value", "window")
+    found = known.join(scratch.save(undecided, "undecided"), ["value", "window"], "left_semi")
+    return scratch.save(found.select("pivot", "window", "node").distinct(), "members")
+
+
+def wanted_sets(rows: DataFrame, points: DataFrame, lists: DataFrame) -> DataFrame:
+    """(node, shingles) of the points that are in some list, from their texts."""
     context = rows.sparkSession.sparkContext
-    wanted = points.join(members.select("node").distinct(), "node", "left_semi")
+    wanted = points.join(lists.select("node").distinct(), "node", "left_semi")
     hashed = F.xxhash64("doc_id").alias("value")
     sent = context.broadcast(field_of(wanted.select(hashed), WANTED_BITS))
 
@@ -386,12 +446,12 @@ def grouped(
         yield key, rows
 
 
-def dealt_out(members: DataFrame, scratch: Scratch) -> DataFrame:
+def dealt_out(members: DataFrame, scratch: Scratch, name: str) -> DataFrame:
     """(pivot, window, chunk, whole, node): points dealt out to chunks, the pivot in each of them."""
     sizes = members.groupBy("pivot", "window").agg(F.count("*").alias("size"))
     sizes = scratch.save(
         sizes.select("pivot", "window", F.expr(f"(size + {CHUNK - 1}) div {CHUNK}").alias("chunks")),
-        "sizes",
+        name,
     )
     of_node = F.pmod(F.xxhash64("node"), F.col("chunks"))
     joined = members.join(sizes, ["pivot", "window"])
@@ -459,13 +519,24 @@ def join_rings(found: DataFrame, sets: DataFrame, scratch: Scratch) -> DataFrame
 
 
 def links(rows: DataFrame, signatures, shared, points, scratch: Scratch) -> DataFrame:
-    """(a, b): links between different sets; not all of those within one ball, but enough to join it."""
-    members = regions(signatures, shared, points, scratch)
-    sets = scratch.save(wanted_sets(rows, points, members), "sets")
-    chunks = dealt_out(members, scratch).join(sets, "node")
-    found = scratch.save(join_chunks(chunks), "found")
+    """(a, b): links between different sets; not all of those within one ball, but enough to join it.
+
+    First every point meets one pivot only, which settles most groups of near copies. What is left are
+    the lists that still join different components; their regions are joined whole.
+    """
+    listed = listed_shingles(signatures, shared, points, scratch)
+    lists = listed_points(listed, scratch)
+    sets = scratch.save(wanted_sets(rows, points, lists), "sets")
+    firsts = scratch.save(first_regions(lists), "first-members")
+    chunks = dealt_out(firsts, scratch, "first-sizes").withColumn("whole", F.lit(False))
+    first = scratch.save(join_chunks(chunks.join(sets, "node")), "first-found")
+    first = first.filter("a IS NOT NULL").select("a", "b")
+    labels = scratch.save(components(first, scratch, "first"), "first-labels")
+    members = open_regions(lists, labels, scratch)
+    found = join_chunks(dealt_out(members, scratch, "sizes").join(sets, "node"))
+    found = scratch.save(found, "found")
     near = found.filter("a IS NOT NULL").select("a", "b")
-    return near.unionByName(join_rings(found, sets, scratch))
+    return first.unionByName(near).unionByName(join_rings(found, sets, scratch))
 
 
 def near_duplicates(documents: DataFrame, scratch: Scratch) -> DataFrame:
@@ -479,7 +550,7 @@ def near_duplicates(documents: DataFrame, scratch: Scratch) -> DataFrame:
     rows = documents.select("doc_id", "text")
     signatures, shared = ordered_signatures(rows, scratch)
     points = points_of(signatures, scratch)
-    labelled = components(links(rows, signatures, shared, points, scratch), scratch)
+    labelled = components(links(rows, signatures, shared, points, scratch), scratch, "all")
     labels = points.join(scratch.save(labelled, "labels"), "node", "left").select(
         "point", "doc_id", F.coalesce("label", "node").alias("label")
     )

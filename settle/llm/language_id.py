@@ -55,6 +55,8 @@ def grams(text: str) -> np.ndarray:
 
 
 def tally(codes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    if not len(codes):
+        return codes, np.zeros(0, np.int64)
     codes = np.sort(codes)
     edges = np.flatnonzero(np.concatenate([[True], codes[1:] != codes[:-1], [True]]))
     return codes[edges[:-1]], np.diff(edges)
@@ -91,7 +93,7 @@ def profiles(rows: DataFrame) -> DataFrame:
                 for lang, text in both:
                     found.setdefault(lang, []).append(grams(text))
                 for lang, parts in found.items():
-                    codes, times = tally(np.concatenate(parts)) if parts else ([], [])
+                    codes, times = tally(np.concatenate(parts))
                     if lang in kept:
                         codes = np.concatenate([kept[lang][0], codes])
                         times = np.concatenate([kept[lang][1], times])
