@@ -33,8 +33,8 @@ def resume_plan(sessions: DataFrame) -> DataFrame:
 def gap_report(planned: DataFrame) -> DataFrame:
     """Add ``gap_us`` and ``severity``: how far past the request the first event was.
 
-    Upstream never reports that a position is gone; it silently starts at the oldest event it has.
-    Overshoot below twice the replay overlap is ordinary.
+    A position that upstream no longer holds shows only in this distance: no error comes with it.
+    Distances within two replay overlaps are everyday jitter and count as none.
     """
     gap = F.col("first_seen_us") - F.col("resume_us")
     gap_us = F.when(gap >= 2 * OVERLAP_US, gap).otherwise(F.lit(0).cast("bigint"))

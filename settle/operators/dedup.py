@@ -48,25 +48,22 @@ def dedup_stream(enriched: DataFrame) -> DataFrame:
 def duplicate_inflation(enriched: DataFrame) -> DataFrame:
     """Per minute, how many counted creates were copies of a create already counted.
 
-    A write counts once, in the minute of its first copy in the log. Copies are collapsed before
-    the one shuffle by write; the plain count per minute needs no more than a few rows per task.
+    A write counts once, in the minute of its first copy in the log. The log is read once: copies of
+    a write within a minute collapse before the shuffle by write, and the lines that leave it are
+    summed by minute.
     """
     minute = F.unix_micros(F.date_trunc("MINUTE", F.col("observed_time")))
-    rows = creates(enriched).withColumn("minute", minute)
-    counted = rows.groupBy("minute").agg(F.count("*").alias("raw"))
-    once = (
-        rows.groupBy(*POST_KEY)
-        .agg(F.min_by("minute", "kafka_offset").alias("minute"))
-        .groupBy("minute")
-        .agg(F.count("*").alias("deduped"))
+    position = F.struct("kafka_offset", "kafka_partition")
+    copies = (
+        creates(enriched)
+        .groupBy(*POST_KEY, minute.alias("minute"))
+        .agg(F.count("*").alias("copies"), F.min(position).alias("position"))
     )
+    order = Window.partitionBy(*POST_KEY).orderBy("position")
     return (
-        counted.unionByName(once, allowMissingColumns=True)
+        copies.withColumn("first", F.row_number().over(order) == 1)
         .groupBy("minute")
-        .agg(
-            F.sum("raw").alias("raw_events"),
-            F.coalesce(F.sum("deduped"), F.lit(0)).alias("deduped_events"),
-        )
+        .agg(F.sum("copies").alias("raw_events"), F.count_if("first").alias("deduped_events"))
         .select(
             F.timestamp_micros("minute").alias("window_start"),
             "raw_events",

@@ -83,11 +83,16 @@ def replay(
     enriched: DataFrame,
     delays: Sequence[float] = DELAYS,
     broadcast_rows: int = BROADCAST_ROWS,
+    retried: bool = False,
 ) -> DataFrame:
     """Per minute and delay ``i``: the measures over admitted creates, ``late_i``, ``closed_i``.
 
     Reads the log twice and shuffles it once, already collapsed per minute and author. The summary
     is written to the checkpoint folder, so that its size is known before anything is broadcast.
+
+    ``retried`` says that a log position may be stored more than once, as a table has it after retried
+    writes. The summary's minima and maxima do not notice; the creates, reduced to the columns that
+    are counted, are shuffled once more to collapse their copies.
     """
     spark = enriched.sparkSession
     ensure_checkpoint_dir(spark)
@@ -110,6 +115,8 @@ def replay(
         "lag_ms",
         (minute_index(F.col("observed_us")) + 1).alias("ends"),
     )
+    if retried:
+        rows = rows.distinct()  # a position determines its row
     timed = attach(
         rows,
         closings(summary, len(delays)),

@@ -9,6 +9,7 @@ from __future__ import annotations
 import uuid
 from collections.abc import Callable
 from datetime import date, datetime, timezone
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -24,15 +25,17 @@ from settle.schema import (
     HEALTH,
     MICROS,
     RAW,
+    ROUTES,
     SETTLED_DELAY_S,
+    OutputSpec,
 )
 from settle.session import ensure_checkpoint_dir
 from settle.sources import derived, events
+from settle.sources.log import file_log
 from settle.streaming import queries as streaming
 
-AS_OF_DAY = date(2024, 1, 2)
 AS_OF = datetime(2024, 1, 1, 1, 5, tzinfo=timezone.utc)
-RETENTION_DAY = date(2024, 1, 30)
+LAST_DAY = date(2024, 1, 30)
 
 Query = Callable[[SparkSession, str], DataFrame]
 CATALOGUE: dict[str, Query] = {}
@@ -58,6 +61,11 @@ def _log(spark: SparkSession, sf_dir: str) -> DataFrame:
     return enrich(events.posts_from_events(spark, sf_dir))
 
 
+def _month(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The log on the events' own clock, over 30 days instead of an hour."""
+    return enrich(events.posts_from_events(spark, sf_dir, speedup=1))
+
+
 def _posts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return enrich(events.posts_without_positions(spark, sf_dir))
 
@@ -286,13 +294,14 @@ def duplicate_inflation(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def v_posts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = curated.v_posts(_log(spark, sf_dir), AS_OF_DAY)
+    """The last days of the events' own 30-day clock."""
+    rows = curated.v_posts(_month(spark, sf_dir), LAST_DAY)
     return with_us(rows.withColumn("langs", F.array_join("langs", ",")))
 
 
 @query
 def v_skew_profile(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return with_us(curated.v_skew_profile(_log(spark, sf_dir), AS_OF_DAY))
+    return with_us(curated.v_skew_profile(_month(spark, sf_dir), LAST_DAY))
 
 
 @query
@@ -351,12 +360,46 @@ def route_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     return routed.select("event_id", "topic", "table_name", "status")
 
 
+def _as_text(spec: OutputSpec) -> Column:
+    """All columns of a row in one text, so that rows of different tables can be told in one table."""
+    cells = []
+    for name, kind in spec.fields:
+        column = F.col(name)
+        if kind == "time":
+            column = F.unix_micros(column)
+        elif kind == "strings":
+            column = F.concat(F.lit("["), F.array_join(column, ","), F.lit("]"))
+        cells.append(F.coalesce(column.cast("string"), F.lit("-")))
+    return F.concat_ws("|", *cells)
+
+
+def _routed(spark: SparkSession, sf_dir: str) -> list[tuple[OutputSpec, DataFrame]]:
+    routed = contract.route(derived.topic_messages(spark, sf_dir))
+    return [(spec, contract.rows_for(routed, spec)) for spec in ROUTES.values()]
+
+
 @query
 def routed_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The rows of one table, read back from the routed messages."""
-    routed = contract.route(derived.topic_messages(spark, sf_dir))
-    rows = contract.rows_for(routed, COUNTS_FAST)
-    return with_us(rows.select("window_start", "events"))
+    """The rows that the routed messages bring to each of the four tables."""
+    parts = [
+        contract.accepted(rows, spec).select(
+            F.lit(spec.name).alias("table_name"), _as_text(spec).alias("row")
+        )
+        for spec, rows in _routed(spark, sf_dir)
+    ]
+    return reduce(DataFrame.unionByName, parts)
+
+
+@query
+def sink_rejects(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The messages no table takes, and why."""
+    parts = [
+        contract.rejected(rows, spec).select(
+            F.lit(spec.name).alias("table_name"), "reject_reason", "message"
+        )
+        for spec, rows in _routed(spark, sf_dir)
+    ]
+    return reduce(DataFrame.unionByName, parts)
 
 
 @query
@@ -372,41 +415,114 @@ def contract_rejects(spark: SparkSession, sf_dir: str) -> DataFrame:
 def expired_partitions(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Days past retention, on the events' own 30-day clock."""
     posts = enrich(events.posts_without_positions(spark, sf_dir, speedup=1))
-    expired = tables.expired_days(posts, RAW, RETENTION_DAY)
+    expired = tables.expired_days(posts, RAW, LAST_DAY)
     return expired.select(F.date_format("date", "yyyy-MM-dd").alias("date"), "rows")
 
 
-# --- streams, run to the end of what is there -------------------------------------------------
+# --- stored tables ----------------------------------------------------------------------------
 
 
 def _folder(spark: SparkSession) -> str:
     ensure_checkpoint_dir(spark)
-    return f"{spark.sparkContext.getCheckpointDir()}/stream-{uuid.uuid4().hex}"
+    return f"{spark.sparkContext.getCheckpointDir()}/stored-{uuid.uuid4().hex}"
+
+
+def _first_day(rows: DataFrame) -> date:
+    first = rows.agg(F.to_date(F.min("observed_time")).alias("day")).first()
+    return first.day or LAST_DAY
+
 
+def _store(rows: DataFrame, folder: str) -> date:
+    """Write the raw table in several batches, some positions twice; returns its first day."""
+    parts = F.pmod(F.col("kafka_offset"), F.lit(3))
+    for batch_id in range(3):
+        tables.write_batch(rows.filter(parts == batch_id), RAW, folder, "a", batch_id)
+    again = rows.filter(F.pmod(F.col("kafka_offset"), F.lit(10)) == 3)
+    tables.write_batch(again, RAW, folder, "b", 0)
+    return _first_day(rows)
 
-def _stream(spark: SparkSession, sf_dir: str, start: Callable, spec) -> DataFrame:
+
+@query
+def replay_stored(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The revision report replayed from the stored raw table, retried writes and all."""
     folder = _folder(spark)
-    log = events.as_log(events.unnumbered_posts(events.stream_events(spark, sf_dir)))
-    running = start(
-        log, f"{folder}/tables", f"{folder}/checkpoints", trigger={"availableNow": True}
-    )
-    running.awaitTermination()
-    rows = tables.read_table(
-        spark, f"{folder}/tables", spec, date(2024, 1, 1), as_of=date(2024, 1, 1)
-    )
-    return with_us(rows.drop("emitted_at", "date"))
+    day = _store(_log(spark, sf_dir), folder)
+    stored = tables.read_table(spark, folder, RAW, day, as_of=day)
+    return with_us(replay.replay_revisions(replay.replay(stored, retried=True)))
+
+
+@query
+def stored_compacted(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The raw table written in batches, compacted, and read back."""
+    folder = _folder(spark)
+    day = _store(_log(spark, sf_dir), folder)
+    tables.compact(spark, folder, RAW, day)
+    stored = tables.read_table(spark, folder, RAW, day, as_of=day).drop("date")
+    return with_us(stored.withColumn("langs", F.array_join("langs", ",")))
+
+
+# --- streams, run to the end of what is there -------------------------------------------------
+
+_LIVE: dict[tuple[str, str], str] = {}
+
+
+def _live(spark: SparkSession, sf_dir: str) -> str:
+    """Run the fast and the settled query side by side over the log, file by file in the order of
+    arrival; returns the folder of their tables. Once per session: five queries read the tables."""
+    key = (spark.sparkContext.applicationId, sf_dir)
+    if key not in _LIVE:
+        folder = _folder(spark)
+        events.write_live_log(spark, sf_dir, f"{folder}/log")
+        running = [
+            start(
+                file_log(spark, f"{folder}/log", max_files=1),
+                f"{folder}/tables",
+                f"{folder}/checkpoints",
+                trigger={"availableNow": True},
+            )
+            for start in (streaming.start_fast, streaming.start_settled)
+        ]
+        for stream in running:
+            stream.awaitTermination()
+        _LIVE[key] = f"{folder}/tables"
+    return _LIVE[key]
+
+
+def _streamed(spark: SparkSession, sf_dir: str, spec: OutputSpec) -> DataFrame:
+    folder, day = _live(spark, sf_dir), _first_day(_posts(spark, sf_dir))
+    return tables.read_table(spark, folder, spec, day, as_of=day)
 
 
 @query
 def stream_fast(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _stream(spark, sf_dir, streaming.start_fast, COUNTS_FAST)
+    return with_us(_streamed(spark, sf_dir, COUNTS_FAST).drop("emitted_at", "date"))
 
 
 @query
 def stream_settled(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _stream(spark, sf_dir, streaming.start_settled, COUNTS_SETTLED)
+    return with_us(_streamed(spark, sf_dir, COUNTS_SETTLED).drop("emitted_at", "date"))
 
 
 @query
 def stream_health(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _stream(spark, sf_dir, streaming.start_fast, HEALTH)
+    return with_us(_streamed(spark, sf_dir, HEALTH).drop("emitted_at", "date"))
+
+
+@query
+def live_revisions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What the fast stream published and what the settled one made of it."""
+    fast, settled = (_streamed(spark, sf_dir, spec) for spec in (COUNTS_FAST, COUNTS_SETTLED))
+    return with_us(curated.v_revisions(fast, settled))
+
+
+@query
+def live_late(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Creates that each stream dropped as too late, per published minute."""
+    every = windows.window_counts(_posts(spark, sf_dir), FAST_DELAY_S)
+    late = every.select("window_start", F.col("events").alias("all_events"))
+    for spec, name in ((COUNTS_FAST, "late_5s"), (COUNTS_SETTLED, "late_600s")):
+        counted = _streamed(spark, sf_dir, spec).select("window_start", F.col("events").alias(name))
+        how = "inner" if spec is COUNTS_FAST else "left"
+        late = late.join(counted, "window_start", how)
+        late = late.withColumn(name, F.col("all_events") - F.col(name))
+    return with_us(late.drop("all_events"))

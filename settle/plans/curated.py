@@ -14,6 +14,7 @@ from settle.operators.windows import WINDOW
 from settle.schema import SETTLED_DELAY_S, VIEW_DAYS
 
 PERCENTS = {"p50_lag_ms": 50, "p95_lag_ms": 95, "p99_lag_ms": 99}
+_TOTALS = ("events", "suspect_clocks", "future_dated", "backdated")
 
 
 def day(as_of: date | None) -> Column:
@@ -65,14 +66,12 @@ def v_revisions(fast: DataFrame, settled: DataFrame) -> DataFrame:
 def lag_histogram(rows: DataFrame, keys: dict[str, Column]) -> DataFrame:
     """Rows per group and plausible lag (``lag`` is NULL for suspect clocks)."""
     lag = F.when(~F.col("clock_suspect"), F.col("lag_ms"))
-    for key in keys.values():
-        rows = rows.filter(key.isNotNull())
     return rows.groupBy(*[c.alias(n) for n, c in keys.items()], lag.alias("lag")).agg(
         F.count("*").alias("n")
     )
 
 
-def skew_measures(histogram: DataFrame, keys: list[str], approximate: bool = False) -> DataFrame:
+def skew_measures(histogram: DataFrame, keys: list[str]) -> DataFrame:
     """Totals and lag percentiles per group from its histogram, read once from the rows."""
     lag, n = F.col("lag"), F.col("n")
 
@@ -85,8 +84,12 @@ def skew_measures(histogram: DataFrame, keys: list[str], approximate: bool = Fal
         total(lag < 0).alias("future_dated"),
         total(lag > 0).alias("backdated"),
     ]
-    exact = exact_quantiles(histogram, keys, "lag", PERCENTS, weight="n")
-    return histogram.groupBy(*keys).agg(*measures).join(exact, keys, "left")
+    # as one struct, so that a NULL key is a group like any other and finds itself in a join
+    histogram = histogram.select(F.struct(*keys).alias("keys"), "lag", "n")
+    exact = exact_quantiles(histogram, ["keys"], "lag", PERCENTS, weight="n")
+    return histogram.groupBy("keys").agg(*measures).join(exact, "keys", "left").select(
+        "keys.*", *(name for name in (*_TOTALS, *PERCENTS))
+    )
 
 
 def skew_measures_approx(rows: DataFrame, keys: dict[str, Column]) -> DataFrame:
@@ -108,7 +111,8 @@ def v_skew_profile(
 
 
 def freshness(health: DataFrame, as_of: datetime | None = None) -> DataFrame:
-    """How old the newest closed window is; absence of recent rows is the alarm, not a zero."""
+    """End and age of the newest closed window. Whoever watches it should expect no row at all from an
+    idle pipeline, and treat a growing age as the fault."""
     newest = F.max("window_end")
     return health.agg(
         newest.alias("last_window_end"),
@@ -117,7 +121,7 @@ def freshness(health: DataFrame, as_of: datetime | None = None) -> DataFrame:
 
 
 def publish_latency(health: DataFrame) -> DataFrame:
-    """Emission minus window end, per window: the true end-to-end delay of publication."""
+    """How long after its end each window was written out."""
     return health.select(
         "window_end",
         "max_observed_time",
@@ -141,7 +145,8 @@ def unsettled_status(
 def clock_diagnosis(enriched: DataFrame) -> DataFrame:
     """Suspect clocks beside unparsed claims, per minute of creates.
 
-    Suspect clocks with few unparsed claims are bad clocks; with many, the time format moved.
+    Read together they say who is at fault: suspects whose claims do parse point at authors' clocks,
+    suspects whose claims do not at a changed time format.
     """
     return (
         creates(enriched)

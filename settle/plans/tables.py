@@ -1,14 +1,18 @@
-"""Stored tables: Parquet under ``root/<table>/run=<query>/batch_id=<n>/date=<day>``.
+"""Stored tables: Parquet under ``root/<table>/date=<day>/run=<query>/batch_id=<n>``.
 
-A micro-batch is written under its own number with overwrite, so a repeated batch replaces itself
-and leaves no duplicate. ``run`` is the streaming query's id, which survives restarts from the same
-checkpoint and changes with a new one, so a fresh query can never overwrite an older one's rows.
+The day is the outermost folder: a reader lists the days it was asked for and no others, and a day
+past retention goes as one folder. A micro-batch replaces the folders of its own number, day by day,
+so a repeated batch leaves no duplicate, and a batch without rows leaves no folder. ``run`` is the
+streaming query's id, which survives restarts from the same checkpoint and changes with a new one,
+so a fresh query can never overwrite an older one's rows.
 """
 
 from __future__ import annotations
 
+import uuid
 from datetime import date, datetime, timedelta, timezone
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -18,6 +22,7 @@ from settle.schema import OutputSpec
 
 REJECT_POLICIES = ("fail", "quarantine")
 POSITION = ("kafka_partition", "kafka_offset")
+REJECTS, ASIDE = "_rejects", "_compacting"
 
 
 def today() -> date:
@@ -25,22 +30,21 @@ def today() -> date:
 
 
 def with_date(rows: DataFrame, spec: OutputSpec) -> DataFrame:
-    """Partition by the relay's clock, never the client's: that one ranges from 1970 to 2099."""
+    """Partition by the relay's clock; the author's claim may be any date at all."""
     return rows.withColumn("date", F.to_date(spec.date_from))
 
 
-def batch_path(root: str, table: str, run: str, batch_id: int) -> str:
-    return f"{root}/{table}/run={run}/batch_id={batch_id}"
-
-
-def _save(rows: DataFrame, spec: OutputSpec, path: str) -> None:
-    dated = with_date(rows, spec)
+def _save(rows: DataFrame, spec: OutputSpec, path: str, run: str, batch_id: int) -> None:
+    """Replace what this run has stored under this batch number, on the days the rows are of."""
     if spec.one_row_a_minute:
-        dated = dated.repartition("date")
+        rows = rows.repartition("date")
     (
-        dated.sortWithinPartitions("date", *spec.cluster_by)
+        rows.withColumn("run", F.lit(run))
+        .withColumn("batch_id", F.lit(batch_id).cast("long"))
+        .sortWithinPartitions("date", *spec.cluster_by)
         .write.mode("overwrite")
-        .partitionBy("date")
+        .option("partitionOverwriteMode", "dynamic")
+        .partitionBy("date", "run", "batch_id")
         .parquet(path)
     )
 
@@ -61,14 +65,16 @@ def write_batch(
     """
     if on_reject not in REJECT_POLICIES:
         raise ValueError(f"on_reject must be one of {REJECT_POLICIES}")
-    rows = contract.conform(rows, spec)
-    path = batch_path(root, spec.name, run, batch_id)
+    contract.conform(rows, spec)
+    path = f"{root}/{spec.name}"
     if on_reject == "fail":
-        _save(contract.or_fail(rows, spec), spec, path)
+        _save(with_date(contract.or_fail(rows, spec), spec), spec, path, run, batch_id)
         return
-    _save(contract.accepted(rows, spec), spec, path)
-    rejects = batch_path(root, f"{spec.name}_rejects", run, batch_id)
-    contract.rejected(rows, spec).write.mode("overwrite").parquet(rejects)
+    _save(with_date(contract.accepted(rows, spec), spec), spec, path, run, batch_id)
+    # a reject may be rejected for want of a day; it is then filed under the day of its writing
+    rejected = with_date(contract.rejected(rows, spec), spec)
+    rejected = rejected.withColumn("date", F.coalesce("date", F.current_date()))
+    _save(rejected, spec, f"{path}{REJECTS}", run, batch_id)
 
 
 def write_clustered(rows: DataFrame, spec: OutputSpec, root: str, run: str) -> None:
@@ -77,11 +83,11 @@ def write_clustered(rows: DataFrame, spec: OutputSpec, root: str, run: str) -> N
     The log position ends the range key, so a day or an author holding a large share of the rows
     is still split over many tasks.
     """
-    rows = contract.or_fail(contract.conform(rows, spec), spec)
+    contract.conform(rows, spec)
+    dated = with_date(contract.or_fail(rows, spec), spec)
     if spec.cluster_by:
-        rows = with_date(rows, spec).repartitionByRange("date", *spec.cluster_by, *POSITION)
-        rows = rows.drop("date")
-    _save(rows, spec, batch_path(root, spec.name, run, 0))
+        dated = dated.repartitionByRange("date", *spec.cluster_by, *POSITION)
+    _save(dated, spec, f"{root}/{spec.name}", run, 0)
 
 
 def first_live_day(spec: OutputSpec, as_of: date | None = None) -> date | None:
@@ -91,6 +97,33 @@ def first_live_day(spec: OutputSpec, as_of: date | None = None) -> date | None:
     return (as_of or today()) - timedelta(days=spec.retention_days - 1)
 
 
+def _days(path: str, first: date, last: date) -> str:
+    """A pattern for the folders of some days; others are not even listed."""
+    days = (first + timedelta(days=i) for i in range((last - first).days + 1))
+    return f"{path}/date={{{','.join(map(str, days))}}}"
+
+
+def _read(
+    spark: SparkSession, path: str, fields: list[T.StructField], first: date, last: date
+) -> DataFrame:
+    stored = [
+        T.StructField("date", T.DateType()),
+        T.StructField("run", T.StringType()),
+        T.StructField("batch_id", T.LongType()),
+    ]
+    schema = T.StructType([*fields, *stored])
+    try:
+        if first > last:
+            return spark.createDataFrame([], schema)
+        reader = spark.read.schema(schema).option("basePath", path)
+        rows = reader.parquet(_days(path, first, last))
+    except AnalysisException as error:
+        if error.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return spark.createDataFrame([], schema)
+    return rows.filter(F.col("date").between(first, last))
+
+
 def read_table(
     spark: SparkSession,
     root: str,
@@ -99,24 +132,62 @@ def read_table(
     until: date | None = None,
     as_of: date | None = None,
 ) -> DataFrame:
-    """Rows from ``since`` on. The bound is mandatory, and prunes partitions; there is no reader
-    without one. Days past the table's retention are never returned, dropped yet or not."""
+    """Rows from ``since`` to ``until`` (or tomorrow). The bound is mandatory, and only the folders
+    of those days are listed; there is no reader without one. Days past the table's retention are
+    never returned, dropped yet or not. Days without rows are no error."""
     live = first_live_day(spec, as_of)
     first = max(since, live) if live else since
-    schema = T.StructType(
-        [
-            *spec.table_schema.fields,
-            T.StructField("run", T.StringType()),
-            T.StructField("batch_id", T.LongType()),
-            T.StructField("date", T.DateType()),
-        ]
-    )
-    rows = spark.read.schema(schema).parquet(f"{root}/{spec.name}").filter(F.col("date") >= first)
-    if until is not None:
-        rows = rows.filter(F.col("date") <= until)
+    last = until or max(today(), as_of or today()) + timedelta(days=1)
+    rows = _read(spark, f"{root}/{spec.name}", spec.table_schema.fields, first, last)
     return rows.drop("run", "batch_id")
 
 
+def read_rejects(
+    spark: SparkSession, root: str, spec: OutputSpec, since: date, until: date | None = None
+) -> DataFrame:
+    """Quarantined rows with their ``reject_reason``, and the message they came in, if any."""
+    extra = [T.StructField(name, T.StringType()) for name in ("message", "reject_reason")]
+    last = until or today() + timedelta(days=1)
+    path = f"{root}/{spec.name}{REJECTS}"
+    rows = _read(spark, path, [*spec.table_schema.fields, *extra], since, last)
+    return rows.drop("run", "batch_id")
+
+
+def compact(spark: SparkSession, root: str, spec: OutputSpec, day: date) -> int:
+    """Gather the batch folders of a day that is over into one; returns how many went.
+
+    The rows are written aside, moved in, and only then are the old folders deleted. Stopped half
+    way, the day holds rows twice until the next call, which keeps one of equal rows: a reader may see
+    a row again, as after any retried write, but never misses one. Safe to repeat.
+    """
+    path, folder = f"{root}/{spec.name}", f"date={day}"
+    files, at = _files(spark, f"{path}/{folder}")
+    if not files.exists(at(f"{path}/{folder}")):
+        return 0
+    runs = [status.getPath() for status in files.listStatus(at(f"{path}/{folder}"))]
+    old = [batch.getPath() for run in runs for batch in files.listStatus(run)]
+    if len(old) < 2:
+        return 0
+    rows = _read(spark, path, spec.table_schema.fields, day, day).drop("run", "batch_id").distinct()
+    aside, run = f"{path}{ASIDE}/{uuid.uuid4().hex}", f"compact-{uuid.uuid4().hex}"
+    if spec.cluster_by:
+        keys = [*spec.cluster_by, *(name for name in POSITION if name in rows.columns)]
+        rows = rows.repartitionByRange(*keys)
+    _save(rows, spec, aside, run, 0)
+    if not files.rename(at(f"{aside}/{folder}/run={run}"), at(f"{path}/{folder}/run={run}")):
+        raise OSError(f"could not move the compacted day to {path}/{folder}")
+    for folder_ in runs:
+        files.delete(folder_, True)
+    files.delete(at(aside), True)
+    return len(old)
+
+
+def _files(spark: SparkSession, path: str):
+    """The file system of a path, and how to make its paths. Spark's own API cannot move or delete."""
+    hadoop = spark._jvm.org.apache.hadoop.fs.Path
+    return hadoop(path).getFileSystem(spark._jsc.hadoopConfiguration()), hadoop
+
+
 def expired_days(rows: DataFrame, spec: OutputSpec, as_of: date) -> DataFrame:
     """Days of a table past its retention, with the rows they hold."""
     day = F.to_date(spec.date_from)
@@ -128,17 +199,16 @@ def expired_days(rows: DataFrame, spec: OutputSpec, as_of: date) -> DataFrame:
 def drop_expired(
     spark: SparkSession, root: str, spec: OutputSpec, as_of: date | None = None
 ) -> list[str]:
-    """Delete the day folders past retention; returns their paths. Lists folders, reads no rows."""
+    """Delete the days past retention, rejects included; returns their paths. Lists days only."""
     live = first_live_day(spec, as_of)
     if live is None:
         return []
-    jvm = spark._jvm
-    pattern = jvm.org.apache.hadoop.fs.Path(f"{root}/{spec.name}/run=*/batch_id=*/date=*")
-    files = pattern.getFileSystem(spark._jsc.hadoopConfiguration())
     dropped = []
-    for status in files.globStatus(pattern) or []:
-        folder = status.getPath()
-        if date.fromisoformat(folder.getName().removeprefix("date=")) < live:
-            files.delete(folder, True)
-            dropped.append(folder.toString())
+    for table in (spec.name, f"{spec.name}{REJECTS}"):
+        files, at = _files(spark, f"{root}/{table}")
+        for status in files.globStatus(at(f"{root}/{table}/date=*")) or []:
+            folder = status.getPath()
+            if date.fromisoformat(folder.getName().removeprefix("date=")) < live:
+                files.delete(folder, True)
+                dropped.append(folder.toString())
     return dropped

@@ -6,7 +6,7 @@ are placed by fixed rules on ``event_id`` so that any engine can reproduce each
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from settle.session import prepare
@@ -32,6 +32,7 @@ _LAG0 = """
 """
 _DELAY = """
     CASE WHEN event_id % 997 = 5 THEN 900000000L
+         WHEN event_id % 83 = 9 THEN 300000000 + ((event_id * 7919) % 240) * 1000000
          WHEN event_id % 50 = 7 THEN 20000000 + ((event_id * 7919) % 70) * 1000000
          ELSE ((event_id * 7919) % 2000) * 1000 END
 """
@@ -83,7 +84,7 @@ def spread(events: DataFrame) -> DataFrame:
     """For work that is heavy per row: spread a table smaller than the cluster, read by fewer
     tasks than there are cores. A table with enough splits is left where it is."""
     cores = events.sparkSession.sparkContext.defaultParallelism
-    if events.rdd.getNumPartitions() < cores:
+    if len(events.inputFiles()) < cores:
         events = events.repartition(cores, "event_id")
     return events
 
@@ -167,13 +168,6 @@ def unnumbered_posts(events: DataFrame, speedup: int = SPEEDUP) -> DataFrame:
     return as_posts(rows.withColumn("kafka_offset", F.lit(None).cast("bigint")))
 
 
-def stream_events(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The events table as a stream. The path is a pattern because a streaming file source takes
-    a pattern or a folder, and the table may be one file."""
-    reader = prepare(spark).readStream.schema(EVENTS_SCHEMA)
-    return reader.parquet(f"{sf_dir}/event[s].parquet")
-
-
 def posts_without_positions(
     spark: SparkSession, sf_dir: str, speedup: int = SPEEDUP
 ) -> DataFrame:
@@ -182,9 +176,31 @@ def posts_without_positions(
 
 def as_log(posts: DataFrame) -> DataFrame:
     """Encode posts as log messages (``value, partition, offset``), NULL fields left out."""
+    return posts.select(*as_log_columns())
+
+
+def as_log_columns() -> list[Column]:
     body = F.to_json(F.struct("time_us", "did", "kind", "commit"))
-    return posts.select(
+    return [
         F.encode(body, "UTF-8").alias("value"),
         F.col("kafka_partition").alias("partition"),
         F.col("kafka_offset").alias("offset"),
-    )
+    ]
+
+
+# Minutes of arrival in one file of the live log.
+FILE_MINUTES = 2
+
+
+def write_live_log(spark: SparkSession, sf_dir: str, path: str) -> None:
+    """The whole log as files in order of arrival, every partition in each: one file, one micro-batch.
+
+    Files are written one after the other, as a stream takes them by their time of writing.
+    """
+    posts = unnumbered_posts(read_events(spark, sf_dir))
+    slot = F.expr(f"arrival_us div {FILE_MINUTES * 60_000_000}").alias("slot")
+    log = posts.select(*as_log_columns(), slot).repartition("slot").persist()
+    for row in log.select("slot").distinct().orderBy("slot").collect():
+        mine = log.filter(F.col("slot") == row.slot).drop("slot")
+        mine.coalesce(1).write.mode("append").parquet(path)
+    log.unpersist()

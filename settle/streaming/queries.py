@@ -93,21 +93,27 @@ def publish(spec: OutputSpec, delay_s: int, tables: str, with_health: bool) -> C
     return write
 
 
-def publish_raw(tables: str, on_reject: str = "quarantine", collections=None) -> Callable:
-    """Batch writer: raw posts and dead letters; the batch counts as done when both are written."""
+def publish_raw(
+    tables: str, on_reject: str = "quarantine", collections=None, gated: bool = False
+) -> Callable:
+    """Batch writer: raw posts and dead letters; the batch counts as done when both are written.
+
+    A ``gated`` log has no dead letters: ingest has sent those to a topic of their own.
+    """
 
     def write(batch: DataFrame, batch_id: int) -> None:
         run = run_id(batch)
-        classified = batch.persist()
-        log = frames.usable(classified).select("value", "partition", "offset")
-        posts = frames.decode(log)
+        received = batch if gated else batch.persist()
+        log = received if gated else frames.usable(received)
+        posts = frames.decode(log.select("value", "partition", "offset"))
         if collections is not None:
             posts = only_collections(posts, collections)
         rows = enrich(posts).persist()
         write_batch(rows, RAW, tables, run, batch_id, on_reject)
-        write_batch(frames.dead_letters(classified), PARSE_ERRORS, tables, run, batch_id)
         rows.unpersist()
-        classified.unpersist()
+        if not gated:
+            write_batch(frames.dead_letters(received), PARSE_ERRORS, tables, run, batch_id)
+            received.unpersist()
 
     return write
 
@@ -162,10 +168,11 @@ def start_raw(
     trigger: dict | None = None,
     on_reject: str = "quarantine",
     collections=None,
+    gated: bool = False,
 ) -> StreamingQuery:
-    classified = frames.observed_counters(frames.classify(log))
-    writer = classified.writeStream.outputMode("append").foreachBatch(
-        publish_raw(tables, on_reject, collections)
+    rows = log if gated else frames.observed_counters(frames.classify(log))
+    writer = rows.writeStream.outputMode("append").foreachBatch(
+        publish_raw(tables, on_reject, collections, gated)
     )
     return _start(writer, "raw", checkpoints, trigger or {"processingTime": TRIGGER})
 
@@ -199,11 +206,21 @@ def start_sink(
 
 
 def start_all(
-    log: Callable[[], DataFrame], tables: str, checkpoints: str, collections=None
+    log: Callable[[int | None], DataFrame],
+    tables: str,
+    checkpoints: str,
+    collections=None,
+    gated: bool = False,
+    max_offsets: int | None = None,
 ) -> list[StreamingQuery]:
-    """Start the three queries; ``log`` is called once per query, each reads on its own."""
+    """Start the three queries; ``log`` is called once per query, each reads on its own.
+
+    ``gated`` says that ingest has classified the log; nothing is then classified again. ``log`` is
+    given the bound of a micro-batch: ``max_offsets`` for fast and settled, none for raw.
+    """
+    options = {"collections": collections, "gated": gated}
     return [
-        start_raw(log(), tables, checkpoints, collections=collections),
-        start_fast(log(), tables, checkpoints, collections=collections),
-        start_settled(log(), tables, checkpoints, collections=collections),
+        start_raw(log(None), tables, checkpoints, **options),
+        start_fast(log(max_offsets), tables, checkpoints, **options),
+        start_settled(log(max_offsets), tables, checkpoints, **options),
     ]

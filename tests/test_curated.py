@@ -85,8 +85,8 @@ RAW = (
 )
 
 
-def raw(uri, operation, rev, offset, when, suspect=False, lag=1):
-    return (uri, operation, rev, 0, offset, when, suspect, lag)
+def raw(uri, operation, rev, offset, when, suspect=False, lag=1, partition=0):
+    return (uri, operation, rev, partition, offset, when, suspect, lag)
 
 
 def test_first_write_wins_per_uri_operation_and_rev(spark):
@@ -126,11 +126,15 @@ def test_duplicate_inflation(spark):
     rows = [raw("a", "create", "1", i, at(0)) for i in range(50)]
     rows += [raw("b", "create", "1", 60, at(0)), raw("b", "delete", "1", 61, at(0))]
     rows += [raw("c", "create", "1", 70, at(1)), raw("c", "create", "1", 71, at(2))]
+    # the same offset in two partitions: the lower partition was first
+    rows += [raw("d", "create", "1", 80, at(3), partition=1), raw("d", "create", "1", 80, at(4))]
     got = dedup.duplicate_inflation(spark.createDataFrame(rows, RAW)).collect()
     assert {(r.window_start.minute, r.raw_events, r.deduped_events, r.inflation) for r in got} == {
         (0, 51, 2, 49),
         (1, 1, 1, 0),
         (2, 1, 0, 1),
+        (3, 1, 0, 1),
+        (4, 1, 1, 0),
     }
 
 
@@ -202,6 +206,14 @@ def test_skew_profile_shuffles_its_posts_and_its_histogram_once(spark):
     assert plan.count("ReusedExchange") == 2
 
 
+def test_a_missing_key_is_a_group_of_its_own(spark):
+    rows = [raw(f"u{i}", "create", "1", i, at(0), lag=i) for i in range(10)]
+    frame = spark.createDataFrame(rows, RAW)
+    kind = F.when(F.col("lag_ms") >= 4, F.lit("late"))
+    got = curated.skew_measures(curated.lag_histogram(frame, {"kind": kind}), ["kind"]).collect()
+    assert {(r.kind, r.events, r.p50_lag_ms) for r in got} == {(None, 4, 1), ("late", 6, 6)}
+
+
 def test_approximate_percentiles_are_close(spark):
     rows = [raw(f"u{i}", "create", "1", i, at(0), lag=i) for i in range(1000)]
     minute = {"window_start": F.date_trunc("MINUTE", F.col("observed_time"))}

@@ -282,5 +282,6 @@ def test_kafka_options():
     options = kafka_source_options("broker:9092")
     assert options["subscribe"] == "bsky.posts.v1"
     assert options["startingOffsets"] == "latest"
-    assert int(options["maxOffsetsPerTrigger"]) > 0
+    assert "maxOffsetsPerTrigger" not in options
+    assert kafka_source_options("b", max_offsets=7)["maxOffsetsPerTrigger"] == "7"
     assert "topic" not in kafka_sink_options("broker:9092")
