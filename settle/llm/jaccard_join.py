@@ -25,6 +25,7 @@ from __future__ import annotations
 
 import math
 from collections.abc import Iterable, Iterator
+from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
@@ -300,14 +301,15 @@ def listed_points(listed: DataFrame, scratch: Scratch) -> DataFrame:
 
 
 def first_regions(lists: DataFrame) -> DataFrame:
-    """(pivot, window, node): one region for each point, that of the least of its pivots."""
+    """(pivot, window, node, label): one region for each point, that of the least of its pivots."""
     least = lists.groupBy("node").agg(F.min("pivot").alias("pivot")).filter("pivot < node")
     heads = least.select("pivot", F.col("pivot").alias("node")).distinct()
-    return least.select("pivot", "node").unionByName(heads).withColumn("window", F.lit(0))
+    members = least.select("pivot", "node").unionByName(heads)
+    return members.withColumns({"window": F.lit(0), "label": F.col("node")})
 
 
 def open_regions(lists: DataFrame, labels: DataFrame, scratch: Scratch) -> DataFrame:
-    """(pivot, window, node): regions by the lists whose points are not all in one component yet."""
+    """(pivot, window, node, label): regions by lists whose points are not all in one component yet."""
     known = lists.join(labels, "node", "left").withColumn(
         "label", F.coalesce("label", "node")
     )
@@ -317,7 +319,7 @@ def open_regions(lists: DataFrame, labels: DataFrame, scratch: Scratch) -> DataF
     )
     undecided = undecided.filter("low < high").select("value", "window")
     found = known.join(scratch.save(undecided, "undecided"), ["value", "window"], "left_semi")
-    return scratch.save(found.select("pivot", "window", "node").distinct(), "members")
+    return scratch.save(found.select("pivot", "window", "node", "label").distinct(), "members")
 
 
 def wanted_sets(rows: DataFrame, points: DataFrame, lists: DataFrame) -> DataFrame:
@@ -347,7 +349,11 @@ def wanted_sets(rows: DataFrame, points: DataFrame, lists: DataFrame) -> DataFra
 
 # --- joining a region -------------------------------------------------------------------------
 
-Point = tuple[int, np.ndarray]
+class Point(NamedTuple):
+    node: int
+    label: int  # of the component it is known to be in
+    values: np.ndarray
+    distance: float = 0.0  # to the pivot of the region
 
 
 def overlaps(pivot: np.ndarray, others: list[np.ndarray]) -> np.ndarray:
@@ -368,64 +374,67 @@ def compared(pivot: np.ndarray, others: list[np.ndarray]) -> tuple[np.ndarray, n
     return 1 - both / np.maximum(either, 1), 100 * both >= PERCENT * either
 
 
-def far_links(
-    far: list[tuple[int, np.ndarray, float]], points: list[tuple[int, np.ndarray, float]]
-) -> Iterator[tuple[int, int]]:
-    """Links of points outside the pivot's ball: each is a pivot for the points in its window.
+def far_links(far: list[Point], points: list[Point]) -> set[tuple[int, int]]:
+    """Components joined by points outside the pivot's ball.
 
-    Triples are node, set and distance to the region's pivot.
+    Each of them is a pivot for the points in its window; what is in one component already is passed by.
     """
-    nodes = np.array([node for node, _, _ in points])
-    sizes = np.array([len(values) for _, values, _ in points])
-    away = np.array([distance for _, _, distance in points])
-    for node, values, distance in far:
-        near = np.abs(away - distance) <= DISTANCE + SLACK
-        like = (100 * sizes >= PERCENT * len(values)) & (PERCENT * sizes <= 100 * len(values))
-        for i in np.flatnonzero(near & like & (nodes != node)):
-            _, link = compared(values, [points[i][1]])
-            if link[0]:
-                yield node, int(nodes[i])
-
-
-FOUND = "pivot long, window int, node long, distance double, linked boolean, a long, b long"
+    labels = np.array([point.label for point in points])
+    sizes = np.array([len(point.values) for point in points])
+    away = np.array([point.distance for point in points])
+    found: set[tuple[int, int]] = set()
+    for own in far:
+        n = len(own.values)
+        near = np.abs(away - own.distance) <= DISTANCE + SLACK
+        like = (100 * sizes >= PERCENT * n) & (PERCENT * sizes <= 100 * n)
+        for i in np.flatnonzero(near & like & (labels != own.label)):
+            pair = (own.label, int(labels[i]))
+            if pair not in found and compared(own.values, [points[i].values])[1][0]:
+                found.add(pair)
+    return found
+
+
+FOUND = (
+    "pivot long, window int, node long, label long, distance double, linked boolean, a long, b long"
+)
 
 
 def join_chunks(chunks: DataFrame) -> DataFrame:
     """Distances to the pivot, and in regions of one chunk all links.
 
-    Rows with ``a`` and ``b`` are links; the others are the points of regions of several chunks.
+    Rows with ``a`` and ``b`` are linked components; the others are the points of regions of several
+    chunks.
     """
 
-    def chunk(whole: bool, key: tuple, points: list[Point]) -> list[tuple]:
-        pivot, window = key
-        first = next(values for node, values in points if node == pivot)
-        others = [point for point in points if point[0] != pivot]
-        away, linked = compared(first, [values for _, values in others])
-        out = [
-            (pivot, window, None, None, None, pivot, node)
-            for (node, _), link in zip(others, linked, strict=True)
-            if link
-        ]
+    def chunk(whole: bool, pivot: int, window: int, points: list[Point]) -> list[tuple]:
+        first = next(point for point in points if point.node == pivot)
+        others = [point for point in points if point.node != pivot]
+        away, linked = compared(first.values, [point.values for point in others])
+        others = [p._replace(distance=float(d)) for p, d in zip(others, away, strict=True)]
+        pairs = {
+            (first.label, point.label)
+            for point, link in zip(others, linked, strict=True)
+            if link and point.label != first.label
+        }
+        out = []
         if whole:
-            triples = [(*p, float(d)) for p, d in zip(others, away, strict=True)]
-            far = [t for t, link in zip(triples, linked, strict=True) if not link]
-            links = far_links(far, triples)
-            out += [(pivot, window, None, None, None, a, b) for a, b in links]
+            pairs |= far_links([p for p, link in zip(others, linked, strict=True) if not link], others)
         else:
             out += [
-                (pivot, window, node, float(d), bool(link), None, None)
-                for (node, _), d, link in zip(others, away, linked, strict=True)
+                (pivot, window, point.node, point.label, point.distance, bool(link), None, None)
+                for point, link in zip(others, linked, strict=True)
             ]
-        return out
+        return out + [(pivot, window, None, None, None, None, a, b) for a, b in pairs]
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for (pivot, window, _, whole), points in grouped(batches, 4):
-            found = chunk(whole, (pivot, window), [(n, np.frombuffer(s, np.uint64)) for n, s in points])
+        for (pivot, window, _, whole), rows in grouped(batches, 4):
+            points = [Point(node, label, np.frombuffer(s, np.uint64)) for node, label, s in rows]
+            found = chunk(whole, pivot, window, points)
             if found:
                 yield columns_of(list(zip(*found, strict=True)), FOUND)
 
     keys = ["pivot", "window", "chunk", "whole"]
-    dealt = chunks.select(*keys, "node", "shingles")
+    dealt = chunks.select(*keys, "node", "label", "shingles")
     dealt = dealt.repartition("pivot", "window", "chunk").sortWithinPartitions(*keys)
     return dealt.mapInArrow(run, FOUND)
 
@@ -447,7 +456,7 @@ def grouped(
 
 
 def dealt_out(members: DataFrame, scratch: Scratch, name: str) -> DataFrame:
-    """(pivot, window, chunk, whole, node): points dealt out to chunks, the pivot in each of them."""
+    """(pivot, window, chunk, whole, node, label): points dealt out to chunks, the pivot in each of them."""
     sizes = members.groupBy("pivot", "window").agg(F.count("*").alias("size"))
     sizes = scratch.save(
         sizes.select("pivot", "window", F.expr(f"(size + {CHUNK - 1}) div {CHUNK}").alias("chunks")),
@@ -464,18 +473,19 @@ def dealt_out(members: DataFrame, scratch: Scratch, name: str) -> DataFrame:
         F.explode(placed).alias("chunk"),
         (F.col("chunks") == 1).alias("whole"),
         "node",
+        "label",
     )
 
 
 def join_rings(found: DataFrame, sets: DataFrame, scratch: Scratch) -> DataFrame:
-    """(a, b): links of the points outside the balls of large regions.
+    """(a, b): components linked by the points outside the balls of large regions.
 
     A ring is as wide as the distance of a link, so a point outside the ball meets the points of its own
     ring and of the two beside it. Each ring is a grid of chunks of the former by chunks of the latter.
     """
     ring = F.floor(F.col("distance") / (DISTANCE + SLACK)).cast("int")
     points = found.filter("node IS NOT NULL").withColumn("ring", ring).select(
-        "pivot", "window", "ring", "node", "distance", "linked"
+        "pivot", "window", "ring", "node", "label", "distance", "linked"
     )
     per_ring = ["pivot", "window", "ring"]
     far = points.filter(~F.col("linked")).drop("linked")
@@ -493,36 +503,40 @@ def join_rings(found: DataFrame, sets: DataFrame, scratch: Scratch) -> DataFrame
         mine = F.pmod(F.xxhash64("node"), F.col(own)).alias(own[:-1])
         every = F.explode(F.sequence(F.lit(0).cast("long"), F.col(other) - 1)).alias(other[:-1])
         return rows.join(grid, per_ring).select(
-            *per_ring, mine, every, F.lit(is_far).alias("far"), "node", "distance"
+            *per_ring, mine, every, F.lit(is_far).alias("far"), "node", "label", "distance"
         )
 
     cells = placed(far, "rows", "columns", True).unionByName(
         placed(near, "columns", "rows", False)
     )
     keys = [*per_ring, "row", "column"]
-    filled = cells.join(sets, "node").select(*keys, "far", "node", "distance", "shingles")
+    filled = cells.join(sets, "node").select(
+        *keys, "far", "node", "label", "distance", "shingles"
+    )
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for _, rows in grouped(batches, 5):
             points = [
-                (is_far, (node, np.frombuffer(values, np.uint64), distance))
-                for is_far, node, distance, values in rows
+                (is_far, Point(node, label, np.frombuffer(values, np.uint64), distance))
+                for is_far, node, label, distance, values in rows
             ]
-            far_ = [point for is_far, point in points if is_far]
-            near_ = [point for is_far, point in points if not is_far]
-            links = list(far_links(far_, near_))
-            if links:
-                yield columns_of(list(zip(*links, strict=True)), "a long, b long")
+            pairs = far_links(
+                [point for is_far, point in points if is_far],
+                [point for is_far, point in points if not is_far],
+            )
+            if pairs:
+                yield columns_of(list(zip(*pairs, strict=True)), "a long, b long")
 
     dealt = filled.repartition(*keys).sortWithinPartitions(*keys)
     return dealt.mapInArrow(run, "a long, b long")
 
 
-def links(rows: DataFrame, signatures, shared, points, scratch: Scratch) -> DataFrame:
-    """(a, b): links between different sets; not all of those within one ball, but enough to join it.
+def labelled(rows: DataFrame, signatures, shared, points, scratch: Scratch) -> DataFrame:
+    """(node, label): the component of every point that links to another.
 
     First every point meets one pivot only, which settles most groups of near copies. What is left are
-    the lists that still join different components; their regions are joined whole.
+    the lists that still join different components; their regions are joined whole, and what links
+    them is a graph of components.
     """
     listed = listed_shingles(signatures, shared, points, scratch)
     lists = listed_points(listed, scratch)
@@ -536,7 +550,18 @@ def links(rows: DataFrame, signatures, shared, points, scratch: Scratch) -> Data
     found = join_chunks(dealt_out(members, scratch, "sizes").join(sets, "node"))
     found = scratch.save(found, "found")
     near = found.filter("a IS NOT NULL").select("a", "b")
-    return first.unionByName(near).unionByName(join_rings(found, sets, scratch))
+    between = near.unionByName(join_rings(found, sets, scratch))
+    joined = components(between, scratch, "second").select(
+        F.col("node").alias("label"), F.col("label").alias("final")
+    )
+    joined = scratch.save(joined, "second-labels")
+    # points that were alone after the first round are labels of their own
+    alone = joined.select(F.col("label").alias("node"), "label").join(labels, "node", "left_anti")
+    return (
+        labels.unionByName(alone)
+        .join(joined, "label", "left")
+        .select("node", F.coalesce("final", "label").alias("label"))
+    )
 
 
 def near_duplicates(documents: DataFrame, scratch: Scratch) -> DataFrame:
@@ -550,8 +575,8 @@ def near_duplicates(documents: DataFrame, scratch: Scratch) -> DataFrame:
     rows = documents.select("doc_id", "text")
     signatures, shared = ordered_signatures(rows, scratch)
     points = points_of(signatures, scratch)
-    labelled = components(links(rows, signatures, shared, points, scratch), scratch, "all")
-    labels = points.join(scratch.save(labelled, "labels"), "node", "left").select(
+    known = scratch.save(labelled(rows, signatures, shared, points, scratch), "labels")
+    labels = points.join(known, "node", "left").select(
         "point", "doc_id", F.coalesce("label", "node").alias("label")
     )
     least = labels.groupBy("label").agg(F.min("doc_id").alias("component_id"))

@@ -8,7 +8,7 @@ its strings by ascending document id and compares the windows' words themselves.
 Minimisers are counted before anything is packed: a bit field of fixed size, sent to all tasks, tells
 which minimisers more than one document has, and only their super-k-mers travel. A second field marks
 those of very many documents; their buckets are dealt out by document id, each part sends on the first
-occurrence of a window, and the few firsts are compared again. A field that is too full only lets more
+occurrence of a window, and these are compared again, each window in a bucket of its own. A field that is too full only lets more
 through: no answer depends on it.
 """
 
@@ -137,7 +137,7 @@ def compare(packed: DataFrame, window: int) -> DataFrame:
 
     A bucket's strings come by ascending document; a window seen in an earlier document is a repeat.
     What a bucket remembers are its distinct windows, not its rows. Buckets that were dealt out also
-    return, with its words, each stretch that is first within its part (``end`` null).
+    return each window that is first within its part (``end`` null), with its words and their hash.
     """
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -153,14 +153,17 @@ def compare(packed: DataFrame, window: int) -> DataFrame:
                 words = text.split(b" ")
                 windows = (b" ".join(words[i : i + window]) for i in range(len(words) - window + 1))
                 repeat = [firsts.setdefault(w, doc_id) < doc_id for w in windows]
-                for at, end in stretches(repeat):
-                    if repeat[at]:
-                        row = (doc_id, key, first + at, first + end, value, None)
-                    elif part:
-                        own = b" ".join(words[at : end - 1 + window])
-                        row = (doc_id, key, first + at, None, value, own)
-                    else:
-                        continue
+                found = [
+                    (doc_id, key, first + at, first + end, value, None)
+                    for at, end in stretches(repeat)
+                    if repeat[at]
+                ]
+                for at, again in enumerate(repeat if part else ()):
+                    if not again:
+                        own = b" ".join(words[at : at + window])
+                        mixed = xxhash.xxh3_64_intdigest(own) - (1 << 63)
+                        found.append((doc_id, key, first + at, None, mixed, own))
+                for row in found:
                     for column, cell in zip(out, row, strict=True):
                         column.append(cell)
             yield columns_of(out, STRETCHES)
