@@ -147,20 +147,28 @@ class Words(dict):
         body = word.rstrip(TRAILING)
         if body and len(body) < len(word) and body[-1].lower().isalpha():
             packed = self[body] + self[word[len(body) :]]
+        elif self.plain(word):  # one piece, and case is all there is to normalise
+            lower = word.lower()
+            packed = self[lower] if lower != word else self.piece(word)
         else:
-            packed = array("I", self.ids(word)).tobytes()
+            ids = self.tokenizer.encode(word, add_special_tokens=False).ids
+            packed = array("I", ids).tobytes()
         if len(word) <= REMEMBERED_LENGTH:
             if len(self) >= REMEMBERED:
                 self.clear()
             self[word] = packed
         return packed
 
-    def ids(self, word: str) -> list[int]:
-        lower = word.lower()
-        if lower.isalpha() and max(word) <= LAST_LATIN:  # one piece, and no more to normalise
-            plain = "".join(map(byte_signs().__getitem__, lower.encode()))
-            return [token.id for token in self.model.tokenize(plain)]
-        return self.tokenizer.encode(word, add_special_tokens=False).ids
+    @staticmethod
+    def plain(word: str) -> bool:
+        """Only letters of Latin alphabets, also in lower case."""
+        return word.isalpha() and (
+            word.isascii() or (max(word) <= LAST_LATIN and word.lower().isalpha())
+        )
+
+    def piece(self, word: str) -> bytes:
+        signs = word if word.isascii() else "".join(map(byte_signs().__getitem__, word.encode()))
+        return array("I", [token.id for token in self.model.tokenize(signs)]).tobytes()
 
     def encode(self, text: str) -> bytes:
         """As the tokenizer encodes the whole text. Cut only at white space, where it cuts as well."""
