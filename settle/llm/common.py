@@ -18,9 +18,20 @@ WORD = r"[^\x20\x09-\x0D]+"
 #: Rows and bytes handed to a Python function at a time.
 BATCH_ROWS = 512
 BATCH_BYTES = 8 << 20
+ARROW = {
+    "spark.sql.execution.arrow.maxRecordsPerBatch": "2048",
+    "spark.sql.execution.arrow.maxBytesPerBatch": str(BATCH_BYTES),
+}
+
+
+def prepare(spark: SparkSession) -> None:
+    """Keep the batches that pass between Spark and Python small, as texts may be long."""
+    for key, value in ARROW.items():
+        spark.conf.set(key, value)
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    prepare(spark)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
@@ -32,6 +43,7 @@ class Scratch:
 
     def __init__(self, spark: SparkSession) -> None:
         ensure_checkpoint_dir(spark)
+        prepare(spark)
         self.spark = spark
         self.path = f"{spark.sparkContext.getCheckpointDir()}/llm-{uuid.uuid4().hex}"
 

@@ -7,9 +7,9 @@ Two documents link when their sets of five-word shingles have a Jaccard similari
 * Every point lists its signature: so many of its shingles, in one order for all, that two linked points
   must share one, and a few more. Frequent shingles come last in that order, so passages that many
   documents quote decide nothing. A point whose signature shares less with all others together than it
-  would with a single linked one is done. Points that share a shingle and are of like size (windows of the logarithm of the
-  size, a point also standing in the next one) have the least of them as a pivot. A pivot and its points
-  are a Voronoi region; a point that may have neighbours with other pivots is replicated to each.
+  would with a single linked one is done. Points that share a shingle have the least of them as a pivot.
+  A pivot and its points are a Voronoi region; a point that may have neighbours with other pivots is
+  replicated to each.
 * Within a region each point's distance to the pivot is computed. Points within 0.2 link to it. Of two
   points that both do, nothing more need be known: they are in one component. Points further out become
   pivots themselves and are compared with the points whose distance to the first pivot is within 0.2 of
@@ -23,7 +23,6 @@ Bit fields of fixed size keep shingles and texts that nothing shares from being
 
 from __future__ import annotations
 
-import math
 from collections.abc import Iterable, Iterator
 from typing import NamedTuple
 
@@ -48,14 +47,13 @@ SLACK = 1e-9  # for rounding of distances; only ever lets more be compared
 FREQUENT_BITS = 26
 SHARED_BITS = 26
 WANTED_BITS = 24
-#: Documents from which on a shingle is frequent, and how often the order is mended at most.
-FREQUENT = 256
-ORDERS = 3
+#: Documents from which on a shingle is frequent.
+FREQUENT = 128
 #: Shingles a task sorts together when it looks for frequent ones, and how many times one must occur.
 COUNTED = 1 << 22
 LOCALLY_FREQUENT = 3
 #: One in so many shingles of a set is listed beyond the base of its signature.
-EXTRA = 20
+EXTRA = 10
 #: Points of a chunk.
 CHUNK = 64
 
@@ -118,11 +116,6 @@ def signature(values: np.ndarray, frequent: np.ndarray) -> np.ndarray:
     return ordered[: base_length(n) + n // EXTRA]
 
 
-def size_window(n: int) -> int:
-    """Sizes of linked sets fall into the same window or neighbouring ones."""
-    return math.floor(math.log(n) / math.log(100 / PERCENT + 1e-6))
-
-
 # --- signatures of all documents --------------------------------------------------------------
 
 
@@ -175,47 +168,75 @@ def signed(rows: DataFrame, frequent: Broadcast) -> DataFrame:
 
 
 def shared_shingles(signatures: DataFrame) -> DataFrame:
-    """(value, n) of the shingles in signatures of different sets."""
+    """(values): packed hashes of the shingles that are in signatures of several documents.
 
-    def run(batch: pa.RecordBatch) -> pa.RecordBatch:
-        found, points = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
-        for point, packed in zip(*(c.to_pylist() for c in batch.columns), strict=True):
-            found.append(np.frombuffer(packed, np.int64))
-            points.append(np.full(len(found[-1]), np.frombuffer(point[:8], np.int64)[0]))
-        return columns_of([np.concatenate(found), np.concatenate(points)], "value long, point long")
-
-    values = map_batches(signatures.select("point", "signature"), run, "value long, point long")
-    counted = values.groupBy("value").agg(
-        F.count("*").alias("n"), F.min("point").alias("low"), F.max("point").alias("high")
-    )
-    return counted.filter(F.col("low") != F.col("high")).select("value", "n")
+    A task sorts its own shingles and sends each once, packed by ranges of the hash, with those it has
+    seen twice apart; whoever gets a range merges what the tasks have sent.
+    """
+    partitions = int(signatures.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    bits = max(4, (16 * partitions).bit_length())
+
+    def pack(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        kept: list[np.ndarray] = []
+        held = 0
+
+        def out() -> pa.RecordBatch:
+            values = np.sort(np.concatenate([*kept, np.zeros(0, np.uint64)]))
+            new = np.concatenate([[True], values[1:] != values[:-1]]) if len(values) else []
+            again = distinct(values[~np.array(new, bool)])
+            values = values[np.array(new, bool)]
+            edges = np.arange(1 << bits, dtype=np.uint64) << np.uint64(64 - bits)
+            cuts = [np.append(np.searchsorted(v, edges), len(v)) for v in (values, again)]
+            rows = [
+                (i, values[cuts[0][i] : cuts[0][i + 1]].tobytes(),
+                 again[cuts[1][i] : cuts[1][i + 1]].tobytes())
+                for i in np.flatnonzero(np.diff(cuts[0]))
+            ]
+            return columns_of(list(zip(*rows, strict=True)) or [[], [], []], RANGE)
 
+        for batch in batches:
+            for packed in batch.column(0).to_pylist():
+                kept.append(np.frombuffer(packed, np.uint64))
+                held += len(kept[-1])
+                if held > COUNTED:
+                    yield out()
+                    kept, held = [], 0
+        yield out()
+
+    def merge(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for _, rows in grouped(batches, 1):
+            once = np.sort(np.concatenate([np.frombuffer(own, np.uint64) for own, _ in rows]))
+            twice = once[1:][once[1:] == once[:-1]]
+            often = [np.frombuffer(again, np.uint64) for _, again in rows]
+            values = distinct(np.concatenate([twice, *often]))
+            if len(values):
+                yield columns_of([[values.tobytes()]], "values binary")
+
+    ranges = signatures.select("signature").mapInArrow(pack, RANGE)
+    dealt = ranges.repartition(partitions, "part").sortWithinPartitions("part")
+    return dealt.mapInArrow(merge, "values binary")
+
+
+RANGE = "part int, once binary, often binary"
 
-def outside(values: DataFrame, field: Broadcast) -> DataFrame:
+
+def unpacked(packed: DataFrame) -> DataFrame:
     def run(batch: pa.RecordBatch) -> pa.RecordBatch:
-        own = batch.column(0).to_numpy()
-        return columns_of([own[~in_field(field.value, own.view(np.uint64))]], "value long")
+        found = [np.frombuffer(values, np.int64) for values in batch.column(0).to_pylist()]
+        return columns_of([np.concatenate([*found, np.zeros(0, np.int64)])], "value long")
 
-    return map_batches(values.select("value"), run, "value long")
+    return map_batches(packed.select("values"), run, "value long")
 
 
 def ordered_signatures(rows: DataFrame, scratch: Scratch) -> tuple[DataFrame, DataFrame]:
     """Signatures in an order that has frequent shingles last, and the shingles they share.
 
-    Each round counts the shingles in signatures; if frequent ones turn up that the order does not know
-    yet, they are put last as well and signatures are made anew. The order only saves work.
+    The order is the same for all documents but need not know every frequent shingle: it saves work.
     """
-    context = rows.sparkSession.sparkContext
     frequent = field_of(frequent_shingles(rows), FREQUENT_BITS)
-    for number in range(ORDERS):
-        sent = context.broadcast(frequent)
-        signatures = scratch.save(signed(rows, sent), f"signatures-{number}")
-        shared = scratch.save(shared_shingles(signatures), f"shared-{number}")
-        more = field_of(outside(shared.filter(F.col("n") >= FREQUENT), sent), FREQUENT_BITS)
-        if not more.any():
-            break
-        frequent |= more
-    return signatures, shared
+    sent = rows.sparkSession.sparkContext.broadcast(frequent)
+    signatures = scratch.save(signed(rows, sent), "signatures")
+    return signatures, unpacked(scratch.save(shared_shingles(signatures), "shared"))
 
 
 # --- regions ----------------------------------------------------------------------------------
@@ -232,10 +253,9 @@ def points_of(signatures: DataFrame, scratch: Scratch) -> DataFrame:
 def listed_shingles(
     signatures: DataFrame, shared: DataFrame, points: DataFrame, scratch: Scratch
 ) -> DataFrame:
-    """(value, window, home, base, need, node): the shared signature shingles of each point.
+    """(value, base, need, node): the shared signature shingles of each point.
 
-    Each is listed in the point's own window of sizes and, as a guest, in the next. Points that share
-    too few shingles to link with anything are left out.
+    Points that share too few shingles to link with anything are left out.
     """
     sent = signatures.sparkSession.sparkContext.broadcast(field_of(shared, SHARED_BITS))
 
@@ -257,69 +277,60 @@ def listed_shingles(
     mine = short.join(points, ["point", "doc_id"]).select("node", "n", "in_base", "values")
 
     def spread(batch: pa.RecordBatch) -> pa.RecordBatch:
-        out: list[list] = [[] for _ in range(6)]
+        out: list[list] = [[] for _ in range(4)]
         for node, n, in_base, packed in zip(*(c.to_pylist() for c in batch.columns), strict=True):
             values = np.frombuffer(packed, np.int64)
-            base = np.arange(len(values)) < in_base
-            for guest in (0, 1):
-                constant = (size_window(n) + guest, not guest, least_shared(n), node)
-                window, home, need, who = ([x] * len(values) for x in constant)
-                cells = (values, window, home, base, need, who)
-                for column, more in zip(out, cells, strict=True):
-                    column.extend(more)
+            size = len(values)
+            cells = (values, np.arange(size) < in_base, [least_shared(n)] * size, [node] * size)
+            for column, more in zip(out, cells, strict=True):
+                column.extend(more)
         return columns_of(out, LISTED)
 
     return scratch.save(map_batches(mine, spread, LISTED), "listed")
 
 
 SHORT = "point binary, doc_id long, n long, in_base long, values binary"
-LISTED = "value long, window int, home boolean, base boolean, need long, node long"
+LISTED = "value long, base boolean, need long, node long"
 
 
 def pivoted(listed: DataFrame, scratch: Scratch, name: str) -> DataFrame:
-    """``listed`` with the least point of each shingle and window as ``pivot``.
-
-    Lists of one point, and lists whose points are all guests, say nothing new and are dropped.
-    """
-    heads = listed.groupBy("value", "window").agg(
-        F.min("node").alias("pivot"), F.max("node").alias("last"), F.max("home").alias("homes")
-    )
-    heads = heads.filter("pivot < last AND homes").select("value", "window", "pivot")
-    return listed.join(scratch.save(heads, f"{name}-heads"), ["value", "window"])
+    """``listed`` with the least point of each shingle as ``pivot``; lists of one point are dropped."""
+    heads = listed.groupBy("value").agg(F.min("node").alias("pivot"), F.max("node").alias("last"))
+    heads = heads.filter("pivot < last").select("value", "pivot")
+    return listed.join(scratch.save(heads, f"{name}-heads"), "value")
 
 
 def listed_points(listed: DataFrame, scratch: Scratch) -> DataFrame:
-    """(value, window, node, pivot): the lists of points that share enough within windows of sizes."""
+    """(value, node, pivot): the base lists of the points that share enough with others."""
     whole = pivoted(listed, scratch, "whole")
     enough = whole.groupBy("node").agg(
-        F.countDistinct("value").alias("found"), F.first("need").alias("need")
+        F.count("*").alias("found"), F.max("need").alias("need")
     )
     enough = scratch.save(enough.filter("found >= need").select("node"), "enough")
-    base = listed.filter("base").join(enough, "node", "left_semi")
-    lists = pivoted(scratch.save(base, "base"), scratch, "base")
-    return scratch.save(lists.select("value", "window", "node", "pivot"), "lists")
+    base = listed.filter("base").join(enough, "node", "left_semi").select("value", "node")
+    return scratch.save(pivoted(scratch.save(base, "base"), scratch, "base"), "lists")
 
 
 def first_regions(lists: DataFrame) -> DataFrame:
-    """(pivot, window, node, label): one region for each point, that of the least of its pivots."""
+    """(pivot, node, label): one region for each point, that of the least of its pivots."""
     least = lists.groupBy("node").agg(F.min("pivot").alias("pivot")).filter("pivot < node")
     heads = least.select("pivot", F.col("pivot").alias("node")).distinct()
     members = least.select("pivot", "node").unionByName(heads)
-    return members.withColumns({"window": F.lit(0), "label": F.col("node")})
+    return members.withColumn("label", F.col("node"))
 
 
 def open_regions(lists: DataFrame, labels: DataFrame, scratch: Scratch) -> DataFrame:
-    """(pivot, window, node, label): regions by lists whose points are not all in one component yet."""
+    """(pivot, node, label): regions by the lists whose points are not all in one component yet."""
     known = lists.join(labels, "node", "left").withColumn(
         "label", F.coalesce("label", "node")
     )
     known = scratch.save(known, "known")
-    undecided = known.groupBy("value", "window").agg(
+    undecided = known.groupBy("value").agg(
         F.min("label").alias("low"), F.max("label").alias("high")
     )
-    undecided = undecided.filter("low < high").select("value", "window")
-    found = known.join(scratch.save(undecided, "undecided"), ["value", "window"], "left_semi")
-    return scratch.save(found.select("pivot", "window", "node", "label").distinct(), "members")
+    undecided = undecided.filter("low < high").select("value")
+    found = known.join(scratch.save(undecided, "undecided"), "value", "left_semi")
+    return scratch.save(found.select("pivot", "node", "label").distinct(), "members")
 
 
 def wanted_sets(rows: DataFrame, points: DataFrame, lists: DataFrame) -> DataFrame:
@@ -395,7 +406,7 @@ def far_links(far: list[Point], points: list[Point]) -> set[tuple[int, int]]:
 
 
 FOUND = (
-    "pivot long, window int, node long, label long, distance double, linked boolean, a long, b long"
+    "pivot long, node long, label long, distance double, linked boolean, a long, b long"
 )
 
 
@@ -406,7 +417,7 @@ def join_chunks(chunks: DataFrame) -> DataFrame:
     chunks.
     """
 
-    def chunk(whole: bool, pivot: int, window: int, points: list[Point]) -> list[tuple]:
+    def chunk(whole: bool, pivot: int, points: list[Point]) -> list[tuple]:
         first = next(point for point in points if point.node == pivot)
         others = [point for point in points if point.node != pivot]
         away, linked = compared(first.values, [point.values for point in others])
@@ -421,21 +432,21 @@ def join_chunks(chunks: DataFrame) -> DataFrame:
             pairs |= far_links([p for p, link in zip(others, linked, strict=True) if not link], others)
         else:
             out += [
-                (pivot, window, point.node, point.label, point.distance, bool(link), None, None)
+                (pivot, point.node, point.label, point.distance, bool(link), None, None)
                 for point, link in zip(others, linked, strict=True)
             ]
-        return out + [(pivot, window, None, None, None, None, a, b) for a, b in pairs]
+        return out + [(pivot, None, None, None, None, a, b) for a, b in pairs]
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for (pivot, window, _, whole), rows in grouped(batches, 4):
+        for (pivot, _, whole), rows in grouped(batches, 3):
             points = [Point(node, label, np.frombuffer(s, np.uint64)) for node, label, s in rows]
-            found = chunk(whole, pivot, window, points)
+            found = chunk(whole, pivot, points)
             if found:
                 yield columns_of(list(zip(*found, strict=True)), FOUND)
 
-    keys = ["pivot", "window", "chunk", "whole"]
+    keys = ["pivot", "chunk", "whole"]
     dealt = chunks.select(*keys, "node", "label", "shingles")
-    dealt = dealt.repartition("pivot", "window", "chunk").sortWithinPartitions(*keys)
+    dealt = dealt.repartition("pivot", "chunk").sortWithinPartitions(*keys)
     return dealt.mapInArrow(run, FOUND)
 
 
@@ -456,20 +467,18 @@ def grouped(
 
 
 def dealt_out(members: DataFrame, scratch: Scratch, name: str) -> DataFrame:
-    """(pivot, window, chunk, whole, node, label): points dealt out to chunks, the pivot in each of them."""
-    sizes = members.groupBy("pivot", "window").agg(F.count("*").alias("size"))
+    """(pivot, chunk, whole, node, label): points dealt out to chunks, the pivot in each of them."""
+    sizes = members.groupBy("pivot").agg(F.count("*").alias("size"))
     sizes = scratch.save(
-        sizes.select("pivot", "window", F.expr(f"(size + {CHUNK - 1}) div {CHUNK}").alias("chunks")),
-        name,
+        sizes.select("pivot", F.expr(f"(size + {CHUNK - 1}) div {CHUNK}").alias("chunks")), name
     )
     of_node = F.pmod(F.xxhash64("node"), F.col("chunks"))
-    joined = members.join(sizes, ["pivot", "window"])
+    joined = members.join(sizes, "pivot")
     placed = F.when(
         F.col("node") == F.col("pivot"), F.sequence(F.lit(0).cast("long"), F.col("chunks") - 1)
     ).otherwise(F.array(of_node))
     return joined.select(
         "pivot",
-        "window",
         F.explode(placed).alias("chunk"),
         (F.col("chunks") == 1).alias("whole"),
         "node",
@@ -485,9 +494,9 @@ def join_rings(found: DataFrame, sets: DataFrame, scratch: Scratch) -> DataFrame
     """
     ring = F.floor(F.col("distance") / (DISTANCE + SLACK)).cast("int")
     points = found.filter("node IS NOT NULL").withColumn("ring", ring).select(
-        "pivot", "window", "ring", "node", "label", "distance", "linked"
+        "pivot", "ring", "node", "label", "distance", "linked"
     )
-    per_ring = ["pivot", "window", "ring"]
+    per_ring = ["pivot", "ring"]
     far = points.filter(~F.col("linked")).drop("linked")
     near = points.drop("linked").withColumn(
         "ring", F.explode(F.array(*(F.col("ring") + k for k in (-1, 0, 1))))
@@ -515,7 +524,7 @@ def join_rings(found: DataFrame, sets: DataFrame, scratch: Scratch) -> DataFrame
     )
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for _, rows in grouped(batches, 5):
+        for _, rows in grouped(batches, 4):
             points = [
                 (is_far, Point(node, label, np.frombuffer(values, np.uint64), distance))
                 for is_far, node, label, distance, values in rows

@@ -151,13 +151,8 @@ def test_linked_sets_share_enough_of_their_signatures():
             continue
         signed = [jaccard_join.signature(x, field) for x in (a, b)]
         shared = len(np.intersect1d(*signed))
-        assert shared >= max(map(jaccard_join.least_shared, (len(a), len(b)))) or shared >= min(
-            map(jaccard_join.least_shared, (len(a), len(b)))
-        )
         bases = [s[: jaccard_join.base_length(len(x))] for s, x in zip(signed, (a, b), strict=True)]
         assert len(np.intersect1d(*bases)) >= 1
-        windows = [jaccard_join.size_window(len(x)) for x in (a, b)]
-        assert abs(windows[0] - windows[1]) <= 1
         for x in (a, b):
             assert shared >= jaccard_join.least_shared(len(x))
 
