@@ -7,8 +7,8 @@ its strings by ascending document id and compares the windows' words themselves.
 
 Minimisers are counted before anything is packed: a bit field of fixed size, sent to all tasks, tells
 which minimisers more than one document has, and only their super-k-mers travel. A second field marks
-those of very many documents; their buckets are dealt out by document id, each part sends on the first
-occurrence of a window, and these are compared again, each window in a bucket of its own. A field that is too full only lets more
+those of very many documents; their buckets are dealt out by document id, each part sends on the windows
+that are new to it, and the smallest document of each of these is found by an aggregation. A field that is too full only lets more
 through: no answer depends on it.
 """
 
@@ -97,7 +97,7 @@ def shared_minimisers(rows: DataFrame, window: int) -> DataFrame:
 
 #: ``key`` tells apart rows that repeat an id with another text.
 PACKED = "value long, part int, doc_id long, key long, first int, packed binary"
-STRETCHES = "doc_id long, key long, first int, end int, value long, packed binary"
+STRETCHES = "doc_id long, key long, first int, end int, packed binary"
 
 
 def pack(rows: DataFrame, shared: Broadcast, hot: Broadcast, window: int) -> DataFrame:
@@ -137,14 +137,14 @@ def compare(packed: DataFrame, window: int) -> DataFrame:
 
     A bucket's strings come by ascending document; a window seen in an earlier document is a repeat.
     What a bucket remembers are its distinct windows, not its rows. Buckets that were dealt out also
-    return each window that is first within its part (``end`` null), with its words and their hash.
+    return each window that is new to its part (``end`` null) with its words.
     """
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bucket = None
         firsts: dict[bytes, int] = {}
         for batch in batches:
-            out: list[list] = [[] for _ in range(6)]
+            out: list[list] = [[] for _ in range(5)]
             for value, part, doc_id, key, first, text in zip(
                 *(c.to_pylist() for c in batch.columns), strict=True
             ):
@@ -154,15 +154,14 @@ def compare(packed: DataFrame, window: int) -> DataFrame:
                 windows = (b" ".join(words[i : i + window]) for i in range(len(words) - window + 1))
                 repeat = [firsts.setdefault(w, doc_id) < doc_id for w in windows]
                 found = [
-                    (doc_id, key, first + at, first + end, value, None)
+                    (doc_id, key, first + at, first + end, None)
                     for at, end in stretches(repeat)
                     if repeat[at]
                 ]
                 for at, again in enumerate(repeat if part else ()):
                     if not again:
                         own = b" ".join(words[at : at + window])
-                        mixed = xxhash.xxh3_64_intdigest(own) - (1 << 63)
-                        found.append((doc_id, key, first + at, None, mixed, own))
+                        found.append((doc_id, key, first + at, None, own))
                 for row in found:
                     for column, cell in zip(out, row, strict=True):
                         column.append(cell)
@@ -190,10 +189,14 @@ def repeats(rows: DataFrame, scratch: Scratch, window: int) -> DataFrame:
     shared = context.broadcast(field_of(counted, SHARED_BITS))
     hot = context.broadcast(field_of(counted.filter(F.col("n") >= HOT_DOCUMENTS), HOT_BITS))
     once = scratch.save(compare(pack(rows, shared, hot, window), window), "stretches")
-    firsts = once.filter(F.col("end").isNull()).withColumn("part", F.lit(0))
-    again = compare(firsts.select("value", "part", "doc_id", "key", "first", "packed"), window)
-    both = once.filter(F.col("end").isNotNull()).unionByName(again)
-    return both.select("doc_id", "key", "first", "end")
+    new = once.filter(F.col("end").isNull()).drop("end")
+    least = scratch.save(new.groupBy("packed").agg(F.min("doc_id").alias("least")), "least")
+    again = new.join(least, "packed").filter("least < doc_id")
+    again = again.withColumn("end", F.col("first") + 1)
+    columns = ["doc_id", "key", "first", "end"]
+    return once.filter(F.col("end").isNotNull()).select(*columns).unionByName(
+        again.select(*columns)
+    )
 
 
 def remove_repeats(

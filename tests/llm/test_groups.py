@@ -236,6 +236,9 @@ def test_repeats_of_odd_rows(documents, scratch, prose):
     assert len(found) == len(rows)
     removed = sorted((r.doc_id or -1, r.n_words, r.n_removed) for r in found if r.n_words in (20, 21))
     assert removed == [(-1, 20, 0), (100, 20, 0), (100, 21, 0), (101, 20, 20), (102, 20, 20), (102, 20, 20)]
+
+
+def test_repeats_of_nothing(documents, scratch):
     assert substring_dedup.remove_repeats(documents([]), scratch).count() == 0
 
 
