@@ -119,7 +119,7 @@ class TokenReader:
 # --- encoding ---------------------------------------------------------------------------------
 
 #: Words whose ids a worker remembers before it starts afresh, and the longest such word.
-REMEMBERED = 1 << 19
+REMEMBERED = 1 << 20
 REMEMBERED_LENGTH = 64
 #: Signs after which, at the end of a word, the tokenizer surely cuts.
 TRAILING = ".,;:!?|"
