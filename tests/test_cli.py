@@ -3,15 +3,17 @@ from __future__ import annotations
 from datetime import datetime, timedelta, timezone
 
 import pytest
-from conftest import SMALL
+from conftest import SMALL, post
 from pyspark.sql import functions as F
 
-from settle.__main__ import arguments, report
+from settle.__main__ import arguments, ingest, report
 from settle.operators.enrich import enrich
 from settle.operators.replay import replay, replay_revisions
 from settle.plans.tables import today, write_clustered
 from settle.schema import RAW
 from settle.sources.events import posts_from_events
+from settle.sources.log import stored_log
+from settle.streaming.queries import watermarked_posts
 
 
 @pytest.mark.parametrize(
@@ -23,6 +25,10 @@ from settle.sources.events import posts_from_events
         ["sink", "--tables", "t", "--checkpoints", "c"],
         ["stream", "--tables", "t", "--log", "l"],
         ["nothing", "--tables", "t"],
+        ["ingest", "--checkpoints", "c", "--servers", "s"],
+        ["ingest", "--received", "r", "--checkpoints", "c"],
+        ["compact", "--tables", "t"],
+        ["expire"],
     ],
 )
 def test_incomplete_commands_are_refused(argv):
@@ -54,3 +60,23 @@ def test_reports_read_the_stored_tables(spark, tmp_path):
     assert run("posts").count() == 990
     creates = posts.filter("operation = 'create'").select("uri", "operation", "rev")
     assert run("skew").agg(F.sum("events")).first()[0] == creates.distinct().count()
+
+
+def test_ingest_writes_what_a_gated_stream_reads(spark, log_folder, tmp_path):
+    log_folder.add([post(1), post(2, operation="delete")])
+    args = ["ingest", "--received", log_folder.path, "--out", f"{tmp_path}/sent"]
+    running = ingest(spark, arguments([*args, "--checkpoints", f"{tmp_path}/c"]))
+    running.processAllAvailable()
+    running.stop()
+    sent = spark.read.parquet(f"{tmp_path}/sent")
+    assert sorted(r.topic for r in sent.collect()) == ["bsky.posts.v1"] * 2
+
+
+@pytest.mark.parametrize(("gated", "parses"), [(True, 1), (False, 3)])
+def test_a_gated_query_parses_a_row_once(spark, log_folder, gated, parses):
+    log_folder.add([post(1)])
+    log = stored_log(spark, log_folder.path)
+    rows = watermarked_posts(log, 5, gated=gated)
+    plan = rows._jdf.queryExecution().optimizedPlan().toString()
+    counted = [plan.count(name) for name in ("from_json(", "parse_json(", "json_array_length(")]
+    assert sum(counted) == parses, plan

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import os
+import shutil
 from datetime import date, datetime, timezone
 
 import pytest
@@ -129,7 +130,7 @@ def test_rows_survive_the_wire(spark):
         if "emitted_at" in rows.columns:
             rows = rows.withColumn("emitted_at", F.lit(at(1)))
         routed = contract.route(contract.to_messages(rows, spec))
-        back = contract.rows_for(routed, spec)
+        back = contract.accepted(contract.rows_for(routed, spec), spec)
         assert contract.conform(back, spec) is back
         assert back.exceptAll(rows).count() == 0 and back.count() == rows.count()
 
@@ -156,6 +157,96 @@ def test_routing(spark):
     assert [r.events for r in contract.rows_for(routed, HEALTH).collect()] == [3]
 
 
+def messages(spark, *bodies, topic=HEALTH.topic):
+    rows = [(topic, bytearray(body.encode())) for body in bodies]
+    return contract.route(spark.createDataFrame(rows, "topic string, value binary"))
+
+
+END = '"window_end":"2024-01-01 00:01:00.000"'
+
+
+@pytest.mark.parametrize(
+    ("body", "reason"),
+    [
+        ("{%s,\"events\":\"abc\"}", "events is not of type bigint"),
+        ("{%s,\"events\":1.5}", "events is not of type bigint"),
+        ("{%s,\"events\":true}", "events is not of type bigint"),
+        ("{%s,\"events\":99999999999999999999}", "events is not of type bigint"),
+        ("{%s,\"evnts\":7}", "unknown member evnts"),
+        ("{%s,\"emitted_at\":\"noon\"}", "emitted_at is not of type timestamp"),
+        ("{%s,\"emitted_at\":7}", "emitted_at is not of type timestamp"),
+        ("[{%s}]", "message is not an object"),
+        ("{\"events\":7}", "window_end is NULL"),
+        ("{\"window_end\":null}", "window_end is NULL"),
+        ("{%s,\"events\":null}", None),
+        ("{%s}", None),
+    ],
+)
+def test_damaged_messages_are_rejected_with_their_reason(spark, tmp_path, body, reason):
+    body = body.replace("%s", END)
+    rows = contract.rows_for(messages(spark, body), HEALTH)
+    root = str(tmp_path)
+    if reason:
+        with pytest.raises(Exception, match=reason):
+            tables.write_batch(rows, HEALTH, root, "r", 0, on_reject="fail")
+    tables.write_batch(rows, HEALTH, root, "q", 0, on_reject="quarantine")
+    rejects = tables.read_rejects(spark, root, HEALTH, DAY).collect()
+    assert [(r.message, r.reject_reason) for r in rejects] == ([(body, reason)] if reason else [])
+    assert tables.read_table(spark, root, HEALTH, DAY).count() == (reason is None)
+
+
+def folders(root, table):
+    return sorted(d for d in os.listdir(f"{root}/{table}") if d.startswith("date="))
+
+
+def test_only_the_days_asked_for_are_listed(spark, tmp_path):
+    root = str(tmp_path)
+    rows = health(spark, *[(at(d), at(d), d, at(d)) for d in (1, 2, 3, 4)])
+    tables.write_batch(rows, HEALTH, root, "r", 0)
+    assert folders(root, "pipeline_health") == [f"date=2024-01-0{d}" for d in (1, 2, 3, 4)]
+    read = tables.read_table(spark, root, HEALTH, date(2024, 1, 2), until=date(2024, 1, 3))
+    assert {f.split("date=")[1][:10] for f in read.inputFiles()} == {"2024-01-02", "2024-01-03"}
+    assert tables.read_table(spark, root, HEALTH, date(2025, 1, 1)).count() == 0
+    assert tables.read_table(spark, root, RAW, DAY).count() == 0
+
+
+def test_empty_batches_leave_no_folder(spark, tmp_path):
+    root = str(tmp_path)
+    tables.write_batch(health(spark).filter("false"), HEALTH, root, "r", 0, "quarantine")
+    assert folders(root, "pipeline_health") == folders(root, "pipeline_health_rejects") == []
+
+
+def test_compaction_is_safe_to_repeat(spark, tmp_path):
+    root = str(tmp_path)
+    for batch in range(5):
+        rows = health(spark, (at(1, batch), at(1), batch, at(1)), (at(2, batch), at(2), 9, at(2)))
+        tables.write_batch(rows, HEALTH, root, "r", batch)
+    tables.write_batch(health(spark, (at(1, 0), at(1), 0, at(1))), HEALTH, root, "again", 0)
+    assert tables.compact(spark, root, HEALTH, DAY) == 6
+    stored = tables.read_table(spark, root, HEALTH, DAY, until=DAY)
+    assert sorted(r.events for r in stored.collect()) == [0, 1, 2, 3, 4]
+    assert len(stored.inputFiles()) == 1
+    assert tables.compact(spark, root, HEALTH, DAY) == 0
+    assert tables.compact(spark, root, HEALTH, date(2024, 2, 1)) == 0
+    # stopped before the old folders were deleted: the rows are there twice, and then once again
+    old = f"{root}/pipeline_health/date={DAY}"
+    shutil.copytree(f"{old}/{os.listdir(old)[0]}", f"{old}/run=left-over")
+    assert tables.read_table(spark, root, HEALTH, DAY, until=DAY).count() == 10
+    assert tables.compact(spark, root, HEALTH, DAY) == 2
+    assert tables.read_table(spark, root, HEALTH, DAY, until=DAY).count() == 5
+    assert tables.read_table(spark, root, HEALTH, date(2024, 1, 2)).count() == 5
+
+
+def test_rejects_expire_with_their_table(spark, tmp_path):
+    root = str(tmp_path)
+    bad = _raw(spark, 1, 3).withColumn("uri", F.lit(None).cast("string"))
+    tables.write_batch(bad, RAW, root, "r", 0, on_reject="quarantine")
+    assert tables.read_rejects(spark, root, RAW, DAY).count() == 2
+    dropped = tables.drop_expired(spark, root, RAW, date(2024, 1, 15))
+    assert [p.rpartition("/")[2] for p in dropped] == ["date=2024-01-01"]
+    assert folders(root, "posts_rejects") == ["date=2024-01-03"]
+
+
 def test_outputs_agree_with_each_other():
     assert len(ROUTES) == 4
     assert all(topic.rpartition(".v")[2].isdigit() for topic in ROUTES)
