@@ -2,32 +2,41 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from settle.llm.common import Scratch
 
+#: Edges up to which one task has them all, and the steps need no shuffle. Beyond, they are spread.
+FEW = 100_000
+
+Gather = Callable[[DataFrame], DataFrame]
+
 
-def _least(edges: DataFrame, scratch: Scratch, name: str) -> DataFrame:
+def _least(edges: DataFrame, gather: Gather, scratch: Scratch, name: str) -> DataFrame:
     """The least neighbour of each ``a``; saved, so that the join with it may split hot nodes."""
-    return scratch.save(edges.groupBy("a").agg(F.min("b").alias("least")), name)
+    least = edges.groupBy("a").agg(F.min("b").alias("least"))
+    return gather(scratch.save(least, name))
 
 
-def _large_star(edges: DataFrame, scratch: Scratch, name: str) -> DataFrame:
+def _large_star(edges: DataFrame, gather: Gather, scratch: Scratch, name: str) -> DataFrame:
     """Hang every larger neighbour of a node on the least node of its neighbourhood."""
-    both = edges.unionByName(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
-    joined = both.join(_least(both, scratch, name), "a").filter(F.col("b") > F.col("a"))
+    both = gather(edges.unionByName(edges.select(F.col("b").alias("a"), F.col("a").alias("b"))))
+    joined = both.join(_least(both, gather, scratch, name), "a").filter(F.col("b") > F.col("a"))
     return joined.select(F.col("b").alias("a"), F.least("a", "least").alias("b")).distinct()
 
 
-def _small_star(edges: DataFrame, scratch: Scratch, name: str) -> DataFrame:
+def _small_star(edges: DataFrame, gather: Gather, scratch: Scratch, name: str) -> DataFrame:
     """Hang a node and its smaller neighbours on the least of them."""
-    joined = edges.join(_least(edges, scratch, name), "a")
+    edges = gather(edges)
+    joined = edges.join(_least(edges, gather, scratch, name), "a")
     smaller = joined.filter(F.col("b") > F.col("least")).select(
         F.col("b").alias("a"), F.col("least").alias("b")
     )
     own = joined.select("a", F.col("least").alias("b"))
-    return smaller.unionByName(own).distinct()
+    return gather(smaller.unionByName(own)).distinct()
 
 
 def _mark(edges: DataFrame) -> tuple[int, int | None]:
@@ -48,11 +57,16 @@ def components(edges: DataFrame, scratch: Scratch, name: str) -> DataFrame:
     edges = edges.select(a, b).filter(F.col("a") != F.col("b")).distinct()
     edges = scratch.save(edges, f"{name}-edges-0")
     before, turn = _mark(edges), 0
+    few = before[0] <= FEW  # their number never grows
+
+    def gather(rows: DataFrame) -> DataFrame:
+        return rows.coalesce(1) if few else rows
+
     while before[0]:
         turn += 1
-        large = _large_star(edges, scratch, f"{name}-large-least-{turn}")
+        large = _large_star(edges, gather, scratch, f"{name}-large-least-{turn}")
         large = scratch.save(large, f"{name}-large-{turn}")
-        small = _small_star(large, scratch, f"{name}-small-least-{turn}")
+        small = _small_star(large, gather, scratch, f"{name}-small-least-{turn}")
         edges = scratch.save(small, f"{name}-edges-{turn}")
         now = _mark(edges)
         if now == before:

@@ -54,8 +54,9 @@ COUNTED = 1 << 22
 LOCALLY_FREQUENT = 3
 #: One in so many shingles of a set is listed beyond the base of its signature.
 EXTRA = 10
-#: Points of a chunk.
+#: Points of a chunk that is compared with a pivot, and of one that is compared with another chunk.
 CHUNK = 64
+GRID_CHUNK = 512
 
 SEEDS = np.array(
     [0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0x85EBCA77C2B2AE63,
@@ -406,7 +407,7 @@ def far_links(far: list[Point], points: list[Point]) -> set[tuple[int, int]]:
 
 
 FOUND = (
-    "pivot long, node long, label long, distance double, linked boolean, a long, b long"
+    "pivot long, node long, label long, distance double, open boolean, a long, b long"
 )
 
 
@@ -427,13 +428,19 @@ def join_chunks(chunks: DataFrame) -> DataFrame:
             for point, link in zip(others, linked, strict=True)
             if link and point.label != first.label
         }
+        # Of two components that link here, one is not the pivot's, and if its point is in the ball, it
+        # is linked to the pivot's. So these are the points whose links are still to be found.
+        is_open = [
+            bool(not link and point.label != first.label)
+            for point, link in zip(others, linked, strict=True)
+        ]
         out = []
         if whole:
-            pairs |= far_links([p for p, link in zip(others, linked, strict=True) if not link], others)
+            pairs |= far_links([p for p, far in zip(others, is_open, strict=True) if far], others)
         else:
             out += [
-                (pivot, point.node, point.label, point.distance, bool(link), None, None)
-                for point, link in zip(others, linked, strict=True)
+                (pivot, point.node, point.label, point.distance, far, None, None)
+                for point, far in zip(others, is_open, strict=True)
             ]
         return out + [(pivot, None, None, None, None, a, b) for a, b in pairs]
 
@@ -494,16 +501,16 @@ def join_rings(found: DataFrame, sets: DataFrame, scratch: Scratch) -> DataFrame
     """
     ring = F.floor(F.col("distance") / (DISTANCE + SLACK)).cast("int")
     points = found.filter("node IS NOT NULL").withColumn("ring", ring).select(
-        "pivot", "ring", "node", "label", "distance", "linked"
+        "pivot", "ring", "node", "label", "distance", "open"
     )
     per_ring = ["pivot", "ring"]
-    far = points.filter(~F.col("linked")).drop("linked")
-    near = points.drop("linked").withColumn(
+    far = points.filter("open").drop("open")
+    near = points.drop("open").withColumn(
         "ring", F.explode(F.array(*(F.col("ring") + k for k in (-1, 0, 1))))
     )
 
     def counted(rows: DataFrame, name: str) -> DataFrame:
-        n = F.expr(f"(count(*) + {CHUNK - 1}) div {CHUNK}")
+        n = F.expr(f"(count(*) + {GRID_CHUNK - 1}) div {GRID_CHUNK}")
         return rows.groupBy(*per_ring).agg(n.alias(name))
 
     grid = scratch.save(counted(far, "rows").join(counted(near, "columns"), per_ring), "grid")
