@@ -313,10 +313,12 @@ def listed_points(listed: DataFrame, scratch: Scratch) -> DataFrame:
 
 
 def first_regions(lists: DataFrame) -> DataFrame:
-    """(pivot, node, label): one region for each point, that of the least of its pivots."""
-    least = lists.groupBy("node").agg(F.min("pivot").alias("pivot")).filter("pivot < node")
-    heads = least.select("pivot", F.col("pivot").alias("node")).distinct()
-    members = least.select("pivot", "node").unionByName(heads)
+    """(pivot, node, label): one region for each point, that of the pivot of most of its lists."""
+    lists = lists.filter("pivot < node").groupBy("node", "pivot").agg(F.count("*").alias("n"))
+    most = F.max_by("pivot", F.struct("n", -F.col("pivot"))).alias("pivot")
+    best = lists.groupBy("node").agg(most)
+    heads = best.select("pivot", F.col("pivot").alias("node")).distinct()
+    members = best.select("pivot", "node").unionByName(heads)
     return members.withColumn("label", F.col("node"))
 
 
