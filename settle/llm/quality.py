@@ -4,6 +4,7 @@ The language model is a modified Kneser-Ney model of four characters over a fixe
 symbols, one per language. Spark counts the n-grams of the whole corpus; smoothing is arithmetic on the
 counts, which the alphabet bounds to 64**4 a language however large the corpus is. Each document gets
 the mean surprise of its characters; documents outside the band of their own language are rejected.
+Copies of a text, which differ in white space at most, weigh as one text in the counts and in the band.
 """
 
 from __future__ import annotations
@@ -18,7 +19,9 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from settle.llm.bit_fields import field_of, in_field
 from settle.llm.common import Scratch, map_batches, slices, texts, utf8
+from settle.llm.exact_dedup import normalised
 
 #: Fixed values of the rules.
 SYMBOLS = b"#*$%&|<>"
@@ -32,6 +35,8 @@ MOST_ENTRIES = 1 << (ORDER * BITS)
 MOST_SENT = 1 << 25
 #: Counts a task keeps before it hands them on.
 KEPT_COUNTS = 1 << 22
+#: Bits of the field of hashes that several texts have.
+COPIED_BITS = 26
 
 
 # --- counts of a text -------------------------------------------------------------------------
@@ -109,6 +114,39 @@ def grams(text: str) -> np.ndarray:
     return codes
 
 
+# --- copies -----------------------------------------------------------------------------------
+
+
+def text_key():
+    """Hash of a text as copies have it; copies have equal n-grams and equal base verdicts."""
+    return F.xxhash64(normalised(F.col("text"))).alias("text_key")
+
+
+def distinct_texts(rows: DataFrame) -> DataFrame:
+    """(lang, text) of each text of a language once.
+
+    Only texts whose hash occurs twice in a language go through a shuffle, where a digest decides; a task
+    sends one row for the copies it has.
+    """
+    keyed = rows.filter(F.length("text") > 0).select("lang", "text", text_key())
+    often = keyed.groupBy("lang", "text_key").agg(F.count("*").alias("n")).filter(F.col("n") > 1)
+    field = field_of(often.select(F.col("text_key").alias("value")), COPIED_BITS)
+    if not field.any():
+        return keyed.select("lang", "text")
+    sent = rows.sparkSession.sparkContext.broadcast(field)
+
+    def among(suspects: bool) -> DataFrame:
+        def run(batch: pa.RecordBatch) -> pa.RecordBatch:
+            found = in_field(sent.value, batch.column(2).to_numpy().view(np.uint64))
+            return batch.filter(pa.array(found == suspects)).select(["lang", "text"])
+
+        return map_batches(keyed, run, "lang string, text string")
+
+    digest = F.sha2(normalised(F.col("text")), 256).alias("digest")
+    once = among(True).groupBy("lang", digest).agg(F.first("text").alias("text"))
+    return among(False).unionByName(once.select("lang", "text"))
+
+
 # --- the model --------------------------------------------------------------------------------
 
 
@@ -254,7 +292,7 @@ def fit(counted: DataFrame) -> dict[str | None, KneserNey]:
 
 JUDGED = (
     "doc_id long, lang string, n_words long, word_chars long, n_symbols long, n_dup_lines long, "
-    "n_repeat_words long, surprise double"
+    "n_repeat_words long, surprise double, text_key long"
 )
 
 
@@ -274,23 +312,25 @@ def judge(rows: DataFrame, models: dict[str | None, KneserNey]) -> DataFrame:
                 batch.column(1),
                 *(pa.array(column, pa.int64()) for column in columns),
                 pa.array(surprises, pa.float64()),
+                batch.column(3),
             ],
             ["doc_id", "lang", "n_words", "word_chars", "n_symbols", "n_dup_lines",
-             "n_repeat_words", "surprise"],
+             "n_repeat_words", "surprise", "text_key"],
         )
 
-    return map_batches(rows.select("doc_id", "lang", "text"), run, JUDGED)
+    return map_batches(rows.select("doc_id", "lang", "text", text_key()), run, JUDGED)
 
 
 def bands(judged: DataFrame, width: float, least: float) -> DataFrame:
     """Lower and upper bound of the surprise for each language.
 
-    The quartiles of the documents that pass the base rules, each moved outwards by ``width`` times
+    The quartiles of the distinct texts that pass the base rules, each moved outwards by ``width`` times
     their distance, by ``least`` at least. Quartiles are read off a histogram of steps of 1/1000, so no
     language is gathered in one task.
     """
     step = F.floor(F.col("surprise") * 1000).alias("step")
-    steps = judged.filter(~F.col("base_failed")).groupBy("lang", step).agg(F.count("*").alias("n"))
+    once = judged.filter(~F.col("base_failed")).select("lang", "text_key", "surprise").distinct()
+    steps = once.groupBy("lang", step).agg(F.count("*").alias("n"))
     quartiles = steps.groupBy("lang").agg(
         F.expr("percentile(step, array(0.25, 0.75), n)").alias("q")
     )
@@ -309,7 +349,7 @@ def quality(
     only ``doc_id``, ``lang`` and ``text`` are read. ``surprise`` is the logarithm of the perplexity.
     """
     rows = rows.select("doc_id", "lang", "text")
-    judged = judge(rows, fit(scratch.save(count_grams(rows), "grams")))
+    judged = judge(rows, fit(scratch.save(count_grams(distinct_texts(rows)), "grams")))
     failed = (F.col("n_words") < LEAST_WORDS) | (
         100 * F.col("n_repeat_words") > MOST_REPEATED * F.col("n_words")
     )
@@ -320,5 +360,5 @@ def quality(
     return (
         judged.join(found, F.col("lang").eqNullSafe(F.col("band_lang")), "left")
         .withColumn("kept", ~F.col("base_failed") & F.coalesce(inside, F.lit(False)))
-        .drop("band_lang", "lang")
+        .drop("band_lang", "lang", "text_key")
     )

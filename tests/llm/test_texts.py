@@ -17,7 +17,7 @@ from conftest import SMALL
 from tokenizers import Tokenizer
 
 from settle.llm import byte_bpe, language_id, quality, secret_scan, token_files
-from settle.llm.common import table
+from settle.llm.common import Scratch, table
 from settle.llm.queries import QUERIES
 
 from .conftest import ODD, clashing, odd_rows
@@ -336,6 +336,31 @@ def test_odd_language_is_rejected_and_prose_kept(spark, scratch, documents, pros
     assert found[1001].base_failed and found[1002].base_failed
 
 
+@pytest.mark.parametrize("copies", [60, 500])
+def test_copies_weigh_as_one_text(spark, scratch, documents, prose, copies):
+    """A third and most of a language's rows are copies of one text, as they are or respaced."""
+    own = random.Random(5)
+    signs = "abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ0123456789-_/"
+    rows = [(i, prose(i, 120 + i), "en", "s") for i in range(120)]
+    rows += [(1000, " ".join("".join(own.choice(signs) for _ in range(9)) for _ in range(80)), "en", "s")]
+    alone = {r.doc_id: r for r in quality.quality(documents(rows), Scratch(spark)).collect()}
+    for text in (rows[0][1], rows[-1][1]):
+        more = [(2000 + i, text if i % 2 else text.replace(" ", " \n", 1 + i), "en", "s")
+                for i in range(copies)]
+        found = {r.doc_id: r for r in quality.quality(documents(rows + more), Scratch(spark)).collect()}
+        assert len(found) == len(rows) + copies
+        for i, row in alone.items():
+            assert abs(found[i].surprise - row.surprise) < 1e-9 and found[i].kept == row.kept
+        assert not found[1000].kept
+
+
+def test_copies_of_another_language_are_texts_of_their_own(spark, documents):
+    rows = [(0, "a b", "en", "s"), (1, "a  b", "en", "s"), (2, "a b", "de", "s"), (3, "a c", None, "s"),
+            (4, "a c", None, "s"), (5, "", "en", "s"), (6, None, "en", "s")]
+    found = sorted((r.lang or "", r.text.split()) for r in quality.distinct_texts(documents(rows)).collect())
+    assert found == [("", ["a", "c"]), ("de", ["a", "b"]), ("en", ["a", "b"])]
+
+
 def test_quality_of_odd_rows(scratch, documents):
     rows = quality.quality(clashing(documents(odd_rows())), scratch).collect()
     assert len(rows) == len(odd_rows())
