@@ -2,8 +2,9 @@
 
 Ordinary words take few tokens, as the vocabulary was made from text; a random string falls apart into
 pieces of one or two characters. A run of key characters whose characters per token stay below a bound
-is reported as ``random``, unless it is a digest of a known length, a UUID, a number or an identifier
-made of plain words, or overlaps what the fixed shapes have found.
+is reported as ``random``, unless it is a digest of a known length, a UUID or a number, or overlaps what
+the fixed shapes have found. Letters joined by signs are tested without the signs and numbers between
+them, and in lower case too, so that identifiers pass by the words they are made of, not by their shape.
 """
 
 from __future__ import annotations
@@ -42,6 +43,8 @@ DIGEST = re.compile(r"[0-9a-f]+|[0-9A-F]+")
 UUID = re.compile(r"[0-9A-Fa-f]{8}(-[0-9A-Fa-f]{4}){3}-[0-9A-Fa-f]{12}")
 SIGNS = re.compile(r"[+/_=-]+")
 PLAIN = re.compile(r"[A-Z]?[a-z]*|[A-Z]*|[0-9]*")
+#: Letters that a run of letters and numbers needs to be judged by them where each part is one token.
+LEAST_LETTERS = 8
 
 
 def fixed_shapes(text: str, long_word: bool) -> list[Span]:
@@ -62,10 +65,29 @@ def fixed_shapes(text: str, long_word: bool) -> list[Span]:
 
 
 def known(run: str) -> bool:
-    """Digests of a known length, UUIDs, numbers, and words joined by signs."""
+    """Digests of a known length, UUIDs, and numbers joined by signs, as dates are."""
     if len(run) in DIGEST_LENGTHS and DIGEST.fullmatch(run):
         return True
-    return bool(UUID.fullmatch(run)) or all(map(PLAIN.fullmatch, SIGNS.split(run)))
+    return bool(UUID.fullmatch(run)) or not any(map(str.isalpha, run))
+
+
+def falls_apart(run: str, tokens_of: Callable[[str], int], ratio: float) -> bool:
+    """Whether a run has fewer than ``ratio`` characters a token.
+
+    Where its parts are all letters or all digits, the letters decide, in the case that takes fewer
+    tokens; in several parts, as many as ``ratio`` are too few. Parts of one letter repeated pass.
+    """
+    every = SIGNS.split(run)
+    if not all(map(PLAIN.fullmatch, every)):
+        return len(run) < ratio * tokens_of(run)
+    parts = [part for part in every if part.isalpha()]
+    letters = sum(map(len, parts))
+    needed = [tokens_of(part) for part in parts]
+    tokens = min(sum(needed), sum(tokens_of(part.lower()) for part in parts))
+    if all(len(set(part)) == 1 for part in parts) or (letters < LEAST_LETTERS and max(needed) == 1):
+        return False
+    several = sum(map(bool, every)) > 1
+    return letters < ratio * tokens or (several and letters == ratio * tokens)
 
 
 def random_strings(
@@ -76,7 +98,7 @@ def random_strings(
         start, end, run = m.start(), m.end(), m.group()
         if known(run) or any(start < e and s < end for s, e, _ in taken):
             continue
-        if len(run) < ratio * tokens_of(run):
+        if falls_apart(run, tokens_of, ratio):
             found.append((start, end, "random"))
     return found
 

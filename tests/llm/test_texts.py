@@ -215,6 +215,27 @@ def test_random_strings_are_found_and_known_ones_left():
     assert not added[4] and not added[6] and not added[7]
 
 
+def test_random_letters_are_found_and_identifiers_left():
+    tokens_of = secret_scan.counter(BYTE_BPE, public_tokenizers.PATTERN)
+    own = random.Random(11)
+
+    def letters(n):
+        return "".join(own.choice("abcdefghijklmnopqrstuvwxyz") for _ in range(n))
+
+    def share(runs):
+        return sum(any(s[2] == "random" for s in secret_scan.scan(r, tokens_of, 2.0)[1]) for r in runs) / len(runs)
+
+    assert share(["xkqz-9382-vkjw-1837"]) == 1
+    assert share([letters(32) for _ in range(300)]) > 0.93
+    assert share([letters(32).upper() for _ in range(300)]) > 0.9
+    assert share(["_".join(letters(4) for _ in range(4)) for _ in range(300)]) > 0.97
+    assert share([f"{letters(4)}-{own.randrange(1000, 9999)}-{letters(4)}-{own.randrange(10, 99)}"
+                  for _ in range(300)]) > 0.97
+    assert not share(["MAX_RETRY_COUNT_PER_HOST", "the/path/to/some/file", "counterrevolutionary",
+                      "INTERNATIONALISATION", "order-2024-0000012345", "v_12345678901234", "x" * 40,
+                      "================", "Geschwindigkeitsbegrenzung", "2024-01-01/2024-12-31"])
+
+
 def test_secrets_of_odd_rows(documents):
     frame = clashing(documents(odd_rows()))
     rows = secret_scan.find_secrets(frame, BYTE_BPE, public_tokenizers.PATTERN).collect()
