@@ -19,11 +19,6 @@ from settle.llm.queries import BYTE_BPE
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
 
-def only(docs: DataFrame, kept: DataFrame) -> DataFrame:
-    """The documents whose id is in ``kept_id``; no id is an id like any other."""
-    return docs.join(kept, docs["doc_id"].eqNullSafe(kept["kept_id"]), "left_semi")
-
-
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the base rules and the perplexity band of their language accept.
 
@@ -62,11 +57,19 @@ _DIGEST = "__text_digest"
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of each component of near duplicates the document with the smallest id.
 
-    Documents without an id stay. Rows that repeat an id are one document.
+    Documents without an id stay. Rows that repeat an id are judged each by its own text; where the
+    smallest id of a component is that of several rows, the one with the smallest hash stays.
     """
-    found = jaccard_join.near_duplicates(docs, Scratch(spark))
-    first = F.col("doc_id").eqNullSafe(F.col("component_id"))
-    return only(docs, found.filter(first).select(F.col("doc_id").alias("kept_id")))
+    scratch = Scratch(spark)
+    found = jaccard_join.with_components(docs, scratch)
+    firsts = scratch.save(
+        found.filter(F.col("doc_id").eqNullSafe(F.col("component_id"))), "firsts"
+    )
+    alone = firsts.filter("component IS NULL").select(F.col("doc_id").alias("kept_id"), "key")
+    one = firsts.filter("component IS NOT NULL").groupBy("component", F.col("doc_id").alias("kept_id"))
+    kept = alone.unionByName(one.agg(F.min("key").alias("key")).select("kept_id", "key"))
+    same = docs["doc_id"].eqNullSafe(kept["kept_id"]) & (jaccard_join.text_key() == kept["key"])
+    return docs.join(kept, same, "left_semi")
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -150,7 +150,7 @@ def frequent_shingles(rows: DataFrame) -> DataFrame:
     return counted.filter(F.col("n") >= FREQUENT)
 
 
-SIGNED = "doc_id long, n long, point binary, signature binary"
+SIGNED = "doc_id long, key long, n long, point binary, signature binary"
 
 
 def signed(rows: DataFrame, frequent: Broadcast) -> DataFrame:
@@ -158,14 +158,14 @@ def signed(rows: DataFrame, frequent: Broadcast) -> DataFrame:
 
     def run(batch: pa.RecordBatch) -> pa.RecordBatch:
         sizes, points, signatures = [], [], []
-        for text in utf8(batch.column(1)):
+        for text in utf8(batch.column(2)):
             values = shingles(text)
             sizes.append(len(values))
             points.append(xxhash.xxh3_128_digest(values.tobytes()))
             signatures.append(signature(values, frequent.value).tobytes())
-        return columns_of([batch.column(0), sizes, points, signatures], SIGNED)
+        return columns_of([batch.column(0), batch.column(1), sizes, points, signatures], SIGNED)
 
-    return map_batches(rows.select("doc_id", "text"), run, SIGNED)
+    return map_batches(rows.select("doc_id", "key", "text"), run, SIGNED)
 
 
 def shared_shingles(signatures: DataFrame) -> DataFrame:
@@ -582,15 +582,14 @@ def labelled(rows: DataFrame, signatures, shared, points, scratch: Scratch) -> D
     )
 
 
-def near_duplicates(documents: DataFrame, scratch: Scratch) -> DataFrame:
-    """(doc_id, n_shingles, component_id) of every row of ``documents``.
+def with_components(documents: DataFrame, scratch: Scratch) -> DataFrame:
+    """(doc_id, key, n_shingles, component_id, component) of every row of ``documents``.
 
-    ``component_id`` is the smallest id that links lead to. Documents without words, null texts among
-    them, have no shingles and link with nothing. Rows without an id link with nothing and have a null
-    component. Rows that repeat an id with different texts are different points of that id. An empty
-    table gives an empty result. Only ``doc_id`` and ``text`` are read.
+    ``key`` is ``text_key`` of the row, which tells apart rows that repeat an id. ``component`` is a
+    number of the component, null for rows that link with nothing; two components of rows that repeat
+    an id may have the same smallest id.
     """
-    rows = documents.select("doc_id", "text")
+    rows = documents.select("doc_id", text_key().alias("key"), "text")
     signatures, shared = ordered_signatures(rows, scratch)
     points = points_of(signatures, scratch)
     known = scratch.save(labelled(rows, signatures, shared, points, scratch), "labels")
@@ -598,13 +597,32 @@ def near_duplicates(documents: DataFrame, scratch: Scratch) -> DataFrame:
         "point", "doc_id", F.coalesce("label", "node").alias("label")
     )
     least = labels.groupBy("label").agg(F.min("doc_id").alias("component_id"))
-    named = labels.join(scratch.save(least, "least"), "label").select("point", "component_id")
-    result = signatures.select("doc_id", F.col("n").alias("n_shingles"), "point").join(
+    named = labels.join(scratch.save(least, "least"), "label").select(
+        "point", "component_id", F.col("label").alias("component")
+    )
+    result = signatures.select("doc_id", "key", F.col("n").alias("n_shingles"), "point").join(
         scratch.save(named, "named"), "point", "left"
     )
     linked = (F.col("n_shingles") > 0) & F.col("doc_id").isNotNull()
     return result.select(
         "doc_id",
+        "key",
         "n_shingles",
         F.when(linked, F.col("component_id")).otherwise(F.col("doc_id")).alias("component_id"),
+        F.when(linked, F.col("component")).alias("component"),
     )
+
+
+def text_key():
+    return F.xxhash64("text")
+
+
+def near_duplicates(documents: DataFrame, scratch: Scratch) -> DataFrame:
+    """(doc_id, n_shingles, component_id) of every row of ``documents``.
+
+    ``component_id`` is the smallest id that links lead to. Documents without words, null texts among
+    them, have no shingles and link with nothing. Rows without an id link with nothing and have a null
+    component. Rows that repeat an id with different texts are different points of that id. An empty
+    table gives an empty result. Only ``doc_id`` and ``text`` are read.
+    """
+    return with_components(documents, scratch).select("doc_id", "n_shingles", "component_id")

@@ -82,3 +82,13 @@ def test_quality_stage_keeps_clean_documents(spark, documents, prose):
     assert sorted((r.doc_id is None, r.doc_id or 0) for r in out) == sorted(
         [(False, i) for i in range(80)] + [(True, 0)]
     )
+
+
+def test_near_duplicates_are_judged_by_their_own_text(spark, documents, prose):
+    """Rows that repeat an id: one is a near copy of an earlier document, two are near copies."""
+    a, b, c = prose(1, 90), prose(2, 90), prose(3, 90)
+    rows = [(3, a), (5, a + " more"), (5, b), (7, c), (7, c + " more"), (9, c + " yet"), (None, a), (8, "")]
+    out = corpus_pipeline.near_duplicates(spark, clashing(documents(rows)), SMALL).collect()
+    found = sorted((r.doc_id or 0, r.text) for r in out)
+    assert [r for r in found if r[0] != 7] == sorted([(0, a), (3, a), (5, b), (8, "")])
+    assert len([r for r in found if r[0] == 7]) == 1
