@@ -11,6 +11,8 @@ from pyspark.sql import functions as F
 from settle.llm import (
     byte_bpe,
     exact_dedup,
+    hard_negatives,
+    html_text,
     jaccard_join,
     language_id,
     quality,
@@ -19,6 +21,7 @@ from settle.llm import (
     substring_dedup,
     token_files,
     url_cascade,
+    whitening,
 )
 from settle.llm.common import Scratch, table
 
@@ -114,3 +117,20 @@ def op10_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return kept.select(
         "doc_id", "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256")
     )
+
+
+@query
+def op11_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html_text.extract(table(spark, sf_dir, "pages"))
+
+
+@query
+def op12_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whitening.whiten(table(spark, sf_dir, "embeddings"), Scratch(spark), most=4)
+
+
+@query
+def op13_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    moved = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    rows = table(spark, sf_dir, "embeddings").withColumn("label", moved)
+    return hard_negatives.mine(rows, Scratch(spark), F.col("vec_id") % 50 == 0)

@@ -138,3 +138,25 @@ SELECT doc_id, CASE WHEN source <> 'n' THEN substr(source, 2) END AS source, n_t
   md5('17:' || pass || ':' || source || ':' || block) AS block_key
 FROM passed
 """
+
+SQL["op13_hard_negatives"] = r"""
+WITH vectors AS (
+  SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+    list_transform(embedding, lambda c: floor(256 * CAST(c AS DOUBLE))) AS x
+  FROM embeddings
+  WHERE vec_id IS NOT NULL AND label IS NOT NULL AND embedding IS NOT NULL AND len(embedding) > 0
+    AND len(list_filter(embedding, lambda c: c IS NULL OR NOT isfinite(c))) = 0),
+scored AS (
+  SELECT a.vec_id AS anchor_id, r.vec_id AS row_id, a.label = r.label AS same,
+    CAST(list_dot_product(a.x, r.x) AS BIGINT) AS score
+  FROM vectors AS a JOIN vectors AS r ON a.vec_id % 50 = 0 AND a.vec_id <> r.vec_id),
+positives AS (
+  SELECT anchor_id, row_id AS positive_id, score AS positive_score FROM scored WHERE same
+  QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, row_id) <= 5)
+SELECT p.anchor_id, positive_id, CAST(row_number() OVER hardest AS INTEGER) AS rank,
+  row_id AS negative_id, positive_score, score AS negative_score
+FROM positives AS p JOIN scored AS s ON s.anchor_id = p.anchor_id AND NOT same
+  AND 50 * positive_score <= 100 * score AND 100 * score <= 95 * positive_score
+WINDOW hardest AS (PARTITION BY p.anchor_id, positive_id ORDER BY score DESC, row_id)
+QUALIFY rank <= 3
+"""
