@@ -55,17 +55,44 @@ LAYOUTS = (
     """<body><form><p>{14}</p><p>{2}</p></form><dialog><p>{20}</p></dialog><article data-main><p>{12}</p><p>{1}</p>
     <p>{1}</p><p>{19}</p></article><div class="popup"><p>{31}</p></div><footer><p>{45}</p><a href=/>{1}</a></footer>
     </body>""",
+    """<article data-main><h1>{5}</h1><p>{30}</p><p>{2}</p><ul><li>{4}</li><li><a href=/u>{2}</a></li></ul></article>""",
+    """<body><nav><a href=/>{1}</a></nav><article data-main><h1>{3}</h1><p>{21}</p><p><a href=/v>{3}</a></p><p>{1}""",
+    """<p data-main>{12}</p><p data-main>{1}</p><p data-main>{40}</p><p data-main>{3}</p><p data-main>{28}</p>""",
+    """<p data-main>{3}</p>""",
+    """<body><nav>{3}</nav><article data-main><h1>{6}</h1><p>{41}</p><p>{5}</p></article></body>""",
+    """<body><nav>{1}</nav><article data-main><p>{20}</p><p>{1}</p><p>{13}</p></article>""",
+    """<body><nav><a href=/>{5}</a></nav><article data-main><p>{30}</p><p><a href=/c>{6}</a></p><p>{12}</p><p>
+    <a href=/d>{9}</a></p><p>{3}</p><h2><a href=/e>{7}</a></h2><p>{44}</p></article><div><a href=/f>{6}</a></div>
+    <div>{19}</div><div>{3}</div></body>""",
+    """<body><div><a href=/>{8}</a></div><p>{14}</p><main data-main><p>{2}</p><p><a href=/g>{5}</a> {1}</p><p>{9}</p>
+    </main><p><a href=/h>{7}</a></p><p>{32}</p></body>""",
+    """<body><div class="advert">{7}</div><main data-main><p>{8}</p><p>{52}</p></main>""",
+    """<body><p data-main>{18}</p><p data-main>{36}</p><p data-main>{23}</p></body>""",
+    """<body data-main>{60}""",
+    """<body><div>{4}</div><p>{22}</p><article data-main><p>{1}</p><p>{17}</p><p>{2}</p></article><div><p>{26}</p>
+    <p>{3}</p></div><p>{38}</p></body>""",
+    """<body><p>{9}</p><div>{2}</div><main data-main><p>{33}</p><p>{4}</p><p><a href=/w>{1}</a></p></main><div>{12}</div>
+    <div>{41}</div><p>{1}</p></body>""",
+    """<body><h1 data-main>{4}</h1><p data-main>{7}</p><p data-main>{35}</p><p data-main>{2}</p><div class="tags-menu">
+    <a href=/1>{1}</a></div></body>""",
+    """<body><ul><li><a href=/>{2}</a></li><li><a href=/a>{1}</a></li></ul><h2 data-main>{3}</h2><p data-main>{24}</p>
+    <ul data-main><li>{5}</li><li>{9}</li><li>{2}</li></ul><p data-main>{47}</p></body>""",
 )
 
 
-def filled(layout: str) -> str:
-    """The page with words of filler for each ``{n}``."""
-    return re.sub(
-        r"\{(\d+)\}",
-        lambda found: " ".join(WORDS[i % len(WORDS)] for i in range(int(found.group(1)))),
-        layout,
-    )
+#: Each layout is learnt from with blocks of so many times its lengths.
+LENGTHS = (1.0, 0.2, 2.5)
+
+
+def filled(layout: str, times: float = 1.0) -> str:
+    """The page with words of filler for each ``{n}``, one at least."""
+
+    def words(found: re.Match) -> str:
+        n = max(1, round(times * int(found.group(1))))
+        return " ".join(WORDS[i % len(WORDS)] for i in range(n))
+
+    return re.sub(r"\{(\d+)\}", words, layout)
 
 
 def pages() -> list[str]:
-    return [filled(layout) for layout in LAYOUTS]
+    return [filled(layout, times) for times in LENGTHS for layout in LAYOUTS]

@@ -182,6 +182,8 @@ def blocks(page: str) -> list[Block]:
 
     def close(name: str) -> None:
         nonlocal links
+        if stack[-1].skipped and not opened[name]:
+            return
         if name == "a":
             links = max(0, links - 1)
         if name not in INLINE and name not in SKIPPED:
@@ -264,19 +266,21 @@ def blocks(page: str) -> list[Block]:
 
 FEATURES = (
     "words", "density", "words_before", "density_before", "words_after", "density_after",
-    "around", "main", "heading", "page_has_main",
+    "around", "place", "heading",
 )
 
 
 def features(found: list[Block]) -> np.ndarray:
-    """A row of numbers for each block; beyond the ends of the page there are empty blocks."""
+    """A row of numbers for each block; beyond the ends of the page there are empty blocks.
+
+    The place is 2 within an element that says it is main text, 0 outside it, and 1 on pages without one.
+    """
     words = np.array([0, *(b.words for b in found), 0], float)
     density = np.array([0, *(b.density for b in found), 0], float)
-    marks = np.array([(b.around, b.main, b.heading) for b in found], float).reshape(-1, 3)
-    has_main = np.full(len(found), float(any(b.main and not b.around for b in found)))
-    return np.column_stack(
-        [words[1:-1], density[1:-1], words[:-2], density[:-2], words[2:], density[2:], marks, has_main]
-    )
+    outside = 0 if any(b.main and not b.around for b in found) else 1
+    marks = [(b.around, 2 if b.main else outside, b.heading) for b in found]
+    near = words[1:-1], density[1:-1], words[:-2], density[:-2], words[2:], density[2:]
+    return np.column_stack([*near, np.array(marks, float).reshape(-1, 3)])
 
 
 class Tree:
