@@ -2,8 +2,11 @@
 
 from __future__ import annotations
 
+import io
 import uuid
+import zipfile
 from collections.abc import Callable, Iterable, Iterator
+from pathlib import Path
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
@@ -25,9 +28,41 @@ ARROW = {
 
 
 def prepare(spark: SparkSession) -> None:
-    """Keep the batches that pass between Spark and Python small, as texts may be long."""
+    """Keep the batches that pass between Spark and Python small, and give workers this package."""
     for key, value in ARROW.items():
         spark.conf.set(key, value)
+    ship_package(spark)
+
+
+_shipped: set[str] = set()
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Send this package to the workers, once a session, so that no executor needs it installed.
+
+    The archive is written to the shared folder, from where Spark hands it out.
+    """
+    context = spark.sparkContext
+    if context.applicationId in _shipped:
+        return
+    ensure_checkpoint_dir(spark)
+    root = Path(__file__).resolve().parents[1]
+    archive = io.BytesIO()
+    with zipfile.ZipFile(archive, "w", zipfile.ZIP_DEFLATED) as out:
+        for source in sorted(root.rglob("*.py")):
+            out.write(source, source.relative_to(root.parent))
+    path, files = hadoop_path(spark, f"{context.getCheckpointDir()}/{root.name}-{uuid.uuid4().hex}.zip")
+    stream = files.create(path)
+    stream.write(bytearray(archive.getvalue()))
+    stream.close()
+    context.addPyFile(path.toString())
+    _shipped.add(context.applicationId)
+
+
+def hadoop_path(spark: SparkSession, path: str):
+    """A path and its file system, as Spark reaches them."""
+    found = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return found, found.getFileSystem(spark._jsc.hadoopConfiguration())
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -54,9 +89,8 @@ class Scratch:
 
     def drop(self) -> None:
         """Remove what was saved; only for callers whose result no longer reads it."""
-        jvm, conf = self.spark._jvm, self.spark._jsc.hadoopConfiguration()
-        path = jvm.org.apache.hadoop.fs.Path(self.path)
-        path.getFileSystem(conf).delete(path, True)
+        path, files = hadoop_path(self.spark, self.path)
+        files.delete(path, True)
 
 
 def slices(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
