@@ -22,9 +22,11 @@ from pyspark.sql import DataFrame
 
 from settle.llm.common import map_batches, texts
 
-#: Pieces whose ids a worker remembers before it starts afresh, and the longest such piece.
-REMEMBERED = 1 << 19
+#: Pieces whose ids a worker remembers before it starts afresh (some 30 MB), the longest such piece, and
+#: pairs of tokens it remembers (some 30 MB).
+REMEMBERED = 1 << 17
 REMEMBERED_LENGTH = 64
+REMEMBERED_PAIRS = 1 << 18
 
 
 class Vocabulary:
@@ -81,6 +83,8 @@ class Vocabulary:
         """Whether merging leaves ``left`` and ``right`` side by side."""
         known = self.memo.get((left, right))
         if known is None:
+            if len(self.memo) >= REMEMBERED_PAIRS:
+                self.memo.clear()
             known = self.memo[left, right] = self._compatible(left, right)
         return known
 
