@@ -4,7 +4,8 @@ The day is the outermost folder: a reader lists the days it was asked for and no
 past retention goes as one folder. A micro-batch replaces the folders of its own number, day by day,
 so a repeated batch leaves no duplicate, and a batch without rows leaves no folder. ``run`` is the
 streaming query's id, which survives restarts from the same checkpoint and changes with a new one,
-so a fresh query can never overwrite an older one's rows.
+so a fresh query can never overwrite an older one's rows. Which batches count is for the records of
+``plans.commits`` to say; readers honour them.
 """
 
 from __future__ import annotations
@@ -18,6 +19,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from settle.operators import contract
+from settle.plans.commits import CommitLog, compaction_run
 from settle.schema import OutputSpec
 
 REJECT_POLICIES = ("fail", "quarantine")
@@ -104,8 +106,10 @@ def _days(path: str, first: date, last: date) -> str:
 
 
 def _read(
-    spark: SparkSession, path: str, fields: list[T.StructField], first: date, last: date
+    spark: SparkSession, root: str, table: str, fields: list[T.StructField], first: date, last: date
 ) -> DataFrame:
+    """The rows that count, of some days, with the run and batch that wrote them."""
+    path = f"{root}/{table}"
     stored = [
         T.StructField("date", T.DateType()),
         T.StructField("run", T.StringType()),
@@ -121,7 +125,10 @@ def _read(
         if error.getCondition() != "PATH_NOT_FOUND":
             raise
         return spark.createDataFrame([], schema)
-    return rows.filter(F.col("date").between(first, last))
+    rows = rows.filter(F.col("date").between(first, last))
+    days = (first + timedelta(days=i) for i in range((last - first).days + 1))
+    counts = CommitLog(spark, root).visible(table, days).condition()
+    return rows if counts is None else rows.filter(counts)
 
 
 def read_table(
@@ -138,7 +145,7 @@ def read_table(
     live = first_live_day(spec, as_of)
     first = max(since, live) if live else since
     last = until or max(today(), as_of or today()) + timedelta(days=1)
-    rows = _read(spark, f"{root}/{spec.name}", spec.table_schema.fields, first, last)
+    rows = _read(spark, root, spec.name, spec.table_schema.fields, first, last)
     return rows.drop("run", "batch_id")
 
 
@@ -148,38 +155,93 @@ def read_rejects(
     """Quarantined rows with their ``reject_reason``, and the message they came in, if any."""
     extra = [T.StructField(name, T.StringType()) for name in ("message", "reject_reason")]
     last = until or today() + timedelta(days=1)
-    path = f"{root}/{spec.name}{REJECTS}"
-    rows = _read(spark, path, [*spec.table_schema.fields, *extra], since, last)
+    fields = [*spec.table_schema.fields, *extra]
+    rows = _read(spark, root, f"{spec.name}{REJECTS}", fields, since, last)
     return rows.drop("run", "batch_id")
 
 
+def without_copies(rows: DataFrame, spec: OutputSpec) -> DataFrame:
+    """Rows without those that are provably written twice.
+
+    Two equal rows of one log position, or of one minute of a table with a row a minute, are one. Rows
+    that nothing identifies are all kept, however equal: two dead letters may well be.
+    """
+    columns = spec.table_schema.names
+    if spec.one_row_a_minute:
+        return rows.dropDuplicates(columns)
+    if not set(POSITION) <= set(columns):
+        return rows
+    placed = F.lit(True)
+    for name in POSITION:
+        placed = placed & F.col(name).isNotNull()
+    return rows.filter(placed).dropDuplicates(columns).unionByName(rows.filter(~placed))
+
+
 def compact(spark: SparkSession, root: str, spec: OutputSpec, day: date) -> int:
     """Gather the batch folders of a day that is over into one; returns how many went.
 
-    The rows are written aside, moved in, and only then are the old folders deleted. Stopped half
-    way, the day holds rows twice until the next call, which keeps one of equal rows: a reader may see
-    a row again, as after any retried write, but never misses one. Safe to repeat.
+    The rows of the batches that count now are written aside and moved in; one commit record then shows
+    them and hides the batches they were read from, and only those folders are deleted. A batch written
+    meanwhile stays as it is, and readers see every row, and see it once, at any moment. Stopped half way,
+    the next call finishes what the record says, or starts over. Safe to repeat.
     """
     path, folder = f"{root}/{spec.name}", f"date={day}"
     files, at = _files(spark, f"{path}/{folder}")
     if not files.exists(at(f"{path}/{folder}")):
         return 0
-    runs = [status.getPath() for status in files.listStatus(at(f"{path}/{folder}"))]
-    old = [batch.getPath() for run in runs for batch in files.listStatus(run)]
-    if len(old) < 2:
+    log = CommitLog(spark, root)
+    visible = log.visible(spec.name, [day])
+    _delete_batches(files, at, f"{path}/{folder}", visible.replaced)
+    found: dict[str, list[int]] = {}
+    for run, batch_id in _batches(files, at, f"{path}/{folder}"):
+        if visible.shows(run, batch_id):
+            found.setdefault(run, []).append(batch_id)
+    if sum(map(len, found.values())) < 2:
         return 0
-    rows = _read(spark, path, spec.table_schema.fields, day, day).drop("run", "batch_id").distinct()
-    aside, run = f"{path}{ASIDE}/{uuid.uuid4().hex}", f"compact-{uuid.uuid4().hex}"
+    stored = _read(spark, root, spec.name, spec.table_schema.fields, day, day)
+    wanted = F.lit(False)
+    for run, batches in found.items():
+        wanted = wanted | ((F.col("run") == run) & F.col("batch_id").isin(*batches))
+    rows = without_copies(stored.filter(wanted).drop("run", "batch_id", "date"), spec)
+    rows = rows.withColumn("date", F.lit(day))
+    aside, run = f"{path}{ASIDE}/{uuid.uuid4().hex}", compaction_run(spec.name, day)
     if spec.cluster_by:
         keys = [*spec.cluster_by, *(name for name in POSITION if name in rows.columns)]
         rows = rows.repartitionByRange(*keys)
     _save(rows, spec, aside, run, 0)
+    log.begin(run)
     if not files.rename(at(f"{aside}/{folder}/run={run}"), at(f"{path}/{folder}/run={run}")):
         raise OSError(f"could not move the compacted day to {path}/{folder}")
-    for folder_ in runs:
-        files.delete(folder_, True)
+    log.commit(run, 0, {"replaces": found})
+    _delete_batches(files, at, f"{path}/{folder}", found)
+    log.commit(run, 1)  # nothing is left to hide
+    for other in found:
+        if other.startswith(run.rpartition("-")[0]):
+            log.forget(other)
     files.delete(at(aside), True)
-    return len(old)
+    return sum(map(len, found.values()))
+
+
+def _batches(files, at, path: str) -> list[tuple[str, int]]:
+    """(run, batch_id) of the batch folders of a day."""
+    out = []
+    for run in files.listStatus(at(path)):
+        for batch in files.listStatus(run.getPath()) if run.isDirectory() else ():
+            name = batch.getPath().getName()
+            if name.startswith("batch_id="):
+                own = run.getPath().getName().removeprefix("run=")
+                out.append((own, int(name.removeprefix("batch_id="))))
+    return out
+
+
+def _delete_batches(files, at, path: str, batches) -> None:
+    """Delete batch folders, and those of their runs that hold no other batch."""
+    for run, numbers in batches.items():
+        own = at(f"{path}/run={run}")
+        for number in numbers:
+            files.delete(at(f"{path}/run={run}/batch_id={number}"), True)
+        if files.exists(own) and not len(files.listStatus(own)):
+            files.delete(own, False)
 
 
 def _files(spark: SparkSession, path: str):

@@ -25,6 +25,7 @@ from settle.operators import contract, frames
 from settle.operators.dedup import dedup_stream
 from settle.operators.enrich import enrich, only_collections
 from settle.operators.windows import counts_of, health_of, minute_totals
+from settle.plans.commits import CommitLog
 from settle.plans.tables import write_batch
 from settle.schema import (
     COUNTS_FAST,
@@ -75,11 +76,28 @@ def run_id(batch: DataFrame) -> str:
     return batch.sparkSession.sparkContext.getLocalProperty("sql.streaming.queryId")
 
 
+def committed(tables: str, write: Callable[[DataFrame, str, int], None]) -> Callable:
+    """Batch writer whose tables show all of a batch or none of it.
+
+    ``write`` gets the batch, the run and the batch's number. The rows count once the commit record is
+    there; a batch that has one, repeated after a restart, is not written again.
+    """
+
+    def once(batch: DataFrame, batch_id: int) -> None:
+        run, log = run_id(batch), CommitLog(batch.sparkSession, tables)
+        if log.holds(run, batch_id):
+            return
+        log.begin(run)
+        write(batch, run, batch_id)
+        log.commit(run, batch_id)
+
+    return once
+
+
 def publish(spec: OutputSpec, delay_s: int, tables: str, with_health: bool) -> Callable:
     """Batch writer: the counts and, for the fast query, the liveness rows of the same minutes."""
 
-    def write(batch: DataFrame, batch_id: int) -> None:
-        run = run_id(batch)
+    def write(batch: DataFrame, run: str, batch_id: int) -> None:
         totals = batch.withColumn("emitted_at", F.current_timestamp()).persist()
         emitted_at = F.col("emitted_at")
         # Most batches of a short trigger close no minute; they leave no folder behind. A repeated
@@ -90,19 +108,18 @@ def publish(spec: OutputSpec, delay_s: int, tables: str, with_health: bool) -> C
                 write_batch(health_of(totals, emitted_at), HEALTH, tables, run, batch_id)
         totals.unpersist()
 
-    return write
+    return committed(tables, write)
 
 
 def publish_raw(
     tables: str, on_reject: str = "quarantine", collections=None, gated: bool = False
 ) -> Callable:
-    """Batch writer: raw posts and dead letters; the batch counts as done when both are written.
+    """Batch writer: raw posts and dead letters; readers see both or neither.
 
     A ``gated`` log has no dead letters: ingest has sent those to a topic of their own.
     """
 
-    def write(batch: DataFrame, batch_id: int) -> None:
-        run = run_id(batch)
+    def write(batch: DataFrame, run: str, batch_id: int) -> None:
         received = batch if gated else batch.persist()
         log = received if gated else frames.usable(received)
         posts = frames.decode(log.select("value", "partition", "offset"))
@@ -115,21 +132,20 @@ def publish_raw(
             write_batch(frames.dead_letters(received), PARSE_ERRORS, tables, run, batch_id)
             received.unpersist()
 
-    return write
+    return committed(tables, write)
 
 
 def publish_routed(tables: str, on_reject: str = "fail") -> Callable:
-    """Batch writer: every table's rows of the batch; only then does the batch count as done."""
+    """Batch writer: every table's rows of the batch; readers see all of them or none."""
 
-    def write(batch: DataFrame, batch_id: int) -> None:
-        run = run_id(batch)
+    def write(batch: DataFrame, run: str, batch_id: int) -> None:
         routed = batch.persist()
         for spec in ROUTES.values():
             rows = contract.rows_for(routed, spec)
             write_batch(rows, spec, tables, run, batch_id, on_reject)
         routed.unpersist()
 
-    return write
+    return committed(tables, write)
 
 
 def _start(writer: DataStreamWriter, name: str, checkpoints: str, trigger: dict) -> StreamingQuery:
