@@ -324,24 +324,103 @@ def test_base_counts_by_their_definition(spark):
         assert quality.base_counts(text.encode()) == plain_counts(text)
 
 
+def plain_model(docs):
+    """Counts by the letter of the definition: n-grams as tuples, then distinct longer n-grams."""
+    levels = {quality.ORDER: {}}
+    for text in docs:
+        points = [0] * (quality.ORDER - 1) + [ord(c) for c in SPACES.sub(" ", text)]
+        for i in range(quality.ORDER - 1, len(points)):
+            gram = tuple(points[i - quality.ORDER + 1 : i + 1])
+            levels[quality.ORDER][gram] = levels[quality.ORDER].get(gram, 0) + 1
+    for order in range(quality.ORDER - 1, 0, -1):
+        levels[order] = {}
+        for gram in levels[order + 1]:
+            levels[order][gram[1:]] = levels[order].get(gram[1:], 0) + 1
+    return levels
+
+
+def plain_discounts(level):
+    n = [sum(c == k for c in level.values()) for k in (1, 2, 3, 4)]
+    if 0 in n:
+        return [0, 0.5, 0.5, 0.5]
+    y = n[0] / (n[0] + 2 * n[1])
+    return [0, *(min(max(k - (k + 1) * y * n[k] / n[k - 1], 0.05), k - 0.05) for k in (1, 2, 3))]
+
+
+def plain_probability(levels, cuts, gram):
+    """Interpolated modified Kneser-Ney, straight from the textbook."""
+    if not gram:
+        return quality.FLOOR
+    lower = plain_probability(levels, cuts, gram[1:])
+    level, cut = levels[len(gram)], cuts[len(gram)]
+    after = [c for other, c in level.items() if other[:-1] == gram[:-1]]
+    if not after:
+        return lower
+    count = level.get(gram, 0)
+    freed = sum(cut[min(c, 3)] for c in after)
+    return (max(count - cut[min(count, 3)], 0) + freed * lower) / sum(after)
+
+
+SPACES = re.compile(r"[\x20\x09-\x0D]+")
+
+
+def test_surprise_by_the_textbook(spark, scratch, documents, prose):
+    """Every text is scored by the counts of all others, the discounts being those of all."""
+    docs = [prose(i, 8 + i) for i in range(14)] + ["Ünï 中文 中文 😀", "a", "abab abba", "the of and the of and", " \t x"]
+    docs += ["  ".join(docs[0].split())]  # a copy weighs as one
+    rows = [(i, text, "en", "s") for i, text in enumerate(docs)] + [(100, "und nur das", "de", "s")]
+    found = {r.doc_id: r.surprise for r in quality.quality(documents(rows), scratch).collect()}
+    once = docs[:-1]
+    whole = plain_model(once)
+    cuts = {order: plain_discounts(level) for order, level in whole.items()}
+    for i, text in enumerate(once):
+        others = plain_model(once[:i] + once[i + 1 :])
+        points = [0] * (quality.ORDER - 1) + [ord(c) for c in SPACES.sub(" ", text)]
+        all_ = [tuple(points[j : j + quality.ORDER]) for j in range(len(points) - quality.ORDER + 1)]
+        want = -sum(np.log(plain_probability(others, cuts, gram)) for gram in all_) / len(all_)
+        assert abs(found[i] - want) < 1e-9, text
+    assert found[len(docs) - 1] == found[0]
+    assert abs(found[100] + np.log(quality.FLOOR)) < 1e-9  # no other text of its language
+
+
 def test_probabilities_sum_to_one():
-    own = np.random.default_rng(1)
-    codes, times = np.unique(own.integers(0, 1 << 12, 3000), return_counts=True)
-    model = quality.KneserNey(codes.astype(np.int64), times.astype(np.int64))
-    for context in (0, 5, 77, 4000, 200_000):
-        every = (np.uint32(context) << np.uint32(6)) + np.arange(64, dtype=np.uint32)
-        assert abs(model._p(quality.ORDER, every).sum() - 1) < 1e-9
+    whole = plain_model(["abab abba", "banana band", "a cab"])
+    cuts = {order: plain_discounts(level) for order, level in whole.items()}
+    for context in ((0, 0), (97, 98), (98, 97), (110, 97), (1, 2)):
+        points = {g[-1] for g in whole[1]}
+        known = sum(plain_probability(whole, cuts, (*context, c)) for c in points)
+        rest = (0x110000 - len(points)) * plain_probability(whole, cuts, (*context, 0x10FFFF))
+        assert abs(known + rest - 1) < 1e-9
+
+
+def test_models_too_large_to_keep_give_the_same_scores(spark, scratch, documents, prose, monkeypatch):
+    rows = documents([(i, prose(i, 30), "en", "s") for i in range(20)])
+    path = quality.store(quality.corpus_grams(rows, scratch), scratch)
+    whole = [prose(i, 30) for i in range(20)]
+    kept = quality.surprises(quality.Stored(path, folder_of(path)), whole)
+    monkeypatch.setattr(quality, "KEPT_BYTES", 10)
+    quality.Stored.kept.clear()
+    again = quality.surprises(quality.Stored(path, folder_of(path)), whole)
+    assert (kept == again).all() and not quality.Stored.kept
+
+
+def folder_of(path):
+    import os
+
+    names = os.listdir(path.removeprefix("file:"))
+    return next(n for n in names if n.startswith("lang_key=")).removeprefix("lang_key=")
 
 
-def test_interpolation_by_hand():
-    """Two levels of a tiny model against the textbook formula."""
-    text = "abab abba"
-    codes, times = quality.tally(quality.grams(text))
-    model = quality.KneserNey(codes, times)
-    seen = dict(zip(codes.tolist(), times.tolist(), strict=True))
-    distinct = {c & 0o77 for c in {c & 0o7777 for c in {c & 0o777777 for c in seen}}}
-    assert set(np.array(model.seen[0].values)) and len(model.seen[0].hashes) == len(distinct)
-    assert 0 < model.surprise(quality.grams(text)) < model.surprise(quality.grams("zzz qqq"))
+def test_labelled_junk_goes_and_clean_text_stays(spark, scratch):
+    """Of the labelled documents past the base rules, by the production band."""
+    base = "/root/testdata/sf0.01"
+    docs, labels = (spark.read.parquet(f"{base}/{n}.parquet") for n in ("documents", "labels"))
+    judged = quality.quality(docs, scratch).join(labels, "doc_id").filter("NOT base_failed")
+    rows = judged.groupBy("quality").agg({"*": "count", "doc_id": "count"}).collect()
+    kept = {r.quality: r["count"] for r in judged.filter("kept").groupBy("quality").count().collect()}
+    every = {r.quality: r["count(1)"] for r in rows}
+    assert kept[1] >= 0.95 * every[1]
+    assert kept.get(0, 0) <= 0.5 * every[0]
 
 
 def test_odd_language_is_rejected_and_prose_kept(spark, scratch, documents, prose):
@@ -375,11 +454,11 @@ def test_copies_weigh_as_one_text(spark, scratch, documents, prose, copies):
         assert not found[1000].kept
 
 
-def test_copies_of_another_language_are_texts_of_their_own(spark, documents):
+def test_copies_of_another_language_are_texts_of_their_own(spark, scratch, documents):
     rows = [(0, "a b", "en", "s"), (1, "a  b", "en", "s"), (2, "a b", "de", "s"), (3, "a c", None, "s"),
             (4, "a c", None, "s"), (5, "", "en", "s"), (6, None, "en", "s")]
-    found = sorted((r.lang or "", r.text.split()) for r in quality.distinct_texts(documents(rows)).collect())
-    assert found == [("", ["a", "c"]), ("de", ["a", "b"]), ("en", ["a", "b"])]
+    found = quality.corpus_grams(documents(rows), scratch).groupBy("lang_key").sum("n").collect()
+    assert sorted(r["sum(n)"] for r in found) == [3, 3, 3]
 
 
 def test_quality_of_odd_rows(scratch, documents):
