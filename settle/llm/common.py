@@ -73,14 +73,18 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 class Scratch:
     """Tables written to the shared folder that ``spark.checkpoint.dir`` names.
 
-    A saved table cuts the lineage: a lost executor costs its own tasks, not the steps before.
+    A saved table cuts the lineage: a lost executor costs its own tasks, not the steps before. Whoever has
+    saved a result of its own may drop the folders that were ``opened`` for it.
     """
 
+    opened: list[Scratch] = []
+
     def __init__(self, spark: SparkSession) -> None:
         ensure_checkpoint_dir(spark)
         prepare(spark)
         self.spark = spark
         self.path = f"{spark.sparkContext.getCheckpointDir()}/llm-{uuid.uuid4().hex}"
+        Scratch.opened.append(self)
 
     def save(self, rows: DataFrame, name: str) -> DataFrame:
         path = f"{self.path}/{name}"
@@ -91,6 +95,14 @@ class Scratch:
         """Remove what was saved; only for callers whose result no longer reads it."""
         path, files = hadoop_path(self.spark, self.path)
         files.delete(path, True)
+        if self in Scratch.opened:
+            Scratch.opened.remove(self)
+
+    @staticmethod
+    def drop_since(mark: int) -> None:
+        """Drop every folder opened since ``len(Scratch.opened)`` was ``mark``."""
+        for own in Scratch.opened[mark:]:
+            own.drop()
 
 
 def slices(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:

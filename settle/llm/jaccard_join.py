@@ -237,6 +237,7 @@ def ordered_signatures(rows: DataFrame, scratch: Scratch) -> tuple[DataFrame, Da
     frequent = field_of(frequent_shingles(rows), FREQUENT_BITS)
     sent = rows.sparkSession.sparkContext.broadcast(frequent)
     signatures = scratch.save(signed(rows, sent), "signatures")
+    sent.destroy()
     return signatures, unpacked(scratch.save(shared_shingles(signatures), "shared"))
 
 
@@ -287,7 +288,9 @@ def listed_shingles(
                 column.extend(more)
         return columns_of(out, LISTED)
 
-    return scratch.save(map_batches(mine, spread, LISTED), "listed")
+    listed = scratch.save(map_batches(mine, spread, LISTED), "listed")
+    sent.destroy()
+    return listed
 
 
 SHORT = "point binary, doc_id long, n long, in_base long, values binary"
@@ -336,7 +339,9 @@ def open_regions(lists: DataFrame, labels: DataFrame, scratch: Scratch) -> DataF
     return scratch.save(found.select("pivot", "node", "label").distinct(), "members")
 
 
-def wanted_sets(rows: DataFrame, points: DataFrame, lists: DataFrame) -> DataFrame:
+def wanted_sets(
+    rows: DataFrame, points: DataFrame, lists: DataFrame, scratch: Scratch
+) -> DataFrame:
     """(node, shingles) of the points that are in some list, from their texts."""
     context = rows.sparkSession.sparkContext
     wanted = points.join(lists.select("node").distinct(), "node", "left_semi")
@@ -358,7 +363,10 @@ def wanted_sets(rows: DataFrame, points: DataFrame, lists: DataFrame) -> DataFra
 
     known = rows.filter("doc_id IS NOT NULL").select(hashed, "doc_id", "text")
     sets = map_batches(known, run, "doc_id long, point binary, shingles binary")
-    return sets.join(wanted, ["doc_id", "point"]).select("node", "shingles")
+    found = sets.join(wanted, ["doc_id", "point"]).select("node", "shingles")
+    found = scratch.save(found, "sets")
+    sent.destroy()
+    return found
 
 
 # --- joining a region -------------------------------------------------------------------------
@@ -558,7 +566,7 @@ def labelled(rows: DataFrame, signatures, shared, points, scratch: Scratch) -> D
     """
     listed = listed_shingles(signatures, shared, points, scratch)
     lists = listed_points(listed, scratch)
-    sets = scratch.save(wanted_sets(rows, points, lists), "sets")
+    sets = wanted_sets(rows, points, lists, scratch)
     firsts = scratch.save(first_regions(lists), "first-members")
     chunks = dealt_out(firsts, scratch, "first-sizes").withColumn("whole", F.lit(False))
     first = scratch.save(join_chunks(chunks.join(sets, "node")), "first-found")
