@@ -309,8 +309,8 @@ def read(files: DataFrame, wanted: frozenset[int] | None = None) -> DataFrame:
             ["doc_id", "start", "ids"],
         )
 
-    # one partition a file, as far as hashing spreads them
-    spread = files.select("path", "start").repartition("path")
+    # as many partitions as files, by number: a manifest is too small for Spark to split by itself
+    spread = files.select("path", "start").repartition(max(1, files.count()), "path")
     return spread.mapInArrow(run, "doc_id long, start long, ids binary")
 
 
