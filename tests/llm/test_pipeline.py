@@ -29,7 +29,7 @@ def test_query_matches_its_sql(spark, duck, name):
 
 def test_one_query_per_operator():
     numbers = sorted(int(name[2:].split("_")[0]) for name in QUERIES)
-    assert numbers == list(range(1, 11))
+    assert numbers == list(range(1, 14))
     assert [name for name, _ in corpus_pipeline.STAGES] == [
         "quality_rules", "exact_dedup", "jaccard_join", "source_mix", "byte_bpe"
     ]
@@ -71,7 +71,7 @@ def test_stages_survive_odd_rows(spark, documents):
         assert stage(spark, documents([]), SMALL).count() == 0
     # no row has fifty words; three empty texts are one, and so are four equal ones
     assert sizes["quality_rules"] == 0
-    assert sizes["exact_dedup"] == len(odd_rows()) - 3 - 3
+    assert sizes["exact_dedup"] == len(odd_rows()) - 2 - 3
     assert sizes["byte_bpe"] == len(odd_rows())
 
 
