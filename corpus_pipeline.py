@@ -97,9 +97,17 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Apply the stages to ``documents``, each to what the one before has written."""
-    scratch = Scratch(spark)
-    docs = table(spark, sf_dir, "documents")
+    """Apply the stages to ``documents``, each to what the one before has written.
+
+    What a stage has put aside goes when its result is written, and a result when the next one is.
+    """
+    docs, before = table(spark, sf_dir, "documents"), None
     for name, stage in STAGES[:-1]:
-        docs = scratch.save(stage(spark, docs, sf_dir), name)
+        result = Scratch(spark)
+        mark = len(Scratch.opened)
+        docs = result.save(stage(spark, docs, sf_dir), name)
+        Scratch.drop_since(mark)
+        if before is not None:
+            before.drop()
+        before = result
     return STAGES[-1][1](spark, docs, sf_dir)
