@@ -323,6 +323,37 @@ _LIVE = """, slots AS (
 """
 
 
+# A partition with rows in a file delivers within 30 s; one without has been silent for two minutes.
+_BY_PARTITION = """, placed AS (
+    SELECT *, CASE WHEN kafka_partition = 4
+            AND arrival_us // 120000000 - 1704067200000000 // 120000000 BETWEEN 5 AND 9
+        THEN 1704067200000000 // 120000000 + 10 ELSE arrival_us // 120000000 END AS slot
+    FROM (SELECT kafka_partition, arrival_us FROM posts)
+), slots AS (
+    SELECT slot, row_number() OVER (ORDER BY slot) AS batch FROM (SELECT DISTINCT slot FROM placed)
+), numbered_rows AS (
+    SELECT e.*, batch FROM enriched AS e JOIN slots ON slot = CASE WHEN kafka_partition = 4
+            AND arrival_us // 120000000 - 1704067200000000 // 120000000 BETWEEN 5 AND 9
+        THEN 1704067200000000 // 120000000 + 10 ELSE arrival_us // 120000000 END
+), reached AS (
+    SELECT kafka_partition, batch,
+        max(max(time_us)) OVER (PARTITION BY kafka_partition ORDER BY batch) AS upto
+    FROM numbered_rows GROUP BY kafka_partition, batch
+), marks AS (
+    SELECT batch, max(min(upto)) OVER (ORDER BY batch) AS mark
+    FROM slots LEFT JOIN reached USING (batch) GROUP BY batch
+), timed AS (
+    SELECT n.*, m.mark AS cutoff
+    FROM numbered_rows AS n LEFT JOIN marks AS m ON m.batch = n.batch - 1
+), fast AS (
+    SELECT window_start_us, window_end_us, {measures} FROM timed
+    WHERE operation = 'create' AND (cutoff IS NULL OR window_end_us > cutoff - 5000000)
+        AND window_end_us <= (SELECT max(mark) - 5000000 FROM marks)
+    GROUP BY window_start_us, window_end_us
+)
+"""
+
+
 def _sql(prefix: str, select: str, speedup: int = 720) -> str:
     text = "WITH " + prefix.format(speedup=speedup, measures=_MEASURES)
     return text + select.format(measures=_MEASURES)
@@ -581,6 +612,18 @@ def statements() -> dict[str, str]:
             GROUP BY window_end_us""",
         ),
         "live_revisions": _sql(_ENRICHED + _LIVE, _REVISIONS),
+        "live_joined": _sql(_ENRICHED + _LIVE, _REVISIONS),
+        "stream_by_partition": _sql(
+            _ENRICHED + _BY_PARTITION,
+            "SELECT *, CAST(5 AS INTEGER) AS watermark_delay_s FROM fast",
+        ),
+        "errors_compacted": _sql(
+            _FRAMES,
+            """SELECT first_arrival_us // 60000000 * 60000000 AS observed_time_us,
+                CASE WHEN fault = 1 THEN '{{' || chr(65533) || chr(65533) || '}}'
+                     ELSE frame END AS payload, reason AS error, 2 * count(*) AS letters
+            FROM classified WHERE status = 'undeliverable' GROUP BY ALL""",
+        ),
         "live_late": _sql(
             _ENRICHED + _LIVE,
             """SELECT f.window_start_us, a.events - f.events AS late_5s,

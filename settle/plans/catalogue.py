@@ -24,7 +24,9 @@ from settle.schema import (
     FAST_DELAY_S,
     HEALTH,
     MICROS,
+    PARSE_ERRORS,
     RAW,
+    REVISIONS,
     ROUTES,
     SETTLED_DELAY_S,
     OutputSpec,
@@ -32,6 +34,7 @@ from settle.schema import (
 from settle.session import ensure_checkpoint_dir
 from settle.sources import derived, events
 from settle.sources.log import file_log
+from settle.streaming import partitions, revisions
 from settle.streaming import queries as streaming
 
 AS_OF = datetime(2024, 1, 1, 1, 5, tzinfo=timezone.utc)
@@ -526,3 +529,56 @@ def live_late(spark: SparkSession, sf_dir: str) -> DataFrame:
         late = late.join(counted, "window_start", how)
         late = late.withColumn(name, F.col("all_events") - F.col(name))
     return with_us(late.drop("all_events"))
+
+
+@query
+def live_joined(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same report, published by a join of the two streams of counts as they are written."""
+    folder, day = _live(spark, sf_dir), _first_day(_posts(spark, sf_dir))
+    running = revisions.start_revisions(
+        spark, folder, f"{_folder(spark)}/checkpoints", trigger={"availableNow": True}, max_files=8
+    )
+    running.awaitTermination()
+    fast, decided = (
+        tables.read_table(spark, folder, spec, day, as_of=day) for spec in (COUNTS_FAST, REVISIONS)
+    )
+    return with_us(curated.v_live_revisions(fast, decided))
+
+
+@query
+def stream_by_partition(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Fast counts under the watermark of the slowest partition, one of which is silent for a while.
+
+    A file of the log is two minutes of arrival, and so is the time between two batches.
+    """
+    folder = _folder(spark)
+    events.write_live_log(spark, sf_dir, f"{folder}/log", silent=True)
+    running = partitions.start_by_partition(
+        file_log(spark, f"{folder}/log", max_files=1),
+        COUNTS_FAST,
+        FAST_DELAY_S,
+        f"{folder}/tables",
+        f"{folder}/checkpoints",
+        trigger={"availableNow": True},
+        clock=lambda batch_id: batch_id * events.FILE_MINUTES * 60,
+    )
+    running.awaitTermination()
+    day = _first_day(_posts(spark, sf_dir))
+    counts = tables.read_table(spark, f"{folder}/tables", COUNTS_FAST, day, as_of=day)
+    return with_us(counts.drop("emitted_at", "date"))
+
+
+@query
+def errors_compacted(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Dead letters of two batches, many of them equal, compacted and counted."""
+    folder = _folder(spark)
+    received = F.timestamp_micros(F.expr("received_us div 60000000 * 60000000"))
+    letters = frames.dead_letters(_frames(spark, sf_dir), received)
+    for batch_id in range(2):
+        tables.write_batch(letters, PARSE_ERRORS, folder, "a", batch_id)
+    day = _first_day(letters)
+    tables.compact(spark, folder, PARSE_ERRORS, day)
+    stored = tables.read_table(spark, folder, PARSE_ERRORS, day, as_of=day)
+    return with_us(
+        stored.groupBy("observed_time", "payload", "error").agg(F.count("*").alias("letters"))
+    )

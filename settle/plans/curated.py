@@ -11,7 +11,7 @@ from settle.operators.dedup import first_writes, latest_window_rows
 from settle.operators.enrich import creates
 from settle.operators.quantiles import exact_quantiles
 from settle.operators.windows import WINDOW
-from settle.schema import SETTLED_DELAY_S, VIEW_DAYS
+from settle.schema import REVISIONS, SETTLED_DELAY_S, VIEW_DAYS
 
 PERCENTS = {"p50_lag_ms": 50, "p95_lag_ms": 95, "p99_lag_ms": 99}
 _TOTALS = ("events", "suspect_clocks", "future_dated", "backdated")
@@ -40,26 +40,41 @@ def v_posts(raw: DataFrame, as_of: date | None = None, days: int = VIEW_DAYS) ->
     return first_writes(recent(raw, as_of, days))
 
 
+def revision_columns() -> list[Column | str]:
+    """The revision report from rows with ``published`` and ``settled`` counts of a window."""
+    delta = F.col("settled") - F.col("published")
+    return [
+        "window_start",
+        "window_end",
+        "published",
+        "settled",
+        delta.alias("delta"),
+        F.try_divide(delta, F.col("published")).alias("pct_revision"),
+        "avg_lag_ms",
+        "suspect_clocks",
+        "future_dated",
+        F.col("settled").isNull().alias("unsettled"),
+    ]
+
+
 def v_revisions(fast: DataFrame, settled: DataFrame) -> DataFrame:
     """What was published, what proved true, and the revision between them, per window."""
     later = latest_window_rows(settled).select("window_start", F.col("events").alias("settled"))
-    delta = F.col("settled") - F.col("published")
     return (
         latest_window_rows(fast)
         .withColumnRenamed("events", "published")
         .join(later, "window_start", "left")
-        .select(
-            "window_start",
-            "window_end",
-            "published",
-            "settled",
-            delta.alias("delta"),
-            F.try_divide(delta, F.col("published")).alias("pct_revision"),
-            "avg_lag_ms",
-            "suspect_clocks",
-            "future_dated",
-            F.col("settled").isNull().alias("unsettled"),
-        )
+        .select(*revision_columns())
+    )
+
+
+def v_live_revisions(fast: DataFrame, decided: DataFrame) -> DataFrame:
+    """The revisions a stream has published, and the windows it has not decided yet as unsettled."""
+    published = decided.select(*REVISIONS.table_schema.names).dropDuplicates(["window_start"])
+    waiting = latest_window_rows(fast).join(published, "window_start", "left_anti")
+    waiting = waiting.withColumnRenamed("events", "published")
+    return published.unionByName(
+        waiting.withColumn("settled", F.lit(None).cast("long")).select(*revision_columns())
     )
 
 

@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from settle.operators import contract
-from settle.plans.commits import CommitLog, compaction_run
+from settle.plans.commits import CommitLog, compaction_prefix, compaction_run
 from settle.schema import OutputSpec
 
 REJECT_POLICIES = ("fail", "quarantine")
@@ -183,7 +183,7 @@ def compact(spark: SparkSession, root: str, spec: OutputSpec, day: date) -> int:
     The rows of the batches that count now are written aside and moved in; one commit record then shows
     them and hides the batches they were read from, and only those folders are deleted. A batch written
     meanwhile stays as it is, and readers see every row, and see it once, at any moment. Stopped half way,
-    the next call finishes what the record says, or starts over. Safe to repeat.
+    the next call finishes what the record says, or starts over. Safe to repeat; one call at a time for a day.
     """
     path, folder = f"{root}/{spec.name}", f"date={day}"
     files, at = _files(spark, f"{path}/{folder}")
@@ -192,6 +192,10 @@ def compact(spark: SparkSession, root: str, spec: OutputSpec, day: date) -> int:
     log = CommitLog(spark, root)
     visible = log.visible(spec.name, [day])
     _delete_batches(files, at, f"{path}/{folder}", visible.replaced)
+    for run, upto in visible.upto.items():
+        if run.startswith(compaction_prefix(spec.name, day)) and upto < 0:  # stopped before it counted
+            files.delete(at(f"{path}/{folder}/run={run}"), True)
+            log.forget(run)
     found: dict[str, list[int]] = {}
     for run, batch_id in _batches(files, at, f"{path}/{folder}"):
         if visible.shows(run, batch_id):
@@ -208,6 +212,8 @@ def compact(spark: SparkSession, root: str, spec: OutputSpec, day: date) -> int:
     if spec.cluster_by:
         keys = [*spec.cluster_by, *(name for name in POSITION if name in rows.columns)]
         rows = rows.repartitionByRange(*keys)
+    else:
+        rows = rows.hint("rebalance")  # as few files as their size asks for
     _save(rows, spec, aside, run, 0)
     log.begin(run)
     if not files.rename(at(f"{aside}/{folder}/run={run}"), at(f"{path}/{folder}/run={run}")):
@@ -250,6 +256,16 @@ def _files(spark: SparkSession, path: str):
     return hadoop(path).getFileSystem(spark._jsc.hadoopConfiguration()), hadoop
 
 
+def ensure_folder(spark: SparkSession, path: str) -> None:
+    files, at = _files(spark, path)
+    files.mkdirs(at(path))
+
+
+def delete_folder(spark: SparkSession, path: str) -> None:
+    files, at = _files(spark, path)
+    files.delete(at(path), True)
+
+
 def expired_days(rows: DataFrame, spec: OutputSpec, as_of: date) -> DataFrame:
     """Days of a table past its retention, with the rows they hold."""
     day = F.to_date(spec.date_from)

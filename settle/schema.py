@@ -22,6 +22,7 @@ IGNORED_KINDS = ("identity", "account")
 # The two patience levels, the window, and the plausible range of a claimed time.
 FAST_DELAY_S = 5
 SETTLED_DELAY_S = 600
+IDLE_S = 30
 WINDOW_S = 60
 MAX_BEHIND_MS = 30 * 24 * 3600 * 1000
 MAX_AHEAD_MS = 3600 * 1000
@@ -70,6 +71,7 @@ _TYPES = {
     "bool": T.BooleanType(),
     "strings": T.ArrayType(T.StringType()),
     "time": T.TimestampType(),
+    "double": T.DoubleType(),
 }
 
 _COUNTS = """
@@ -85,6 +87,10 @@ _RAW = """
 """
 _HEALTH = "window_end time, max_observed_time time, events long, emitted_at time"
 _ERRORS = "observed_time time, payload string, error string"
+_REVISIONS = """
+    window_start time, window_end time, published long, settled long, delta long,
+    pct_revision double, avg_lag_ms long, suspect_clocks long, future_dated long, unsettled bool
+"""
 
 
 @dataclass(frozen=True)
@@ -169,5 +175,14 @@ PARSE_ERRORS = OutputSpec(
     retention_days=RAW_RETENTION_DAYS,
 )
 
-OUTPUTS = (RAW, COUNTS_FAST, COUNTS_SETTLED, HEALTH, PARSE_ERRORS)
+REVISIONS = OutputSpec(
+    "revisions",
+    None,
+    _REVISIONS,
+    ("window_start", "window_end"),
+    "window_start",
+    one_row_a_minute=True,
+)
+
+OUTPUTS = (RAW, COUNTS_FAST, COUNTS_SETTLED, HEALTH, PARSE_ERRORS, REVISIONS)
 ROUTES = {spec.topic: spec for spec in OUTPUTS if spec.topic}

@@ -192,13 +192,26 @@ def as_log_columns() -> list[Column]:
 FILE_MINUTES = 2
 
 
-def write_live_log(spark: SparkSession, sf_dir: str, path: str) -> None:
+# A partition that goes silent for some files, counted from the first full one, and then brings all it holds.
+SILENT_PARTITION, SILENT_FROM, SILENT_UPTO = 4, 5, 9
+
+
+def write_live_log(spark: SparkSession, sf_dir: str, path: str, silent: bool = False) -> None:
     """The whole log as files in order of arrival, every partition in each: one file, one micro-batch.
 
-    Files are written one after the other, as a stream takes them by their time of writing.
+    Files are written one after the other, as a stream takes them by their time of writing. With
+    ``silent`` one partition is missing from some files and brings its rows in the one after.
     """
     posts = unnumbered_posts(read_events(spark, sf_dir))
-    slot = F.expr(f"arrival_us div {FILE_MINUTES * 60_000_000}").alias("slot")
+    width = FILE_MINUTES * 60_000_000
+    slot = F.expr(f"arrival_us div {width}")
+    if silent:
+        first = BASE_US // width
+        held = (F.col("kafka_partition") == SILENT_PARTITION) & slot.between(
+            first + SILENT_FROM, first + SILENT_UPTO
+        )
+        slot = F.when(held, first + SILENT_UPTO + 1).otherwise(slot)
+    slot = slot.alias("slot")
     log = posts.select(*as_log_columns(), slot).repartition("slot").persist()
     for row in log.select("slot").distinct().orderBy("slot").collect():
         mine = log.filter(F.col("slot") == row.slot).drop("slot")

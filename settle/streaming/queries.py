@@ -76,11 +76,12 @@ def run_id(batch: DataFrame) -> str:
     return batch.sparkSession.sparkContext.getLocalProperty("sql.streaming.queryId")
 
 
-def committed(tables: str, write: Callable[[DataFrame, str, int], None]) -> Callable:
+def committed(tables: str, write: Callable[[DataFrame, str, int], dict | None]) -> Callable:
     """Batch writer whose tables show all of a batch or none of it.
 
-    ``write`` gets the batch, the run and the batch's number. The rows count once the commit record is
-    there; a batch that has one, repeated after a restart, is not written again.
+    ``write`` gets the batch, the run and the batch's number, and returns what the record should carry.
+    The rows count once the commit record is there; a batch that has one, repeated after a restart, is
+    not written again.
     """
 
     def once(batch: DataFrame, batch_id: int) -> None:
@@ -88,8 +89,7 @@ def committed(tables: str, write: Callable[[DataFrame, str, int], None]) -> Call
         if log.holds(run, batch_id):
             return
         log.begin(run)
-        write(batch, run, batch_id)
-        log.commit(run, batch_id)
+        log.commit(run, batch_id, write(batch, run, batch_id))
 
     return once
 
