@@ -323,6 +323,36 @@ _LIVE = """, slots AS (
 """
 
 
+_LIVES = """, records AS (
+    SELECT 'at://' || did || '/' || collection || '/k' || (CAST(substr(rkey, 2) AS BIGINT) % 7) AS uri,
+        rev, kafka_partition, kafka_offset, operation, time_us,
+        CASE WHEN NOT clock_suspect THEN epoch_us(claimed_time) END AS claimed_us
+    FROM once WHERE operation IN ('create', 'delete')
+), followed AS (
+    SELECT *, lag(operation) OVER history AS last_operation, lag(rev) OVER history AS last_rev,
+        lag(time_us) OVER history AS last_us, lag(claimed_us) OVER history AS last_claimed_us
+    FROM records WINDOW history AS (PARTITION BY uri ORDER BY kafka_offset)
+), lives AS (
+    SELECT uri, rev, kafka_partition, kafka_offset,
+        CASE last_operation WHEN 'create' THEN 'deleted' WHEN 'delete' THEN 'already deleted'
+            ELSE 'no create' END AS status,
+        time_us AS deleted_us,
+        CASE WHEN last_operation = 'create' THEN last_rev END AS created_rev,
+        CASE WHEN last_operation = 'create' THEN time_us - last_us END AS lifetime_us,
+        CASE WHEN last_operation = 'create' THEN time_us - last_claimed_us END AS claimed_lifetime_us
+    FROM followed WHERE operation = 'delete'
+)
+"""
+
+_HOLES = """, holed AS (
+    SELECT kafka_partition, kafka_offset
+    FROM enriched, (VALUES (0), (1), (2)) AS copies(copy)
+    WHERE NOT kafka_offset % 1009 BETWEEN 5 AND 9 AND NOT kafka_offset BETWEEN 300 AND 420
+        AND (copy = 0 OR (copy = 1 AND kafka_offset % 10 = 3)
+            OR (copy = 2 AND kafka_offset BETWEEN 100 AND 290))
+)
+"""
+
 # A partition with rows in a file delivers within 30 s; one without has been silent for two minutes.
 _BY_PARTITION = """, placed AS (
     SELECT *, CASE WHEN kafka_partition = 4
@@ -617,6 +647,44 @@ def statements() -> dict[str, str]:
             _ENRICHED + _BY_PARTITION,
             "SELECT *, CAST(5 AS INTEGER) AS watermark_delay_s FROM fast",
         ),
+        "post_lifetimes": _sql(_ENRICHED + _ONCE + _LIVES, "SELECT * FROM lives"),
+        "lifetime_profile": _sql(
+            _ENRICHED + _ONCE + _LIVES,
+            """SELECT deleted_us // 60000000 * 60000000 AS window_start_us,
+                count(*) FILTER (status = 'deleted') AS deleted,
+                count(*) FILTER (status = 'already deleted') AS deleted_again,
+                count(*) FILTER (status = 'no create') AS unknown,
+                min(lifetime_us) AS shortest_us, max(lifetime_us) AS longest_us
+            FROM lives GROUP BY ALL""",
+        ),
+        "missing_offsets": _sql(
+            _ENRICHED + _HOLES,
+            """SELECT kafka_partition, before + 1 AS first_offset, kafka_offset - 1 AS last_offset,
+                kafka_offset - before - 1 AS missing
+            FROM (SELECT DISTINCT kafka_partition, kafka_offset,
+                    lag(kafka_offset) OVER (PARTITION BY kafka_partition ORDER BY kafka_offset) AS before
+                FROM (SELECT DISTINCT kafka_partition, kafka_offset FROM holed) AS stored) AS placed
+            WHERE kafka_offset - before > 1""",
+        ),
+        "repeated_offsets": _sql(
+            _ENRICHED + _HOLES,
+            """SELECT kafka_partition, min(kafka_offset) AS first_offset,
+                max(kafka_offset) AS last_offset, CAST(sum(copies - 1) AS BIGINT) AS extra_rows
+            FROM (SELECT *, kafka_offset - row_number()
+                    OVER (PARTITION BY kafka_partition ORDER BY kafka_offset) AS island
+                FROM (SELECT kafka_partition, kafka_offset, count(*) AS copies
+                    FROM holed GROUP BY ALL HAVING count(*) > 1) AS repeated) AS numbered
+            GROUP BY kafka_partition, island""",
+        ),
+        "skew_sketches": _sql(
+            _ENRICHED + _ONCE,
+            """SELECT time_us // 86400000000 * 86400000000 AS window_start_us, count(*) AS events,
+                count(*) FILTER (clock_suspect) AS suspect_clocks,
+                count(*) FILTER (NOT clock_suspect) AS lags,
+                true AS p50_near, true AS p95_near, true AS p99_near
+            FROM once WHERE operation = 'create' GROUP BY ALL""",
+            speedup=1,
+        ),
         "errors_compacted": _sql(
             _FRAMES,
             """SELECT first_arrival_us // 60000000 * 60000000 AS observed_time_us,

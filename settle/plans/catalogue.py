@@ -15,7 +15,17 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from settle.functions import clocks
-from settle.operators import audit, contract, dedup, frames, replay, windows
+from settle.operators import (
+    audit,
+    contract,
+    dedup,
+    frames,
+    lifetimes,
+    offsets,
+    replay,
+    sketches,
+    windows,
+)
 from settle.operators.enrich import creates, enrich, only_collections, raw_wire
 from settle.plans import curated, tables
 from settle.schema import (
@@ -29,6 +39,7 @@ from settle.schema import (
     REVISIONS,
     ROUTES,
     SETTLED_DELAY_S,
+    SKETCHES,
     OutputSpec,
 )
 from settle.session import ensure_checkpoint_dir
@@ -422,6 +433,56 @@ def expired_partitions(spark: SparkSession, sf_dir: str) -> DataFrame:
     return expired.select(F.date_format("date", "yyyy-MM-dd").alias("date"), "rows")
 
 
+# --- what the stored log tells ----------------------------------------------------------------
+
+# Offsets of a bucket, small enough for the fixture to cross many of them.
+SMALL_BUCKET = 256
+
+
+@query
+def post_lifetimes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every delete with the create it ends, of records that are used again."""
+    rows = derived.reused_records(_log(spark, sf_dir))
+    return lifetimes.lifetimes(rows, SMALL_BUCKET)
+
+
+@query
+def lifetime_profile(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = derived.reused_records(_log(spark, sf_dir))
+    return with_us(lifetimes.lifetime_profile(lifetimes.lifetimes(rows, SMALL_BUCKET)))
+
+
+@query
+def missing_offsets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return offsets.missing_ranges(derived.with_holes(_log(spark, sf_dir)), SMALL_BUCKET)
+
+
+@query
+def repeated_offsets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return offsets.repeated_ranges(derived.with_holes(_log(spark, sf_dir)), SMALL_BUCKET)
+
+
+@query
+def skew_sketches(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Daily percentiles from stored sketches of minutes: totals, and whether each rank is near enough.
+
+    The sketches are stored in three batches, as they would come, so most minutes have several.
+    """
+    folder = _folder(spark)
+    once = dedup.first_writes(_month(spark, sf_dir)).cache()
+    for batch_id in range(3):
+        part = once.filter(F.pmod(F.col("kafka_offset"), F.lit(3)) == batch_id)
+        tables.write_batch(sketches.minute_sketches(part), SKETCHES, folder, "a", batch_id)
+    stored = tables.read_table(spark, folder, SKETCHES, _first_day(once), as_of=LAST_DAY)
+    days = sketches.merged(stored, "DAY")
+    answers = sketches.percentiles(days)
+    errors = sketches.rank_errors(answers, once, "DAY")
+    near = [(F.col(f"error_{p}") <= 0.025).alias(f"{p}_near") for p in ("p50", "p95", "p99")]
+    return with_us(
+        answers.join(errors, "window_start").select("window_start", "events", "suspect_clocks", "lags", *near)
+    )
+
+
 # --- stored tables ----------------------------------------------------------------------------
 
 

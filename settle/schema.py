@@ -72,6 +72,7 @@ _TYPES = {
     "strings": T.ArrayType(T.StringType()),
     "time": T.TimestampType(),
     "double": T.DoubleType(),
+    "binary": T.BinaryType(),
 }
 
 _COUNTS = """
@@ -87,6 +88,7 @@ _RAW = """
 """
 _HEALTH = "window_end time, max_observed_time time, events long, emitted_at time"
 _ERRORS = "observed_time time, payload string, error string"
+_SKETCHES = "window_start time, events long, suspect_clocks long, lags binary"
 _REVISIONS = """
     window_start time, window_end time, published long, settled long, delta long,
     pct_revision double, avg_lag_ms long, suspect_clocks long, future_dated long, unsettled bool
@@ -184,5 +186,8 @@ REVISIONS = OutputSpec(
     one_row_a_minute=True,
 )
 
-OUTPUTS = (RAW, COUNTS_FAST, COUNTS_SETTLED, HEALTH, PARSE_ERRORS, REVISIONS)
+# Several rows of a minute add up, so equal ones are no copies.
+SKETCHES = OutputSpec("lag_sketches", None, _SKETCHES, ("window_start",), "window_start")
+
+OUTPUTS = (RAW, COUNTS_FAST, COUNTS_SETTLED, HEALTH, PARSE_ERRORS, REVISIONS, SKETCHES)
 ROUTES = {spec.topic: spec for spec in OUTPUTS if spec.topic}

@@ -230,3 +230,24 @@ def emissions(enriched: DataFrame, cuts: Sequence[int], delay_s: int) -> DataFra
         .drop("copy")
     )
 
+
+
+# --- records that are used again ----------------------------------------------------------------
+
+RECORDS = 7
+
+
+def reused_records(enriched: DataFrame) -> DataFrame:
+    """The log as if each author had a few record keys only, created and deleted over and over."""
+    event_id = F.expr("cast(substr(rkey, 2) AS bigint)")
+    key = F.concat(F.lit("k"), F.pmod(event_id, F.lit(RECORDS)))
+    uri = F.concat(F.lit("at://"), "did", F.lit("/"), "collection", F.lit("/"), "rkey")
+    return enriched.withColumn("rkey", key).withColumn("uri", uri)
+
+
+def with_holes(log: DataFrame) -> DataFrame:
+    """The log without some of its positions, and with others stored again."""
+    offset = F.col("kafka_offset")
+    kept = log.filter(~F.pmod(offset, F.lit(1009)).between(5, 9) & ~offset.between(300, 420))
+    again = F.pmod(offset, F.lit(10)) == 3
+    return kept.unionByName(kept.filter(again)).unionByName(kept.filter(offset.between(100, 290)))
