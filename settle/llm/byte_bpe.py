@@ -22,9 +22,9 @@ from pyspark.sql import DataFrame
 
 from settle.llm.common import map_batches, texts
 
-#: Pieces whose ids a worker remembers before it starts afresh (some 30 MB), the longest such piece, and
-#: pairs of tokens it remembers (some 30 MB).
-REMEMBERED = 1 << 17
+#: Pieces whose ids a worker remembers (some 50 MB at most), the longest such piece, and pairs of tokens it
+#: remembers before it starts afresh (some 30 MB).
+REMEMBERED = 1 << 18
 REMEMBERED_LENGTH = 64
 REMEMBERED_PAIRS = 1 << 18
 
@@ -146,16 +146,20 @@ class Vocabulary:
 
 
 class Pieces(dict):
-    """Remembers the packed ids of short pieces."""
+    """Remembers the packed ids of short pieces; the older half is forgotten when the newer one is full."""
 
     def __init__(self, vocabulary: Vocabulary) -> None:
         super().__init__()
         self.vocabulary = vocabulary
+        self.older: dict[str, bytes] = {}
 
     def __missing__(self, piece: str) -> bytes:
-        packed = np.array(self.vocabulary.encode_piece(piece.encode()), "<u4").tobytes()
+        packed = self.older.get(piece)
+        if packed is None:
+            packed = np.array(self.vocabulary.encode_piece(piece.encode()), "<u4").tobytes()
         if len(piece) <= REMEMBERED_LENGTH:
-            if len(self) >= REMEMBERED:
+            if len(self) >= REMEMBERED // 2:
+                self.older = dict(self)
                 self.clear()
             self[piece] = packed
         return packed

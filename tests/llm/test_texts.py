@@ -292,6 +292,59 @@ def test_languages_of_odd_rows(documents):
     assert (unknown.lang_pred, unknown.score) == ("und", 0.0)
 
 
+def plain_grams(text):
+    """Letters, and the pairs and triples within words with a sign at each edge."""
+    words = "".join(c if c.isalpha() else " " for c in text.lower()).split()
+    out = []
+    for word in words:
+        edged = f" {word} "
+        out += list(word) + [edged[i : i + 2] for i in range(len(edged) - 1)]
+        out += [edged[i : i + 3] for i in range(len(edged) - 2)]
+    return out
+
+
+def plain_ranks(texts_):
+    """The most frequent n-grams of some texts; of equal counts in the order of the n-grams' codes."""
+    times = {}
+    for text in texts_:
+        for gram in plain_grams(text):
+            times[gram] = times.get(gram, 0) + 1
+
+    def code(gram):
+        value = 0
+        for c in gram:
+            value = value << language_id.BITS | (1 if c == " " else ord(c) + 1)
+        return value
+
+    return sorted(times, key=lambda g: (-times[g], code(g)))[: language_id.RANKS]
+
+
+def test_predictions_by_out_of_place_distance(documents, prose):
+    """Every document against every profile, by the letter of the definition."""
+    own = random.Random(9)
+    alphabets = {"en": "abcdefgh", "de": "äöüabcde", "fr": "éèçefghi"}
+    rows = []
+    for i in range(90):
+        lang = own.choice(list(alphabets))
+        mixed = alphabets[lang] if own.random() < 0.8 else alphabets["en"] + alphabets["de"]
+        text = " ".join("".join(own.choice(mixed) for _ in range(own.randrange(1, 7))) for _ in range(30))
+        rows.append((i, text + own.choice(["", " 12", "!"]), lang if i % 10 else None, "s"))
+    learnt = {}
+    for i, text, lang, _ in rows:
+        if zlib.crc32(str(i).encode()) % 3 != 1 and lang:
+            learnt.setdefault(lang, []).append(text)
+    profiles = {lang: {g: r for r, g in enumerate(plain_ranks(t), 1)} for lang, t in learnt.items()}
+    for row in language_id.identify(documents(rows)).collect():
+        mine = plain_ranks([rows[row.doc_id][1]])
+        apart = {
+            lang: sum(abs(known[g] - r) if g in known else language_id.RANKS for r, g in enumerate(mine, 1))
+            for lang, known in profiles.items()
+        }
+        best = min(sorted(apart), key=apart.get)
+        assert row.lang_pred == best
+        assert abs(row.score - (1 - apart[best] / (language_id.RANKS * len(mine)))) < 1e-12
+
+
 def test_ties_go_to_the_first_name():
     same = np.array([5, 6, 7])
     known = language_id.Profiles(["b"] * 3 + ["a"] * 3, np.tile(same, 2), np.tile([1, 2, 3], 2))
