@@ -676,6 +676,31 @@ def statements() -> dict[str, str]:
                     FROM holed GROUP BY ALL HAVING count(*) > 1) AS repeated) AS numbered
             GROUP BY kafka_partition, island""",
         ),
+        "alarm_history": _sql(
+            _ENRICHED + _HEALTH,
+            """, heard AS (
+                SELECT arrival_us FROM posts
+                WHERE NOT (arrival_us // 60000000 - 28401120) BETWEEN 40 AND 52
+            ), published AS (
+                SELECT window_end_us, emitted_at_us FROM health
+                WHERE NOT (emitted_at_us // 60000000 - 28401120) BETWEEN 15 AND 24
+                    AND NOT (emitted_at_us // 60000000 - 28401120) BETWEEN 42 AND 53
+            ), bounds AS (
+                SELECT min(t_us) // 60000000 + 1 AS first, max(t_us) // 60000000 + 1 AS last
+                FROM (SELECT arrival_us AS t_us FROM heard
+                    UNION ALL SELECT emitted_at_us FROM published) AS times
+            ), instants AS (
+                SELECT unnest(range(first, last + 1)) * 60000000 AS now_us FROM bounds
+            ), known AS (
+                SELECT now_us,
+                    (SELECT max(window_end_us) FROM published WHERE emitted_at_us < now_us) AS closed_us,
+                    (SELECT max(arrival_us) FROM heard WHERE arrival_us < now_us) AS heard_us
+                FROM instants)
+            SELECT *, CASE WHEN now_us - closed_us <= 140000000 THEN 'ok'
+                WHEN heard_us IS NULL OR now_us - heard_us > 120000000 THEN 'quiet'
+                ELSE 'stalled' END AS status
+            FROM known""",
+        ),
         "skew_sketches": _sql(
             _ENRICHED + _ONCE,
             """SELECT time_us // 86400000000 * 86400000000 AS window_start_us, count(*) AS events,

@@ -5,8 +5,10 @@
     python -m settle stream  --servers host:9092 --tables DIR --checkpoints DIR
     python -m settle stream  --log DIR --tables DIR --checkpoints DIR
     python -m settle sink    --servers host:9092 --tables DIR --checkpoints DIR
+    python -m settle revise  --tables DIR --checkpoints DIR
+    python -m settle watch   --servers host:9092 | --log DIR  --tables DIR --checkpoints DIR
     python -m settle replay  --tables DIR --since 2024-01-01 --out DIR
-    python -m settle revisions | skew | posts  --tables DIR --since 2024-01-01 --out DIR
+    python -m settle revisions | skew | posts | lifetimes | missing | repeated  --tables DIR --since 2024-01-01 --out DIR
     python -m settle expire  --tables DIR
     python -m settle compact --tables DIR --since 2024-01-01
 
@@ -23,21 +25,34 @@ from datetime import date, timedelta
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 
+from settle.operators.lifetimes import lifetimes
+from settle.operators.offsets import missing_ranges, repeated_ranges
 from settle.operators.replay import replay, replay_revisions
 from settle.plans import curated
 from settle.plans.tables import compact, drop_expired, read_table, today
-from settle.schema import COUNTS_FAST, COUNTS_SETTLED, OUTPUTS, RAW, ROUTES
+from settle.schema import (
+    COUNTS_FAST,
+    COUNTS_SETTLED,
+    FLUSH_ROWS,
+    FLUSH_S,
+    OUTPUTS,
+    RAW,
+    ROUTES,
+)
 from settle.session import REQUIRED, STREAMING, prepare
 from settle.sources.log import file_log, kafka_log, kafka_sink_options, kafka_source_options
-from settle.streaming.queries import start_all, start_ingest, start_sink
+from settle.streaming.queries import FAST_TRIGGER, start_all, start_ingest, start_sink
+from settle.streaming.revisions import start_revisions
+from settle.streaming.watch import start_alarms
 
-REPORTS = ("replay", "revisions", "skew", "posts")
+REPORTS = ("replay", "revisions", "skew", "posts", "lifetimes", "missing", "repeated")
+STREAMS = ("stream", "sink", "revise", "watch")
 
 
 def arguments(argv: list[str] | None = None) -> argparse.Namespace:
     parser = argparse.ArgumentParser(prog="settle")
     parser.add_argument(
-        "command", choices=("ingest", "stream", "sink", *REPORTS, "expire", "compact")
+        "command", choices=("ingest", *STREAMS, *REPORTS, "expire", "compact")
     )
     parser.add_argument("--tables")
     parser.add_argument("--checkpoints")
@@ -62,12 +77,12 @@ def arguments(argv: list[str] | None = None) -> argparse.Namespace:
         parser.error("compact needs --since")
     if args.command in REPORTS and not (args.since and args.out):
         parser.error(f"{args.command} needs --since and --out")
-    if args.command in ("stream", "sink") and not args.checkpoints:
+    if args.command in STREAMS and not args.checkpoints:
         parser.error(f"{args.command} needs --checkpoints")
     if args.command == "sink" and not args.servers:
         parser.error("sink needs --servers")
-    if args.command == "stream" and bool(args.servers) == bool(args.log):
-        parser.error("stream needs either --servers or --log")
+    if args.command in ("stream", "watch") and bool(args.servers) == bool(args.log):
+        parser.error(f"{args.command} needs either --servers or --log")
     return args
 
 
@@ -81,6 +96,12 @@ def report(spark: SparkSession, args: argparse.Namespace) -> DataFrame:
         return curated.v_revisions(table(COUNTS_FAST), table(COUNTS_SETTLED))
     if args.command == "skew":
         return curated.v_skew_profile(table(RAW))
+    if args.command == "lifetimes":
+        return lifetimes(table(RAW))
+    if args.command == "missing":
+        return missing_ranges(table(RAW))
+    if args.command == "repeated":
+        return repeated_ranges(table(RAW))
     return curated.v_posts(table(RAW))
 
 
@@ -92,6 +113,12 @@ def ingest(spark: SparkSession, args: argparse.Namespace) -> StreamingQuery:
     return start_ingest(received, {"path": args.out}, args.checkpoints, fmt="parquet")
 
 
+def sink_options(args: argparse.Namespace) -> dict[str, str]:
+    """The output topics from their beginning, in batches of so many messages or so many seconds."""
+    flush = (FLUSH_ROWS, FLUSH_S)
+    return kafka_source_options(args.servers, ",".join(ROUTES), starting="earliest", flush=flush)
+
+
 def stream(spark: SparkSession, args: argparse.Namespace) -> list[StreamingQuery]:
     def log(max_offsets: int | None) -> DataFrame:
         if args.log:
@@ -120,8 +147,15 @@ def main(argv: list[str] | None = None) -> None:
         stream(spark, args)
         spark.streams.awaitAnyTermination()
     elif args.command == "sink":
-        options = kafka_source_options(args.servers, ",".join(ROUTES), starting="earliest")
-        start_sink(kafka_log(spark, options), args.tables, args.checkpoints).awaitTermination()
+        messages = kafka_log(spark, sink_options(args))
+        trigger = {"processingTime": FAST_TRIGGER}
+        start_sink(messages, args.tables, args.checkpoints, trigger).awaitTermination()
+    elif args.command == "revise":
+        start_revisions(spark, args.tables, args.checkpoints).awaitTermination()
+    elif args.command == "watch":
+        log = file_log(spark, args.log) if args.log else None
+        log = log or kafka_log(spark, kafka_source_options(args.servers))
+        start_alarms(log, args.tables, args.checkpoints).awaitTermination()
     elif args.command == "expire":
         for spec in OUTPUTS:
             for path in drop_expired(spark, args.tables, spec):

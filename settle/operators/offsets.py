@@ -22,7 +22,11 @@ def positions(log: DataFrame, bucket: int = BUCKET) -> DataFrame:
 
 
 def missing_ranges(log: DataFrame, bucket: int = BUCKET) -> DataFrame:
-    """Ranges of offsets that are not stored, between the first and the last stored one of a partition."""
+    """Ranges of offsets that are not stored, between the first and the last stored one of a partition.
+
+    In the raw table of a log that ingest has gated, these are losses. Of any other log, frames that are no
+    commits are never stored, and show up here as well.
+    """
     stored = positions(log, bucket)
     inside = Window.partitionBy("kafka_partition", "bucket").orderBy("kafka_offset")
     within = stored.select(

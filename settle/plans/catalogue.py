@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 
 from settle.functions import clocks
 from settle.operators import (
+    alarms,
     audit,
     contract,
     dedup,
@@ -462,6 +463,17 @@ def repeated_offsets(spark: SparkSession, sf_dir: str) -> DataFrame:
     return offsets.repeated_ranges(derived.with_holes(_log(spark, sf_dir)), SMALL_BUCKET)
 
 
+@query
+def alarm_history(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The alarm at each minute: some minutes nothing was published, some others nothing arrived."""
+    arrived = events.posts_without_positions(spark, sf_dir)
+    minute = clocks.minute_index(F.col("arrival_us")) - events.BASE_US // 60_000_000
+    arrived = arrived.filter(~minute.between(40, 52))
+    ends = clocks.minute_index(F.unix_micros("emitted_at")) - events.BASE_US // 60_000_000
+    published = _health(spark, sf_dir).filter(~ends.between(15, 24) & ~ends.between(42, 53))
+    return alarms.alarm_history(arrived, published)
+
+
 @query
 def skew_sketches(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Daily percentiles from stored sketches of minutes: totals, and whether each rank is near enough.

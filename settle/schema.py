@@ -27,6 +27,10 @@ WINDOW_S = 60
 MAX_BEHIND_MS = 30 * 24 * 3600 * 1000
 MAX_AHEAD_MS = 3600 * 1000
 
+# A sink's batch starts after so many messages, or so many seconds with what there is.
+FLUSH_ROWS = 500
+FLUSH_S = 10
+
 # Resume and gap audit.
 REPLAY_OVERLAP_S = 5
 MAX_REPLAY_S = 3600
@@ -89,6 +93,7 @@ _RAW = """
 _HEALTH = "window_end time, max_observed_time time, events long, emitted_at time"
 _ERRORS = "observed_time time, payload string, error string"
 _SKETCHES = "window_start time, events long, suspect_clocks long, lags binary"
+_ALARMS = "checked_at time, status string, last_window_end time, last_heard time"
 _REVISIONS = """
     window_start time, window_end time, published long, settled long, delta long,
     pct_revision double, avg_lag_ms long, suspect_clocks long, future_dated long, unsettled bool
@@ -189,5 +194,7 @@ REVISIONS = OutputSpec(
 # Several rows of a minute add up, so equal ones are no copies.
 SKETCHES = OutputSpec("lag_sketches", None, _SKETCHES, ("window_start",), "window_start")
 
-OUTPUTS = (RAW, COUNTS_FAST, COUNTS_SETTLED, HEALTH, PARSE_ERRORS, REVISIONS, SKETCHES)
+ALARMS = OutputSpec("alarms", None, _ALARMS, ("checked_at", "status"), "checked_at")
+
+OUTPUTS = (RAW, COUNTS_FAST, COUNTS_SETTLED, HEALTH, PARSE_ERRORS, REVISIONS, SKETCHES, ALARMS)
 ROUTES = {spec.topic: spec for spec in OUTPUTS if spec.topic}

@@ -14,9 +14,13 @@ def kafka_source_options(
     topic: str = POSTS_TOPIC,
     starting: str = "latest",
     max_offsets: int | None = None,
+    flush: tuple[int, float] | None = None,
 ) -> dict[str, str]:
     """First start at the live end; after that the checkpoint's offsets take over.
 
+    ``flush`` is a number of messages and of seconds: a micro-batch starts once so many have come, or after
+    that time with what there is; with a short trigger, whichever is first. An empty batch never starts.
+
     A micro-batch takes all there is. ``max_offsets`` is for the fast and settled queries only, where
     a catch-up batch after downtime would otherwise count fewer rows as late; it also bounds their
     throughput, so it has to be chosen for the cluster.
@@ -27,7 +31,13 @@ def kafka_source_options(
         "startingOffsets": starting,
         "failOnDataLoss": "true",
     }
-    return options if max_offsets is None else {**options, "maxOffsetsPerTrigger": str(max_offsets)}
+    if max_offsets is not None:
+        options["maxOffsetsPerTrigger"] = str(max_offsets)
+    if flush is not None:
+        rows, seconds = flush
+        options["minOffsetsPerTrigger"] = str(rows)
+        options["maxTriggerDelay"] = f"{int(seconds * 1000)}ms"
+    return options
 
 
 def kafka_sink_options(servers: str) -> dict[str, str]:

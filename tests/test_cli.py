@@ -6,7 +6,7 @@ import pytest
 from conftest import SMALL, post
 from pyspark.sql import functions as F
 
-from settle.__main__ import arguments, ingest, report
+from settle.__main__ import arguments, ingest, report, sink_options
 from settle.operators.enrich import enrich
 from settle.operators.replay import replay, replay_revisions
 from settle.plans.tables import today, write_clustered
@@ -23,6 +23,9 @@ from settle.streaming.queries import watermarked_posts
         ["stream", "--tables", "t", "--checkpoints", "c"],
         ["stream", "--tables", "t", "--checkpoints", "c", "--log", "l", "--servers", "s"],
         ["sink", "--tables", "t", "--checkpoints", "c"],
+        ["revise", "--tables", "t"],
+        ["watch", "--tables", "t", "--checkpoints", "c"],
+        ["lifetimes", "--tables", "t"],
         ["stream", "--tables", "t", "--log", "l"],
         ["nothing", "--tables", "t"],
         ["ingest", "--checkpoints", "c", "--servers", "s"],
@@ -58,10 +61,23 @@ def test_reports_read_the_stored_tables(spark, tmp_path):
     want = replay_revisions(replay(posts)).agg(F.sum("published"), F.sum("settled")).first()
     assert run("replay").agg(F.sum("published"), F.sum("settled")).first() == want
     assert run("posts").count() == 990
+    # of this log, which nothing has gated, the frames that are no commits were never stored
+    others = posts_from_events(spark, SMALL).filter("kind <> 'commit'").count()
+    assert run("missing").agg(F.sum("missing")).first()[0] == others
+    assert run("repeated").agg(F.sum("extra_rows")).first()[0] == posts.count()
+    deletes = posts.filter("operation = 'delete'").select("uri", "rev").distinct().count()
+    assert run("lifetimes").count() == deletes
     creates = posts.filter("operation = 'create'").select("uri", "operation", "rev")
     assert run("skew").agg(F.sum("events")).first()[0] == creates.distinct().count()
 
 
+def test_a_sink_flushes_after_so_many_messages_or_seconds():
+    args = arguments(["sink", "--servers", "b:1", "--tables", "t", "--checkpoints", "c"])
+    options = sink_options(args)
+    assert (options["minOffsetsPerTrigger"], options["maxTriggerDelay"]) == ("500", "10000ms")
+    assert options["startingOffsets"] == "earliest" and len(options["subscribe"].split(",")) == 4
+
+
 def test_ingest_writes_what_a_gated_stream_reads(spark, log_folder, tmp_path):
     log_folder.add([post(1), post(2, operation="delete")])
     args = ["ingest", "--received", log_folder.path, "--out", f"{tmp_path}/sent"]

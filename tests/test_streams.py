@@ -284,4 +284,8 @@ def test_kafka_options():
     assert options["startingOffsets"] == "latest"
     assert "maxOffsetsPerTrigger" not in options
     assert kafka_source_options("b", max_offsets=7)["maxOffsetsPerTrigger"] == "7"
+    assert "minOffsetsPerTrigger" not in options and "maxTriggerDelay" not in options
+    flushed = kafka_source_options("b", flush=(500, 10))
+    assert (flushed["minOffsetsPerTrigger"], flushed["maxTriggerDelay"]) == ("500", "10000ms")
+    assert "maxOffsetsPerTrigger" not in flushed
     assert "topic" not in kafka_sink_options("broker:9092")
