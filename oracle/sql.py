@@ -627,6 +627,7 @@ def statements() -> dict[str, str]:
             speedup=1,
         ),
         "replay_stored": _sql(_ENRICHED + _REPLAY, _REVISIONS),
+        "replay_extended": _sql(_ENRICHED + _REPLAY, _REVISIONS),
         "stored_compacted": _sql(_ENRICHED, f"SELECT {_RAW_COLUMNS} FROM enriched"),
         "stream_fast": _sql(
             _ENRICHED + _LIVE, "SELECT *, CAST(5 AS INTEGER) AS watermark_delay_s FROM fast"

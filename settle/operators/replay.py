@@ -98,14 +98,34 @@ def replay(
     ensure_checkpoint_dir(spark)
     log = enriched.withColumn("observed_us", F.unix_micros("observed_time"))
     summary = summarise(log, delays).checkpoint()
-    bounds = (
+    horizon_us, lines = bounds_of(summary)
+    parts = author_lines(log, summary, lines, delays, broadcast_rows, retried)
+    return totals_of(parts, horizon_us, delays)
+
+
+def bounds_of(summary: DataFrame) -> tuple[int, int]:
+    """The latest time that every partition has reached, and the number of lines."""
+    found = (
         summary.groupBy("kafka_partition")
         .agg(F.max("latest_us").alias("latest_us"), F.count("*").alias("lines"))
         .agg(F.min("latest_us").alias("horizon_us"), F.sum("lines").alias("lines"))
         .first()
     )
-    horizon_us, lines = bounds["horizon_us"] or 0, bounds["lines"] or 0
+    return found["horizon_us"] or 0, found["lines"] or 0
+
 
+def author_lines(
+    log: DataFrame,
+    summary: DataFrame,
+    lines: int,
+    delays: Sequence[float],
+    broadcast_rows: int = BROADCAST_ROWS,
+    retried: bool = False,
+) -> DataFrame:
+    """What each author did in each minute (``ends``), admitted and late, for each delay ``i``.
+
+    ``log`` has ``observed_us``. Lines of different parts of a log add up.
+    """
     rows = log.filter(F.col("operation") == "create").select(
         "kafka_partition",
         "kafka_offset",
@@ -126,13 +146,20 @@ def replay(
         spread_by=["did", "kafka_offset"],
         broadcast_rows=broadcast_rows,
     )
-    partials, totals = [], []
+    partials = []
     for i in range(len(delays)):
         closing = F.col(f"closing_{i}")
         admitted = closing.isNull() | (F.col("kafka_offset") <= closing)
         partials += [*per_author(admitted, f"_{i}"), F.count_if(~admitted).alias(f"n_late_{i}")]
+    return timed.groupBy("ends", "did").agg(*partials)
+
+
+def totals_of(parts: DataFrame, horizon_us: int, delays: Sequence[float]) -> DataFrame:
+    """The replay's rows from the lines of authors, one for each author and minute."""
+    totals = []
+    for i in range(len(delays)):
         totals += [*per_minute(f"_{i}"), F.sum(f"n_late_{i}").alias(f"late_{i}")]
-    minutes = timed.groupBy("ends", "did").agg(*partials).groupBy("ends").agg(*totals)
+    minutes = parts.groupBy("ends").agg(*totals)
     closed = [
         (F.col("ends") * WINDOW_US <= F.lit(horizon_us - int(delay * MICROS))).alias(f"closed_{i}")
         for i, delay in enumerate(delays)

@@ -28,7 +28,7 @@ from settle.operators import (
     windows,
 )
 from settle.operators.enrich import creates, enrich, only_collections, raw_wire
-from settle.plans import curated, tables
+from settle.plans import curated, replayed, tables
 from settle.schema import (
     COUNTS_FAST,
     COUNTS_SETTLED,
@@ -527,6 +527,22 @@ def replay_stored(spark: SparkSession, sf_dir: str) -> DataFrame:
     return with_us(replay.replay_revisions(replay.replay(stored, retried=True)))
 
 
+@query
+def replay_extended(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The revision report of a replay kept up in four parts, cut at another offset in each partition."""
+    folder = _folder(spark)
+    log = _log(spark, sf_dir).persist()
+    ends = log.groupBy("kafka_partition").agg((F.max("kafka_offset") + 1).alias("size"))
+    numbered = log.join(F.broadcast(ends), "kafka_partition")  # a row a partition
+    reach = F.col("kafka_offset") * 4 + F.col("size") * F.col("kafka_partition") / 11
+    part = F.least(F.floor(reach / F.col("size")), F.lit(3))
+    for number in range(4):
+        rows = numbered.filter(part == number).drop("size")
+        replayed.extend(rows, folder, number)
+    log.unpersist()
+    return with_us(replay.replay_revisions(replayed.replayed(spark, folder)))
+
+
 @query
 def stored_compacted(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The raw table written in batches, compacted, and read back."""

@@ -162,3 +162,43 @@ def test_goldens(
     assert tuple(sums) == admitted
     assert late_rows(replayed).count() == replayed.count()
     replayed.unpersist()
+
+
+@pytest.mark.parametrize("cuts", [(), (300,), (0, 1, 500), (40, 41, 42, 120)])
+def test_a_replay_that_is_extended_equals_one_of_the_whole_log(spark, tmp_path, cuts):
+    from settle.plans import replayed
+
+    log = enrich(posts_from_events(spark, SMALL)).persist()
+    # partitions are cut at different offsets
+    place = F.col("kafka_offset") - 13 * F.col("kafka_partition")
+    bounds = [-(10**6), *cuts, 10**6]
+    parts = [log.filter(place.between(a, b - 1)) for a, b in zip(bounds, bounds[1:], strict=False)]
+    for number, rows in enumerate(parts):
+        for _ in range(2):  # a repeated part is not added twice
+            replayed.extend(rows, str(tmp_path), number)
+    found = sorted(map(tuple, replayed.replayed(spark, str(tmp_path)).collect()))
+    assert found == sorted(map(tuple, replay(log).collect()))
+    with pytest.raises(ValueError):
+        replayed.extend(parts[0], str(tmp_path), len(parts) + 1)
+    with pytest.raises(ValueError):
+        replayed.replayed(spark, str(tmp_path / "nothing"))
+    log.unpersist()
+
+
+def test_a_part_that_did_not_end_counts_for_nothing(spark, tmp_path, monkeypatch):
+    from settle.plans import replayed
+    from settle.plans.commits import CommitLog
+
+    log = enrich(posts_from_events(spark, SMALL))
+    early, late = log.filter("kafka_offset < 60"), log.filter("kafka_offset >= 60")
+    replayed.extend(early, str(tmp_path), 0)
+    before = sorted(map(tuple, replayed.replayed(spark, str(tmp_path)).collect()))
+    with monkeypatch.context() as patch:
+        patch.setattr(CommitLog, "commit", lambda *_: (_ for _ in ()).throw(OSError("killed")))
+        with pytest.raises(OSError):
+            replayed.extend(late, str(tmp_path), 1)
+    assert sorted(map(tuple, replayed.replayed(spark, str(tmp_path)).collect())) == before
+    replayed.extend(late, str(tmp_path), 1)
+    assert sorted(map(tuple, replayed.replayed(spark, str(tmp_path)).collect())) == sorted(
+        map(tuple, replay(log).collect())
+    )
