@@ -57,6 +57,9 @@ EXTRA = 10
 #: Points of a chunk that is compared with a pivot, and of one that is compared with another chunk.
 CHUNK = 64
 GRID_CHUNK = 512
+#: Points whose overlaps with the others are counted together, and shingles laid out for it at a time.
+AT_A_TIME = 64
+LAID_OUT = 4096
 
 SEEDS = np.array(
     [0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0x85EBCA77C2B2AE63,
@@ -396,24 +399,93 @@ def compared(pivot: np.ndarray, others: list[np.ndarray]) -> tuple[np.ndarray, n
     return 1 - both / np.maximum(either, 1), 100 * both >= PERCENT * either
 
 
+def shared_counts(
+    rows: list[np.ndarray], own: np.ndarray, others: list[np.ndarray], places: np.ndarray
+) -> np.ndarray:
+    """Shingles that each chosen row has in common with each chosen one of the others.
+
+    Rows and others hold numbers of shingles. Only shingles of the chosen rows are laid out, some
+    thousands at a time, so what is held does not grow with the sets.
+    """
+    both = np.zeros((len(own), len(places)), np.float32)
+    left = [rows[i] for i in own]
+    right = [others[i] for i in places]
+    columns = np.unique(np.concatenate([*left, np.zeros(0, np.int64)]))
+    row_at = np.repeat(np.arange(len(left)), [len(v) for v in left])
+    row_columns = np.searchsorted(columns, np.concatenate([*left, np.zeros(0, np.int64)]))
+    every = np.concatenate([*right, np.zeros(0, np.int64)])
+    at = np.minimum(np.searchsorted(columns, every), max(0, len(columns) - 1))
+    hit = columns[at] == every if len(columns) else np.zeros(len(every), bool)
+    other_at = np.repeat(np.arange(len(right)), [len(v) for v in right])[hit]
+    other_columns = at[hit]
+    for start in range(0, len(columns), LAID_OUT):
+        a = np.zeros((len(left), LAID_OUT), np.float32)
+        b = np.zeros((len(right), LAID_OUT), np.float32)
+        for grid, place, column in ((a, row_at, row_columns), (b, other_at, other_columns)):
+            mine = (column >= start) & (column < start + LAID_OUT)
+            grid[place[mine], column[mine] - start] = 1
+        both += a @ b.T
+    return both.astype(np.int64)
+
+
+def spanning(linked: np.ndarray, left: np.ndarray, right: np.ndarray) -> set[tuple[int, int]]:
+    """Pairs of labels that join what the links between rows (``left``) and columns (``right``) join.
+
+    Each label is paired with the least of its component, so there are fewer pairs than labels.
+    """
+    labels, at = np.unique(np.concatenate([left, right]), return_inverse=True)
+    rows, columns = at[: len(left)], at[len(left) :]
+    least = np.arange(len(labels))
+    none = len(labels)
+    while True:
+        by_row = np.where(linked, least[columns][None, :], none).min(axis=1, initial=none)
+        by_column = np.where(linked, least[rows][:, None], none).min(axis=0, initial=none)
+        new = least.copy()
+        np.minimum.at(new, rows, np.minimum(by_row, least[rows]))
+        np.minimum.at(new, columns, np.minimum(by_column, least[columns]))
+        # what was known of a label holds for all that have it for their least
+        np.minimum.at(new, least, new.copy())
+        new = new[new]
+        if (new == least).all():
+            break
+        least = new
+    moved = np.flatnonzero(least != np.arange(len(labels)))
+    return {(int(labels[i]), int(labels[least[i]])) for i in moved}
+
+
 def far_links(far: list[Point], points: list[Point]) -> set[tuple[int, int]]:
-    """Components joined by points outside the pivot's ball.
+    """Components joined by points outside the pivot's ball, as few pairs as join them.
 
-    Each of them is a pivot for the points in its window; what is in one component already is passed by.
+    The points further out are pivots themselves, taken a few at a time by their distance, for the points in
+    their window. Only shingles that several of the points have are looked at.
     """
-    labels = np.array([point.label for point in points])
-    sizes = np.array([len(point.values) for point in points])
-    away = np.array([point.distance for point in points])
-    found: set[tuple[int, int]] = set()
-    for own in far:
-        n = len(own.values)
-        near = np.abs(away - own.distance) <= DISTANCE + SLACK
-        like = (100 * sizes >= PERCENT * n) & (PERCENT * sizes <= 100 * n)
-        for i in np.flatnonzero(near & like & (labels != own.label)):
-            pair = (own.label, int(labels[i]))
-            if pair not in found and compared(own.values, [points[i].values])[1][0]:
-                found.add(pair)
-    return found
+    if not far or not points:
+        return set()
+    far = sorted(far, key=lambda p: p.distance)
+    points = sorted(points, key=lambda p: p.distance)
+    both_sides = far + points
+    sizes = np.array([len(p.values) for p in both_sides], np.int64)
+    _, numbers, times = np.unique(
+        np.concatenate([p.values for p in both_sides]), return_inverse=True, return_counts=True
+    )
+    several = times[numbers] > 1
+    ends = np.cumsum(sizes)
+    shared = [
+        numbers[end - size : end][several[end - size : end]]
+        for end, size in zip(ends.tolist(), sizes.tolist(), strict=True)
+    ]
+    far_sizes, sizes = sizes[: len(far)], sizes[len(far) :]
+    away = np.array([p.distance for p in points])
+    far_away = np.array([p.distance for p in far])
+    linked = np.zeros((len(far), len(points)), bool)
+    for start in range(0, len(far), AT_A_TIME):
+        own = np.arange(start, min(start + AT_A_TIME, len(far)))
+        low, high = far_away[own[0]] - DISTANCE - SLACK, far_away[own[-1]] + DISTANCE + SLACK
+        places = np.arange(np.searchsorted(away, low), np.searchsorted(away, high, "right"))
+        both = shared_counts(shared[: len(far)], own, shared[len(far) :], places)
+        either = far_sizes[own][:, None] + sizes[places][None, :] - both
+        linked[np.ix_(own, places)] = 100 * both >= PERCENT * either
+    return spanning(linked, np.array([p.label for p in far]), np.array([p.label for p in points]))
 
 
 FOUND = (

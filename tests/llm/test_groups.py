@@ -269,3 +269,41 @@ def test_components_by_brute_force(spark, scratch, monkeypatch, seed, few):
     found = {r.node: r.label for r in components.components(frame, scratch, "test").collect()}
     lonely = {a for a, b in edges if a == b} - {x for a, b in edges if a != b for x in (a, b)}
     assert found == {x: low for x, low in label.items() if x not in lonely}
+
+
+@pytest.mark.parametrize("seed", range(4))
+def test_far_links_join_what_plain_comparison_joins(seed, monkeypatch):
+    monkeypatch.setattr(jaccard_join, "AT_A_TIME", 1 + 5 * seed)
+    monkeypatch.setattr(jaccard_join, "LAID_OUT", 3 + 40 * seed)
+    own = np.random.default_rng(seed)
+    base = [np.unique(own.integers(0, 2**63, 60).astype(np.uint64)) for _ in range(3)]
+    pivot = base[0]
+    points = []
+    for i in range(70):
+        values = base[i % 3].copy()
+        change = own.random(len(values)) < own.choice([0, 0.03, 0.08, 0.2])
+        values[change] = own.integers(0, 2**63, int(change.sum())).astype(np.uint64)
+        values = np.unique(values)
+        away = 1 - len(np.intersect1d(values, pivot)) / len(np.union1d(values, pivot))
+        points.append(jaccard_join.Point(i, int(own.integers(0, 40)), values, away))
+    far = points[::2]
+    parent = {p.label: p.label for p in points}
+
+    def root(x):
+        while parent[x] != x:
+            x = parent[x]
+        return x
+
+    for a in far:
+        for b in points:
+            both = len(np.intersect1d(a.values, b.values))
+            if 100 * both >= 80 * (len(a.values) + len(b.values) - both):
+                parent[max(root(a.label), root(b.label))] = min(root(a.label), root(b.label))
+    found = jaccard_join.far_links(far, points)
+    assert len(found) < len(parent)
+    got = {x: x for x in parent}
+    for a, b in sorted(found, key=lambda p: p[1]):
+        assert b < a
+        got[a] = b
+    assert got == {x: root(x) for x in parent}
+    assert jaccard_join.far_links([], points) == jaccard_join.far_links(far, []) == set()
