@@ -2,8 +2,8 @@
 
 Texts are split by their first bytes, then each group by the bytes that follow, until a group has one
 member or its texts have ended. Every round reads four times as many bytes as the one before. Only
-members of groups go on, so a document that differs early costs a few bytes of shuffle; equality is that
-of the bytes, no digest decides. A round counts each group's parts with partial aggregation, so a
+members of groups go on, so a document that differs early is shuffled in the first round and in no other;
+equality is that of the bytes, no digest decides. A round counts each group's parts with partial aggregation, so a
 thousand copies leave a task as one row; attaching the part to its members is a plain equality join,
 whose hot keys Spark splits.
 """
