@@ -439,6 +439,13 @@ def statements() -> dict[str, str]:
                 CASE WHEN fault = 1 THEN '7BFFFE7D' ELSE hex(encode(frame)) END AS value_hex
             FROM classified""",
         ),
+        "keyed_messages": _sql(
+            _FRAMES,
+            """SELECT CASE status WHEN 'usable' THEN 'bsky.posts.v1' ELSE 'bsky.posts.dlq.v1' END AS topic,
+                CASE WHEN status = 'usable' THEN f_did END AS key,
+                CASE WHEN fault = 1 THEN '7BFFFE7D' ELSE hex(encode(frame)) END AS value_hex
+            FROM classified WHERE status <> 'skipped'""",
+        ),
         "frame_skips": _sql(
             _FRAMES, "SELECT event_id FROM classified WHERE status = 'skipped'"
         ),

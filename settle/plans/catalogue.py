@@ -150,6 +150,13 @@ def dead_letters(spark: SparkSession, sf_dir: str) -> DataFrame:
     return with_us(frames.dead_letters(_frames(spark, sf_dir), received_at))
 
 
+@query
+def keyed_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What ingest sends on: posts under their author's key, dead letters under none."""
+    sent = frames.log_messages(_frames(spark, sf_dir))
+    return sent.select("topic", "key", F.hex("value").alias("value_hex"))
+
+
 @query
 def ingest_counters(spark: SparkSession, sf_dir: str) -> DataFrame:
     return frames.counters(_frames(spark, sf_dir))
