@@ -2,7 +2,8 @@
 
 Distinct authors are counted in two steps, per (minute, author) and then per minute. Streaming
 has no distinct count, and in batch it is the plan Spark would choose anyway: the busy minute is
-spread over its authors, and a busy author is collapsed before the shuffle.
+spread over its authors, and a busy author is collapsed before the shuffle. A stream keeps state for
+the first step only: a minute's authors leave it together, in the batch that closes the minute.
 """
 
 from __future__ import annotations
@@ -54,13 +55,17 @@ def per_minute(tag: str = "") -> list[Column]:
     ]
 
 
-def minute_totals(enriched: DataFrame) -> DataFrame:
-    """Counts of creates and the liveness of all commits, per minute, in one chained aggregate."""
-    authors = enriched.groupBy(F.window("observed_time", WINDOW).alias("window"), "did").agg(
+def author_totals(enriched: DataFrame) -> DataFrame:
+    """Counts of creates and the liveness of all commits, per minute and author: the first step."""
+    return enriched.groupBy(F.window("observed_time", WINDOW).alias("window"), "did").agg(
         *per_author(F.col("operation") == "create"),
         F.count("*").alias("n_all"),
         F.max("observed_time").alias("latest"),
     )
+
+
+def totals_of_authors(authors: DataFrame) -> DataFrame:
+    """The second step: totals per minute from all of the minute's authors."""
     return authors.groupBy("window").agg(
         *per_minute(),
         F.sum("n_all").alias("all_events"),
@@ -68,6 +73,11 @@ def minute_totals(enriched: DataFrame) -> DataFrame:
     )
 
 
+def minute_totals(enriched: DataFrame) -> DataFrame:
+    """Counts of creates and the liveness of all commits, per minute, in one chained aggregate."""
+    return totals_of_authors(author_totals(enriched))
+
+
 def counts_of(totals: DataFrame, delay_s: int, emitted_at: Column | None = None) -> DataFrame:
     """The published counts row; a minute without creates publishes nothing."""
     emitted_at = F.current_timestamp() if emitted_at is None else emitted_at

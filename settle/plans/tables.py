@@ -36,9 +36,11 @@ def with_date(rows: DataFrame, spec: OutputSpec) -> DataFrame:
     return rows.withColumn("date", F.to_date(spec.date_from))
 
 
-def _save(rows: DataFrame, spec: OutputSpec, path: str, run: str, batch_id: int) -> None:
+def _save(
+    rows: DataFrame, spec: OutputSpec, path: str, run: str, batch_id: int, gathered: bool = False
+) -> None:
     """Replace what this run has stored under this batch number, on the days the rows are of."""
-    if spec.one_row_a_minute:
+    if spec.one_row_a_minute and not gathered:
         rows = rows.repartition("date")
     (
         rows.withColumn("run", F.lit(run))
@@ -58,8 +60,9 @@ def write_batch(
     run: str,
     batch_id: int,
     on_reject: str = "fail",
+    gathered: bool = False,
 ) -> None:
-    """Write one batch after checking its contract.
+    """Write one batch after checking its contract; ``gathered`` rows are in one partition already.
 
     ``fail`` stops the write on the first bad row, so the batch is retried whole. ``quarantine``
     writes the good rows and puts the bad ones, with the reason, under ``<table>_rejects``; it
@@ -70,9 +73,9 @@ def write_batch(
     contract.conform(rows, spec)
     path = f"{root}/{spec.name}"
     if on_reject == "fail":
-        _save(with_date(contract.or_fail(rows, spec), spec), spec, path, run, batch_id)
+        _save(with_date(contract.or_fail(rows, spec), spec), spec, path, run, batch_id, gathered)
         return
-    _save(with_date(contract.accepted(rows, spec), spec), spec, path, run, batch_id)
+    _save(with_date(contract.accepted(rows, spec), spec), spec, path, run, batch_id, gathered)
     # a reject may be rejected for want of a day; it is then filed under the day of its writing
     rejected = with_date(contract.rejected(rows, spec), spec)
     rejected = rejected.withColumn("date", F.coalesce("date", F.current_date()))

@@ -15,16 +15,17 @@ later, so the fast query wants short triggers, and a backlog must be measured wi
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterable
+from collections.abc import Callable, Iterable, Iterator
+from contextlib import contextmanager
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
 
 from settle.operators import contract, frames
 from settle.operators.dedup import dedup_stream
 from settle.operators.enrich import enrich, only_collections
-from settle.operators.windows import counts_of, health_of, minute_totals
+from settle.operators.windows import author_totals, counts_of, health_of, totals_of_authors
 from settle.plans.commits import CommitLog
 from settle.plans.tables import write_batch
 from settle.schema import (
@@ -62,13 +63,14 @@ def watermarked_posts(
 
 
 def live_totals(log: DataFrame, delay_s: int, dedup: bool = False, **options) -> DataFrame:
-    """Per-minute totals, emitted once when the watermark passes the minute's end.
+    """Totals of each minute's authors, emitted once when the watermark passes the minute's end.
 
-    All commits reach the aggregate and creates are told apart inside it: a filter before it would
+    The authors of a minute leave the state in one batch, whose writer adds them up; a second stateful
+    step would cost every batch another shuffle and commit. All commits reach the aggregate and creates are told apart inside it: a filter before it would
     be pushed below the watermark, and updates and deletes would no longer advance event time.
     """
     posts = watermarked_posts(log, delay_s, **options)
-    return minute_totals(dedup_stream(posts) if dedup else posts)
+    return author_totals(dedup_stream(posts) if dedup else posts)
 
 
 def run_id(batch: DataFrame) -> str:
@@ -98,14 +100,17 @@ def publish(spec: OutputSpec, delay_s: int, tables: str, with_health: bool) -> C
     """Batch writer: the counts and, for the fast query, the liveness rows of the same minutes."""
 
     def write(batch: DataFrame, run: str, batch_id: int) -> None:
-        totals = batch.withColumn("emitted_at", F.current_timestamp()).persist()
+        totals = totals_of_authors(batch).withColumn("emitted_at", F.current_timestamp())
+        totals = totals.coalesce(1).persist()  # a line a minute and task
         emitted_at = F.col("emitted_at")
         # Most batches of a short trigger close no minute; they leave no folder behind. A repeated
         # batch closes the same minutes, so it is empty exactly if it was empty before.
         if not totals.isEmpty():
-            write_batch(counts_of(totals, delay_s, emitted_at), spec, tables, run, batch_id)
+            counts = counts_of(totals, delay_s, emitted_at)
+            write_batch(counts, spec, tables, run, batch_id, gathered=True)
             if with_health:
-                write_batch(health_of(totals, emitted_at), HEALTH, tables, run, batch_id)
+                health = health_of(totals, emitted_at)
+                write_batch(health, HEALTH, tables, run, batch_id, gathered=True)
         totals.unpersist()
 
     return committed(tables, write)
@@ -148,6 +153,22 @@ def publish_routed(tables: str, on_reject: str = "fail") -> Callable:
     return committed(tables, write)
 
 
+@contextmanager
+def state_partitions(spark: SparkSession) -> Iterator[None]:
+    """Streams started inside keep their state in no more partitions than the cluster has cores.
+
+    Every batch opens and commits each partition of the state, however few rows it brings, and the number
+    is fixed by a checkpoint's first start. ``spark.sql.shuffle.partitions`` holds if it is less.
+    """
+    name = "spark.sql.shuffle.partitions"
+    before = spark.conf.get(name)
+    spark.conf.set(name, min(int(before), spark.sparkContext.defaultParallelism))
+    try:
+        yield
+    finally:
+        spark.conf.set(name, before)
+
+
 def _start(writer: DataStreamWriter, name: str, checkpoints: str, trigger: dict) -> StreamingQuery:
     return (
         writer.queryName(name)
@@ -164,7 +185,8 @@ def start_fast(
     writer = totals.writeStream.outputMode("append").foreachBatch(
         publish(COUNTS_FAST, FAST_DELAY_S, tables, with_health=True)
     )
-    return _start(writer, "fast", checkpoints, trigger or {"processingTime": FAST_TRIGGER})
+    with state_partitions(log.sparkSession):
+        return _start(writer, "fast", checkpoints, trigger or {"processingTime": FAST_TRIGGER})
 
 
 def start_settled(
@@ -174,7 +196,8 @@ def start_settled(
     writer = totals.writeStream.outputMode("append").foreachBatch(
         publish(COUNTS_SETTLED, SETTLED_DELAY_S, tables, with_health=False)
     )
-    return _start(writer, "settled", checkpoints, trigger or {"processingTime": TRIGGER})
+    with state_partitions(log.sparkSession):
+        return _start(writer, "settled", checkpoints, trigger or {"processingTime": TRIGGER})
 
 
 def start_raw(

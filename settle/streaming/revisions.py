@@ -21,7 +21,7 @@ from settle.plans.curated import revision_columns
 from settle.plans.tables import ensure_folder, write_batch
 from settle.schema import COUNTS_FAST, COUNTS_SETTLED, REVISIONS, OutputSpec
 from settle.session import prepare
-from settle.streaming.queries import TRIGGER, _start, committed
+from settle.streaming.queries import TRIGGER, _start, committed, state_partitions
 
 #: How far both streams must be past a minute before it is given up; their batches hold few minutes.
 PATIENCE_S = 120
@@ -84,4 +84,5 @@ def start_revisions(
     )
     rows = joined(fast, settled, patience_s)
     writer = rows.writeStream.outputMode("append").foreachBatch(committed(tables, write))
-    return _start(writer, "revisions", checkpoints, trigger or {"processingTime": TRIGGER})
+    with state_partitions(spark):
+        return _start(writer, "revisions", checkpoints, trigger or {"processingTime": TRIGGER})

@@ -31,7 +31,7 @@ from settle.sources.log import (
     kafka_source_options,
     stored_log,
 )
-from settle.streaming import queries
+from settle.streaming import queries, revisions
 from settle.streaming.metrics import CountListener, dropped_as_late
 
 DAY = date(2024, 1, 1)
@@ -289,3 +289,22 @@ def test_kafka_options():
     assert (flushed["minOffsetsPerTrigger"], flushed["maxTriggerDelay"]) == ("500", "10000ms")
     assert "maxOffsetsPerTrigger" not in flushed
     assert "topic" not in kafka_sink_options("broker:9092")
+
+
+def test_state_has_one_step_and_no_more_partitions_than_cores(spark, log_folder, tmp_path):
+    for second in (1, 70, 140):
+        log_folder.add([post(second)])
+    spark.conf.set("spark.sql.shuffle.partitions", "64")
+    started = [
+        run(queries.start_fast, spark, log_folder, tmp_path),
+        run(queries.start_settled, spark, log_folder, tmp_path),
+    ]
+    revised = revisions.start_revisions(spark, f"{tmp_path}/tables", f"{tmp_path}/checkpoints", NOW)
+    revised.awaitTermination()
+    assert spark.conf.get("spark.sql.shuffle.partitions") == "64"
+    for running in started:
+        assert len(running.lastProgress["stateOperators"]) == 1
+    for running in (*started, revised):
+        for step in running.lastProgress["stateOperators"]:
+            assert step["numShufflePartitions"] <= spark.sparkContext.defaultParallelism
+    assert minutes(spark, tmp_path) == {0: 1, 1: 1}
