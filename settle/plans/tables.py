@@ -10,6 +10,7 @@ so a fresh query can never overwrite an older one's rows. Which batches count is
 
 from __future__ import annotations
 
+import time
 import uuid
 from datetime import date, datetime, timedelta, timezone
 
@@ -264,6 +265,28 @@ def ensure_folder(spark: SparkSession, path: str) -> None:
     files.mkdirs(at(path))
 
 
+def gather_in_order(spark: SparkSession, staged: str, folders: list[str], path: str) -> None:
+    """Move the one file of each staged folder to ``path``, with times that follow the folders' order.
+
+    Streams of files take the older one first. Where times cannot be set, a move is a copy and its own
+    time follows the order; files whose times do not are an error. Only names and times are touched.
+    """
+    files, at = _files(spark, path)
+    start_ms, last_ms = int(time.time() - len(folders)) * 1000, -1
+    for number, folder in enumerate(folders):
+        listed = [status.getPath() for status in files.listStatus(at(f"{staged}/{folder}"))]
+        (source,) = [file for file in listed if file.getName().startswith("part-")]
+        target = at(f"{path}/{number:06d}.parquet")
+        if not files.rename(source, target):
+            raise OSError(f"could not move {source} to {target}")
+        files.setTimes(target, start_ms + number * 1000, -1)
+        found_ms = files.getFileStatus(target).getModificationTime()
+        if found_ms <= last_ms:
+            raise OSError(f"{target} is not newer than the file before it")
+        last_ms = found_ms
+    files.delete(at(staged), True)
+
+
 def delete_folder(spark: SparkSession, path: str) -> None:
     files, at = _files(spark, path)
     files.delete(at(path), True)

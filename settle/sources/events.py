@@ -9,6 +9,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from settle.plans.tables import ensure_folder, gather_in_order
 from settle.session import prepare
 
 EVENTS_SCHEMA = """
@@ -190,6 +191,8 @@ def as_log_columns() -> list[Column]:
 
 # Minutes of arrival in one file of the live log.
 FILE_MINUTES = 2
+# A large file is read back by several tasks, each with row groups of its own.
+ROW_GROUP_BYTES = 16 << 20
 
 
 # A partition that goes silent for some files, counted from the first full one, and then brings all it holds.
@@ -199,10 +202,11 @@ SILENT_PARTITION, SILENT_FROM, SILENT_UPTO = 4, 5, 9
 def write_live_log(spark: SparkSession, sf_dir: str, path: str, silent: bool = False) -> None:
     """The whole log as files in order of arrival, every partition in each: one file, one micro-batch.
 
-    Files are written one after the other, as a stream takes them by their time of writing. With
-    ``silent`` one partition is missing from some files and brings its rows in the one after.
+    One job writes all files, a task each, from the narrow rows of its own slot; a stream takes them by
+    their times, which follow the order of arrival. With ``silent`` one partition is missing from some
+    files and brings its rows in the one after.
     """
-    posts = unnumbered_posts(read_events(spark, sf_dir))
+    rows = with_replays(mapped(read_events(spark, sf_dir)))
     width = FILE_MINUTES * 60_000_000
     slot = F.expr(f"arrival_us div {width}")
     if silent:
@@ -212,8 +216,21 @@ def write_live_log(spark: SparkSession, sf_dir: str, path: str, silent: bool = F
         )
         slot = F.when(held, first + SILENT_UPTO + 1).otherwise(slot)
     slot = slot.alias("slot")
-    log = posts.select(*as_log_columns(), slot).repartition("slot").persist()
-    for row in log.select("slot").distinct().orderBy("slot").collect():
-        mine = log.filter(F.col("slot") == row.slot).drop("slot")
-        mine.coalesce(1).write.mode("append").parquet(path)
-    log.unpersist()
+    found = rows.select(slot).filter(F.col("slot").isNotNull()).distinct()
+    slots = sorted(row.slot for row in found.collect())  # a line a file
+    ensure_folder(spark, path)
+    if not slots:
+        return
+    # slots follow each other, so each has a task of its own
+    rows = rows.filter(slot.isNotNull()).repartitionById(
+        len(slots), F.pmod(slot, F.lit(len(slots))).cast("int")
+    )
+    posts = as_posts(rows.withColumn("kafka_offset", F.lit(None).cast("bigint")))
+    (
+        posts.select(*as_log_columns(), slot)
+        .write.option("maxRecordsPerFile", 0)
+        .option("parquet.block.size", ROW_GROUP_BYTES)
+        .partitionBy("slot")
+        .parquet(f"{path}_slots")
+    )
+    gather_in_order(spark, f"{path}_slots", [f"slot={slot}" for slot in slots], path)

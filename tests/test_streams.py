@@ -24,7 +24,12 @@ from settle.schema import (
     RAW,
     SETTLED_DELAY_S,
 )
-from settle.sources.events import as_log, posts_from_events
+from settle.sources.events import (
+    as_log,
+    posts_from_events,
+    posts_without_positions,
+    write_live_log,
+)
 from settle.sources.log import (
     file_log,
     kafka_sink_options,
@@ -308,3 +313,18 @@ def test_state_has_one_step_and_no_more_partitions_than_cores(spark, log_folder,
         for step in running.lastProgress["stateOperators"]:
             assert step["numShufflePartitions"] <= spark.sparkContext.defaultParallelism
     assert minutes(spark, tmp_path) == {0: 1, 1: 1}
+
+
+def test_the_live_log_is_written_at_once_in_order_of_arrival(spark, tmp_path):
+    spark.sparkContext.setJobGroup("live-log", "live log")
+    write_live_log(spark, "/root/testdata/sf0.001", f"{tmp_path}/log")
+    jobs = spark.sparkContext.statusTracker().getJobIdsForGroup("live-log")
+    spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+    files = sorted(os.scandir(f"{tmp_path}/log"), key=lambda f: (f.stat().st_mtime, f.name))
+    files = [f for f in files if f.name.endswith(".parquet")]
+    assert len(files) > 20 and len({f.stat().st_mtime for f in files}) == len(files)
+    assert len(jobs) < 8  # none per file: no task reads the rows of all
+    posts = posts_without_positions(spark, "/root/testdata/sf0.001")
+    slot = F.expr("arrival_us div 120000000").alias("slot")
+    want = [r["count"] for r in posts.groupBy(slot).count().orderBy("slot").collect()]
+    assert [pq.read_metadata(f.path).num_rows for f in files] == want
