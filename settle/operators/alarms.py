@@ -18,6 +18,8 @@ OK, QUIET, STALLED = "ok", "quiet", "stalled"
 FRESH_S = 2 * WINDOW_S + FAST_DELAY_S + 15
 #: Time without any message after which a log is quiet.
 QUIET_S = 120
+#: Spans that are put in order in one group; a day of minutes.
+BLOCK_SPANS = 1440
 
 
 def status_of(
@@ -46,16 +48,27 @@ def alarm_history(
 
     heard = line(arrivals, F.col("arrival_us"), F.col("arrival_us"), "heard_us")
     closed = line(health, F.unix_micros("emitted_at"), F.unix_micros("window_end"), "closed_us")
-    covered = heard.select("span").unionByName(closed.select("span")).agg(
-        F.min("span").alias("first"), F.max("span").alias("last")
+    stored = heard.join(closed, "span", "full").withColumn("span", F.col("span") + 1)
+    covered = stored.agg(F.min("span").alias("first"), F.max("span").alias("last")).first()
+    first, last = (0, -1) if covered.first is None else covered
+    spans = arrivals.sparkSession.range(first, last + 1).withColumnRenamed("id", "span")
+    lines = spans.join(stored, "span", "left").withColumn(
+        "block", F.call_function("div", F.col("span"), F.lit(BLOCK_SPANS))
     )
-    spans = covered.select(F.explode(F.sequence(F.col("first") + 1, F.col("last") + 1)).alias("span"))
-    lines = spans.join(heard.withColumn("span", F.col("span") + 1), "span", "left").join(
-        closed.withColumn("span", F.col("span") + 1), "span", "left"
+    # what was known before a block comes from the maxima of the blocks before it, a line a block
+    later = F.sequence(F.col("block") + 1, F.lit(last // BLOCK_SPANS).cast("long"))
+    reached = lines.filter(F.col("block") < last // BLOCK_SPANS).groupBy("block").agg(
+        F.max("heard_us").alias("heard"), F.max("closed_us").alias("closed")
     )
-    so_far = Window.orderBy("span").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    reached = reached.select(F.explode(later).alias("block"), "heard", "closed").groupBy("block").agg(
+        F.max("heard").alias("heard"), F.max("closed").alias("closed")
+    )
+    lines = lines.join(reached, "block", "left")
+    within = Window.partitionBy("block").orderBy("span")
+    so_far = within.rowsBetween(Window.unboundedPreceding, Window.currentRow)
     now_us = F.col("span") * width
-    heard_us, closed_us = F.max("heard_us").over(so_far), F.max("closed_us").over(so_far)
+    heard_us = F.greatest(F.max("heard_us").over(so_far), "heard")
+    closed_us = F.greatest(F.max("closed_us").over(so_far), "closed")
     known = lines.select(now_us.alias("now_us"), heard_us.alias("heard_us"), closed_us.alias("closed_us"))
     status = status_of(F.col("now_us"), F.col("closed_us"), F.col("heard_us"), **limits)
     return known.select("now_us", "closed_us", "heard_us", status.alias("status"))

@@ -99,3 +99,21 @@ def test_ticks_make_batches_of_a_silent_log(spark, log_folder, tmp_path):
     today = tables.today()
     rows = tables.read_table(spark, f"{tmp_path}/tables", ALARMS, today - timedelta(days=1)).collect()
     assert [r.status for r in rows] == ["quiet"]
+
+
+def test_history_over_days_of_silence(spark):
+    day = 86_400 * 1_000_000
+    arrived = spark.createDataFrame([(BASE + 1,), (BASE + 3 * day,)], "arrival_us bigint")
+    published = spark.createDataFrame(
+        [(BASE + 60 * 1_000_000, BASE + 66 * 1_000_000)], "end_us bigint, at_us bigint"
+    ).select(
+        F.timestamp_micros("end_us").alias("window_end"), F.timestamp_micros("at_us").alias("emitted_at")
+    )
+    history = alarms.alarm_history(arrived, published)
+    assert "SinglePartition" not in history._jdf.queryExecution().executedPlan().toString()
+    rows = history.orderBy("now_us").collect()
+    assert [r.now_us for r in rows] == list(range(BASE + 60 * 1_000_000, BASE + 3 * day + 61 * 1_000_000, 60 * 1_000_000))
+    assert [r.closed_us for r in rows] == [None] + [BASE + 60 * 1_000_000] * 4320
+    assert [r.heard_us for r in rows] == [BASE + 1] * 4320 + [BASE + 3 * day]
+    assert [r.status for r in rows[:5]] == ["stalled", "ok", "ok", "quiet", "quiet"]
+    assert rows[-1].status == "stalled"
